@@ -108,16 +108,18 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def enforce(df: DataFrame, rules: Sequence[Rule], name: str = "dq") -> tuple[DataFrame, Observation]:
+def enforce(df: DataFrame, rules: Sequence[Rule], name: str = "dq") -> tuple[DataFrame, Observation | str]:
     """Apply each rule's action: ``warn`` keeps and counts, ``drop`` removes,
     ``fail`` stops the job at the first failing row (``raise_error`` in the
     projection, so a write never commits partial output).
 
     Counts of every rule are published through an :class:`Observation` that
-    is filled by whatever action runs the returned DataFrame (batch or stream).
+    is filled by whatever action runs the returned DataFrame.  On a streaming
+    DataFrame the metrics are published under ``name`` in each micro-batch's
+    progress (``observedMetrics``) instead.
     """
     prepared = prepare_all(df, rules)
-    obs = Observation(name)
+    obs = name if df.isStreaming else Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")] + [F.count_if(r.failing()).alias(r.name) for r in rules]
     observed = prepared.observe(obs, *metrics)
     for r in rules:

@@ -1 +1,111 @@
-"""Oracle texts for queries that write zones or run streams (added on import)."""
+"""Oracle texts for queries that land files, write zones or run streams (added on import)."""
+
+from __future__ import annotations
+
+from orderlake.oracle import (GEO, NET, OG, ORDER_RULES, SQL, WITH_SILVER, _SILVER_OUT)
+
+_RULES_OK = "NOT (" + " OR ".join(f"COALESCE({fail}, false)" for _n, _f, fail, _m in ORDER_RULES) + ")"
+_BAND = "CASE WHEN p_retailprice < 930.0 THEN 'LOW' WHEN p_retailprice < 970.0 THEN 'MID' ELSE 'HIGH' END"
+
+# -- B ------------------------------------------------------------------------
+SQL["bronze_land_orders"] = WITH_SILVER + """
+SELECT order_id, customer_id, order_date, amount, status, priority, CAST(seq AS VARCHAR) AS seq, 1 AS _batch_id
+FROM raw_orders"""
+
+SQL["bronze_corrupt_capture"] = WITH_SILVER + r"""
+SELECT CASE WHEN regexp_matches(order_id, '^-?[0-9]+$') THEN CAST(order_id AS BIGINT) END AS order_id,
+       CASE WHEN customer_id = '' THEN NULL ELSE CAST(customer_id AS BIGINT) END AS customer_id,
+       CAST(CASE WHEN regexp_matches(amount, '^-?[0-9]+(\.[0-9]+)?$') THEN CAST(amount AS DECIMAL(12,2)) END
+            AS DOUBLE) AS amount,
+       seq, status,
+       NOT regexp_matches(order_id, '^-?[0-9]+$')
+         OR (amount <> '' AND NOT regexp_matches(amount, '^-?[0-9]+(\.[0-9]+)?$')) AS is_corrupt
+FROM raw_orders"""
+
+SQL["bronze_incremental_rerun"] = "SELECT * FROM orders"
+SQL["bronze_stream_files"] = "SELECT * FROM events"
+
+SQL["zone_partition_layout"] = f"""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS row_count, CAST(sum({NET}) AS DOUBLE) AS net_revenue
+FROM lineitem GROUP BY 1"""
+
+SQL["lifecycle_plan"] = """
+WITH p AS (SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS row_count,
+                  CAST(date_diff('day', CAST(date_trunc('month', min(o_orderdate)) AS DATE), DATE '2001-12-31')
+                       AS INTEGER) AS age_days
+           FROM orders GROUP BY 1)
+SELECT order_month, row_count, age_days,
+       CASE WHEN age_days < 365 THEN 'keep' WHEN age_days < 1095 THEN 'archive' ELSE 'expire' END AS action
+FROM p"""
+
+# -- C8, M7 -------------------------------------------------------------------
+SQL["silver_upsert_idempotent"] = WITH_SILVER + f"\nSELECT {_SILVER_OUT} FROM silver"
+
+SQL["dim_incremental"] = f"""
+WITH {GEO}
+SELECT md5(CAST(c_custkey AS VARCHAR)) AS customer_sk, c_custkey, c_name,
+       CASE WHEN c_acctbal < 0 THEN 'COLLECTIONS' ELSE c_mktsegment END AS c_mktsegment, g.nation, g.region
+FROM customer LEFT JOIN geo g ON c_nationkey = g.n_nationkey
+UNION ALL SELECT md5('-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
+
+# -- X ------------------------------------------------------------------------
+SQL["external_pruned_scan"] = f"""
+SELECT l_returnflag, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS units,
+       CAST(sum({NET}) AS DOUBLE) AS net_revenue
+FROM lineitem WHERE year(l_shipdate) = 1998 AND l_discount > 0.05 GROUP BY 1"""
+
+SQL["external_join_star"] = f"""
+SELECT COALESCE({_BAND}, 'UNKNOWN') AS price_band, CAST(year(l_shipdate) AS INTEGER) AS ship_year,
+       count(*) AS lines, CAST(sum({NET}) AS DOUBLE) AS net_revenue
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY ALL"""
+
+# -- L ------------------------------------------------------------------------
+SQL["stream_silver_orders"] = WITH_SILVER + f"""
+SELECT {_SILVER_OUT}
+FROM (SELECT c.*, k.c_custkey IS NOT NULL AS _known FROM cleaned c
+      LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) k ON c.customer_id = k.c_custkey)
+WHERE {_RULES_OK}"""
+
+SQL["stream_enrich"] = f"""
+WITH {GEO}
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, g.region, g.nation
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN geo g ON c_nationkey = g.n_nationkey"""
+
+SQL["stream_gold_daily"] = """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
+       event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value_sum
+FROM events GROUP BY ALL"""
+
+SQL["stream_upsert_latest"] = WITH_SILVER + f"\nSELECT {_SILVER_OUT} FROM silver"
+
+SQL["medallion_end_to_end"] = WITH_SILVER + f"""
+SELECT CAST(date_trunc('month', order_date) AS TIMESTAMP) AS "month", status, count(*) AS orders,
+       CAST(sum(amount) AS DOUBLE) AS amount
+FROM (SELECT s.*, k.c_custkey IS NOT NULL AS _known FROM silver s
+      LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) k ON s.customer_id = k.c_custkey)
+WHERE {_RULES_OK}
+GROUP BY ALL"""
+
+SQL["stream_dedup"] = "SELECT * FROM events"
+
+# -- G ------------------------------------------------------------------------
+SQL["gov_tag_columns"] = "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+SQL["gov_mask_pii"] = """
+SELECT c_custkey, md5(c_name) AS c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment
+FROM customer"""
+
+SQL["gov_row_filter"] = f"""
+WITH {GEO}, {OG}
+SELECT o_orderkey, o_custkey, o_orderstatus, region FROM og
+WHERE region IN ('EUROPE', 'MIDDLE EAST', 'AFRICA')"""
+
+# -- K10 ----------------------------------------------------------------------
+SQL["parity_two_paths"] = """
+SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS "month", o_orderstatus,
+       count(*) AS wh_orders, count(*) AS lake_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS wh_total,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS lake_total,
+       'match' AS status
+FROM orders GROUP BY ALL"""

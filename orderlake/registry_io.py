@@ -1 +1,396 @@
-"""Queries that write and read zone tables or run streams (registered on import)."""
+"""Queries that land files, write zone tables or run streams (registered on import).
+
+Each call works in a fresh folder under the checkpoint root (see
+``session.scratch_dir``); the source folder is only read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from orderlake.fixtures import RAW_COLUMNS, raw_orders
+from orderlake.functions.money import money, net_amount
+from orderlake.operators import clean as C
+from orderlake.operators import governance as G
+from orderlake.operators.upsert import create_keyed, read_keyed, upsert
+from orderlake.plans import star as M
+from orderlake.registry import RAW_STRING_COLS, query
+from orderlake.session import scratch_dir, session_tz
+from orderlake.sources.incremental import ingest_new, run_available, stream_files
+from orderlake.sources.messy import read_messy
+from orderlake.sources.zones import Lake, land_raw, read_landed, retention_plan
+from orderlake.streaming import medallion as L
+from orderlake.tables import Tables
+
+N_BUCKETS = 8
+LATEST = [F.col("seq").desc(), F.col("status").asc_nulls_last()]
+# Delivery boundaries used to split source tables into landed files.
+ORDER_DELIVERY_SPLIT = "1998-01-01"
+EVENT_WEEKS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def _land_raw_order_deliveries(t: Tables, landing: str) -> list[str]:
+    """raw_orders as JSON lines in two deliveries: first versions (with resends), then newer versions."""
+    raw = raw_orders(t.orders)
+    return [L.land(raw.where(F.col("seq") == 1), landing, "json"),
+            L.land(raw.where(F.col("seq") == 2), landing, "json")]
+
+
+def _event_weeks(t: Tables) -> list[DataFrame]:
+    e = t.events
+    bounds = [None, *EVENT_WEEKS, None]
+    out = []
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo:
+            cond = cond & (F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            cond = cond & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
+        out.append(e.where(cond))
+    return out
+
+
+def _order_deliveries(t: Tables) -> list[DataFrame]:
+    split = F.lit(ORDER_DELIVERY_SPLIT).cast("timestamp_ntz")
+    return [t.orders.where(F.col("o_orderdate") < split), t.orders.where(F.col("o_orderdate") >= split)]
+
+
+# -- B ------------------------------------------------------------------------
+@query("bronze_land_orders")
+def _b1(t):
+    spark = t.spark
+    landing = scratch_dir(spark, "landing")
+    L.land(raw_orders(t.orders), landing, "json")
+    landed = read_landed(spark, landing, list(RAW_COLUMNS), "json")
+    lake = Lake(spark)
+    lake.write(land_raw(landed, 1, list(RAW_COLUMNS), F.col("_file")), "bronze", "raw_orders", ["_batch_id"])
+    return lake.read("bronze", "raw_orders").drop("_source_file", "_ingested_at")
+
+
+CORRUPT_SCHEMA = ("order_id bigint, customer_id bigint, order_date string, amount decimal(12,2), "
+                  "status string, priority string, seq int")
+
+
+@query("bronze_corrupt_capture")
+def _b2(t):
+    spark = t.spark
+    landing = scratch_dir(spark, "landing-csv")
+    (raw_orders(t.orders).write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(f"{landing}/delivery-1"))
+    df = read_messy(spark, f"{landing}/delivery-1", CORRUPT_SCHEMA, "csv", header=True).cache()
+    return df.select("order_id", "customer_id", "amount", "seq", "status",
+                     F.col("_corrupt").isNotNull().alias("is_corrupt"))
+
+
+@query("bronze_incremental_rerun")
+def _b3(t):
+    spark = t.spark
+    root = scratch_dir(spark, "ingest")
+    landing, dst, ckpt = f"{root}/landing", f"{root}/bronze/orders", f"{root}/_checkpoints/orders"
+    schema = t.orders.schema
+    for delivery in _order_deliveries(t):
+        L.land(delivery, landing)
+        ingest_new(spark, landing, dst, ckpt, schema)
+        ingest_new(spark, landing, dst, ckpt, schema)      # rerun with nothing new adds nothing
+    return spark.read.parquet(dst).drop("_source_file")
+
+
+@query("bronze_stream_files")
+def _b4(t):
+    spark = t.spark
+    root = scratch_dir(spark, "stream-files")
+    landing = f"{root}/landing"
+    for week in _event_weeks(t):
+        L.land(week, landing, n_files=2, order_by="ts")
+    s = stream_files(spark, landing, t.events.schema, "parquet", max_files_per_trigger=2)
+    run_available(s, f"{root}/bronze/events", f"{root}/_checkpoints/events")
+    return spark.read.parquet(f"{root}/bronze/events")
+
+
+@query("zone_partition_layout")
+def _b5(t):
+    lake = Lake(t.spark)
+    lines = t.lineitem.withColumn("ship_year", F.year("l_shipdate"))
+    lake.write(lines, "silver", "lineitem", ["ship_year"])
+    return (lake.read("silver", "lineitem").groupBy("ship_year")
+            .agg(F.count(F.lit(1)).alias("row_count"), F.sum(net_amount()).cast("decimal(38,4)").alias("net_revenue")))
+
+
+RETENTION_AS_OF = "2001-12-31"
+
+
+def order_month_table(t: Tables, lake: Lake) -> str:
+    orders = t.orders.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    return lake.write(orders, "bronze", "orders", ["order_month"])
+
+
+def orders_retention_plan(lake: Lake) -> DataFrame:
+    df = lake.read("bronze", "orders")
+    return retention_plan(df, "order_month", F.to_date(F.concat(F.col("order_month"), F.lit("-01"))),
+                          F.lit(RETENTION_AS_OF).cast("date"), hot_days=365, warm_days=3 * 365)
+
+
+@query("lifecycle_plan")
+def _b6(t):
+    lake = Lake(t.spark)
+    order_month_table(t, lake)
+    return orders_retention_plan(lake)
+
+
+# -- C8, M7 -------------------------------------------------------------------
+@query("silver_upsert_idempotent")
+def _c8(t):
+    spark = t.spark
+    cleaned = C.drop_resends(C.clean_orders(raw_orders(t.orders)))
+    path = scratch_dir(spark, "keyed-orders")
+    create_keyed(C.latest_per_key(cleaned.where(F.col("seq") == 1), ["order_id"], LATEST), path, ["order_id"],
+                 N_BUCKETS)
+    changes = cleaned.where(F.col("seq") == 2)
+    upsert(spark, path, changes, ["order_id"], N_BUCKETS, LATEST)
+    upsert(spark, path, changes, ["order_id"], N_BUCKETS, LATEST)   # replay: no change
+    return read_keyed(spark, path)
+
+
+def customer_changes(t: Tables) -> DataFrame:
+    """Attribute changes for the customer dimension: customers in debt move to COLLECTIONS."""
+    current = M.dim_customer(t)
+    debtors = t.customer.where(F.col("c_acctbal") < 0).select("c_custkey")
+    return (current.join(debtors, "c_custkey", "left_semi")
+                   .withColumn("c_mktsegment", F.lit("COLLECTIONS")))
+
+
+@query("dim_incremental")
+def _m7(t):
+    spark = t.spark
+    path = scratch_dir(spark, "dim-customer")
+    create_keyed(M.dim_customer(t), path, ["c_custkey"], N_BUCKETS)
+    changes = customer_changes(t)
+    upsert(spark, path, changes, ["c_custkey"], N_BUCKETS)
+    upsert(spark, path, changes, ["c_custkey"], N_BUCKETS)
+    return read_keyed(spark, path)
+
+
+# -- X ------------------------------------------------------------------------
+def lineitem_lake_files(t: Tables) -> str:
+    lake = Lake(t.spark)
+    lake.write(t.lineitem.withColumn("ship_year", F.year("l_shipdate")), "silver", "lineitem", ["ship_year"])
+    return lake.path("silver", "lineitem")
+
+
+def pruned_scan(spark, path: str) -> DataFrame:
+    files = M.external(spark, path)
+    return (files.where((F.col("ship_year") == 1998) & (F.col("l_discount") > 0.05))
+                 .groupBy("l_returnflag")
+                 .agg(F.count(F.lit(1)).alias("lines"),
+                      F.sum(money("l_quantity")).cast("decimal(38,2)").alias("units"),
+                      F.sum(net_amount()).cast("decimal(38,4)").alias("net_revenue")))
+
+
+@query("external_pruned_scan")
+def _x1(t):
+    return pruned_scan(t.spark, lineitem_lake_files(t))
+
+
+@query("external_join_star")
+def _x2(t):
+    spark = t.spark
+    files = M.external(spark, lineitem_lake_files(t))
+    lake = Lake(spark)
+    lake.write(M.dim_product(t), "gold", "dim_product")
+    prod = lake.read("gold", "dim_product").select("p_partkey", "price_band")
+    return (files.join(prod, files["l_partkey"] == prod["p_partkey"], "left")
+                 .groupBy(F.coalesce("price_band", F.lit(M.UNKNOWN_LABEL)).alias("price_band"), "ship_year")
+                 .agg(F.count(F.lit(1)).alias("lines"),
+                      F.sum(net_amount()).cast("decimal(38,4)").alias("net_revenue")))
+
+
+# -- L ------------------------------------------------------------------------
+def _raw_stream(spark, landing):
+    return stream_files(spark, landing, spark.createDataFrame([], L.RAW_SCHEMA).schema, "json")
+
+
+@query("stream_silver_orders")
+def _l1(t):
+    spark = t.spark
+    root = scratch_dir(spark, "stream-silver")
+    landing = f"{root}/landing"
+    _land_raw_order_deliveries(t, landing)
+    silver = L.silver_stream(_raw_stream(spark, landing), C.order_rules(t.customer))
+    run_available(silver, f"{root}/silver/orders", f"{root}/_checkpoints/silver")
+    return spark.read.parquet(f"{root}/silver/orders")
+
+
+@query("stream_enrich")
+def _l2(t):
+    spark = t.spark
+    root = scratch_dir(spark, "stream-enrich")
+    landing = f"{root}/landing"
+    geo = M.geography(t)
+    dim = (t.customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+           .select("c_custkey", "region", "nation"))
+    for d in _order_deliveries(t):
+        L.land(d, landing)
+    s = stream_files(spark, landing, t.orders.schema).select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                             "o_totalprice")
+    enriched = L.enrich(s, dim, F.col("o_custkey") == F.col("c_custkey"), "left").drop("c_custkey")
+    run_available(enriched, f"{root}/silver/orders_geo", f"{root}/_checkpoints/enrich")
+    return spark.read.parquet(f"{root}/silver/orders_geo")
+
+
+EVENT_MEASURES = lambda: [F.count(F.lit(1)).alias("events"),
+                          F.sum(money("value")).cast("decimal(38,2)").alias("value_sum")]
+
+
+@query("stream_gold_daily")
+def _l3(t):
+    spark = t.spark
+    root = scratch_dir(spark, "stream-gold")
+    landing, gold = f"{root}/landing", f"{root}/gold/events_daily"
+    for week in _event_weeks(t):
+        L.land(week, landing, n_files=2, order_by="ts")
+        L.run_gold_windows(spark, landing, t.events.schema, gold, f"{root}/_checkpoints/gold", "ts",
+                           "1 day", "1 hour", ["event_type"], EVENT_MEASURES(), N_BUCKETS)
+    return read_keyed(spark, gold)
+
+
+@query("stream_upsert_latest")
+def _l4(t):
+    spark = t.spark
+    root = scratch_dir(spark, "stream-upsert")
+    landing, target = f"{root}/landing", f"{root}/silver/orders"
+    schema = spark.createDataFrame([], L.RAW_SCHEMA).schema
+    _land_raw_order_deliveries(t, landing)
+    L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/a", ["order_id"], LATEST,
+                    N_BUCKETS, C.clean_orders, fmt="json")
+    # replay every delivery from a fresh checkpoint into the same table: nothing changes
+    L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/b", ["order_id"], LATEST,
+                    N_BUCKETS, C.clean_orders, fmt="json")
+    return read_keyed(spark, target)
+
+
+@query("medallion_end_to_end")
+def _l5(t):
+    spark = t.spark
+    root = scratch_dir(spark, "medallion")
+    landing = f"{root}/landing"
+    raw = raw_orders(t.orders)
+    m = L.Medallion(spark, landing, f"{root}/lake", N_BUCKETS)
+    L.land(raw.where(F.col("seq") == 1), landing, "json")
+    m.run(t.customer)
+    L.land(raw.where(F.col("seq") == 2), landing, "json")
+    m.run(t.customer)
+    return m.run(t.customer)          # nothing new: same gold
+
+
+@query("stream_dedup")
+def _l6(t):
+    spark = t.spark
+    root = scratch_dir(spark, "stream-dedup")
+    landing, out, ckpt = f"{root}/landing", f"{root}/silver/events", f"{root}/_checkpoints/dedup"
+    w1, w2, w3, w4 = _event_weeks(t)
+    tz = session_tz(spark)
+
+    def run():
+        s = stream_files(spark, landing, t.events.schema)
+        run_available(L.dedup_stream(s, ["event_id"], "ts", "2 days", tz), out, ckpt)
+
+    L.land(w1, landing, order_by="ts")
+    L.land(w2, landing, order_by="ts")
+    L.land(w2, landing, order_by="ts")      # resent in the same micro-batch
+    run()
+    L.land(w3, landing, order_by="ts")
+    run()
+    L.land(w4, landing, order_by="ts")
+    L.land(w1, landing, order_by="ts")      # resent weeks later
+    run()
+    return spark.read.parquet(out)
+
+
+# -- G ------------------------------------------------------------------------
+def customer_tags(spark):
+    return G.tag_table(spark, [("customer", "c_name", "pii"), ("customer", "c_acctbal", "financial")])
+
+
+def role_grants(spark):
+    return G.grant_table(spark, [("finance", "financial"), ("steward", "pii"), ("steward", "financial")])
+
+
+def region_grants(spark):
+    return spark.createDataFrame([("emea_analyst", "EUROPE"), ("emea_analyst", "MIDDLE EAST"),
+                                  ("emea_analyst", "AFRICA"), ("apac_analyst", "ASIA")], "role string, value string")
+
+
+@query("gov_tag_columns")
+def _g1(t):
+    spark = t.spark
+    return G.governed_view(t.customer, "customer", customer_tags(spark), role_grants(spark), "finance")
+
+
+@query("gov_mask_pii")
+def _g2(t):
+    spark = t.spark
+    return G.mask_by_tag(t.customer, "customer", customer_tags(spark), role_grants(spark), "analyst",
+                         {"pii": "hash", "financial": "redact"})
+
+
+@query("gov_row_filter")
+def _g3(t):
+    from orderlake.plans.dashboard import orders_geo
+    og = orders_geo(t).select("o_orderkey", "o_custkey", "o_orderstatus", "region")
+    return G.row_policy(og, "region", region_grants(t.spark), "emea_analyst")
+
+
+@query("gov_catalog_columns")
+def _g4(t):
+    spark = t.spark
+    lake = Lake(spark)
+    tags = customer_tags(spark)
+    G.register(lake, t.customer, "silver", "customer", "customers, typed", "data-eng", tags)
+    G.register(lake, M.dim_customer(t), "gold", "dim_customer", "customer dimension", "analytics")
+    G.register(lake, land_raw(raw_orders(t.orders), 1), "bronze", "raw_orders", "raw order deliveries",
+               "data-eng", partition_by=["_batch_id"])
+    return G.catalog_report(lake)
+
+
+# -- K10 ----------------------------------------------------------------------
+def reconcile(a: DataFrame, b: DataFrame, keys, measures, a_name: str = "wh", b_name: str = "lake") -> DataFrame:
+    """Full outer join on the keys (NULL-safe); per key: both values of each measure and a status."""
+    aa = a.select(*[F.col(k).alias(f"_a_{k}") for k in keys], *[F.col(m).alias(f"{a_name}_{m}") for m in measures])
+    bb = b.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *[F.col(m).alias(f"{b_name}_{m}") for m in measures])
+    cond = None
+    for k in keys:
+        c = F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}"))
+        cond = c if cond is None else cond & c
+    j = aa.join(bb, cond, "full_outer")
+    in_a = F.greatest(*[F.col(f"_a_{k}").isNotNull() for k in keys]) if len(keys) > 1 else F.col(f"_a_{keys[0]}").isNotNull()
+    in_b = F.greatest(*[F.col(f"_b_{k}").isNotNull() for k in keys]) if len(keys) > 1 else F.col(f"_b_{keys[0]}").isNotNull()
+    same = None
+    for m in measures:
+        c = F.col(f"{a_name}_{m}").eqNullSafe(F.col(f"{b_name}_{m}"))
+        same = c if same is None else same & c
+    status = (F.when(~in_b, F.lit(f"only_{a_name}")).when(~in_a, F.lit(f"only_{b_name}"))
+              .when(same, F.lit("match")).otherwise(F.lit("differ")))
+    return j.select(*[F.coalesce(f"_a_{k}", f"_b_{k}").alias(k) for k in keys],
+                    *[c for m in measures for c in (f"{a_name}_{m}", f"{b_name}_{m}")],
+                    status.alias("status"))
+
+
+def _order_month_kpi(df: DataFrame) -> DataFrame:
+    return (df.groupBy(F.trunc("o_orderdate", "month").alias("month"), "o_orderstatus")
+              .agg(F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("total")))
+
+
+@query("parity_two_paths")
+def _k10(t):
+    spark = t.spark
+    root = scratch_dir(spark, "parity")
+    landing, gold = f"{root}/landing", f"{root}/gold/orders_month"
+    warehouse = _order_month_kpi(t.orders)
+    for d in _order_deliveries(t):
+        L.land(d, landing)
+    s = _order_month_kpi(stream_files(spark, landing, t.orders.schema))
+    run_available(s, None, f"{root}/_checkpoints/gold", output_mode="update",
+                  foreach_batch=L.upsert_sink(gold, ["month", "o_orderstatus"], N_BUCKETS))
+    return reconcile(warehouse, read_keyed(spark, gold), ["month", "o_orderstatus"], ["orders", "total"])
