@@ -24,7 +24,13 @@ from orderlake.streaming import medallion as L
 from orderlake.tables import Tables
 
 N_BUCKETS = 8
-LATEST = [F.col("seq").desc(), F.col("status").asc_nulls_last()]
+
+
+def latest_first():
+    """Version order of an order record: highest seq, then status (total order)."""
+    return [F.col("seq").desc(), F.col("status").asc_nulls_last()]
+
+
 # Delivery boundaries used to split source tables into landed files.
 ORDER_DELIVERY_SPLIT = "1998-01-01"
 EVENT_WEEKS = ("2024-01-08", "2024-01-15", "2024-01-22")
@@ -145,11 +151,11 @@ def _c8(t):
     spark = t.spark
     cleaned = C.drop_resends(C.clean_orders(raw_orders(t.orders)))
     path = scratch_dir(spark, "keyed-orders")
-    create_keyed(C.latest_per_key(cleaned.where(F.col("seq") == 1), ["order_id"], LATEST), path, ["order_id"],
+    create_keyed(C.latest_per_key(cleaned.where(F.col("seq") == 1), ["order_id"], latest_first()), path, ["order_id"],
                  N_BUCKETS)
     changes = cleaned.where(F.col("seq") == 2)
-    upsert(spark, path, changes, ["order_id"], N_BUCKETS, LATEST)
-    upsert(spark, path, changes, ["order_id"], N_BUCKETS, LATEST)   # replay: no change
+    upsert(spark, path, changes, ["order_id"], N_BUCKETS, latest_first())
+    upsert(spark, path, changes, ["order_id"], N_BUCKETS, latest_first())   # replay: no change
     return read_keyed(spark, path)
 
 
@@ -262,10 +268,10 @@ def _l4(t):
     landing, target = f"{root}/landing", f"{root}/silver/orders"
     schema = spark.createDataFrame([], L.RAW_SCHEMA).schema
     _land_raw_order_deliveries(t, landing)
-    L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/a", ["order_id"], LATEST,
+    L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/a", ["order_id"], latest_first(),
                     N_BUCKETS, C.clean_orders, fmt="json")
     # replay every delivery from a fresh checkpoint into the same table: nothing changes
-    L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/b", ["order_id"], LATEST,
+    L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/b", ["order_id"], latest_first(),
                     N_BUCKETS, C.clean_orders, fmt="json")
     return read_keyed(spark, target)
 
