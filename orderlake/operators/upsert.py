@@ -3,9 +3,10 @@
 The keyed table is parquet partitioned by ``_bucket = pmod(xxhash64(key), n)``.
 An upsert touches only the buckets that hold changed keys:
 
-1. tag changes with their bucket; the set of touched buckets has at most
-   ``n_buckets`` values, so it is broadcast and the semi join below becomes a
-   partition filter on the target scan (dynamic partition pruning);
+1. tag changes with their bucket and fetch the set of touched bucket ids (at
+   most ``n_buckets`` integers, a bound fixed by the caller, never by the
+   data); it becomes a static partition filter, so the target scan lists and
+   reads only those bucket folders;
 2. union the touched buckets' current rows with the changes and keep the
    newest version per key (C5), changes winning ties;
 3. write the merged buckets to a staging table in the checkpoint folder (this
@@ -55,10 +56,15 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[st
     cols = [c for c in target.columns if c != BUCKET]
     ch = (changes.select(*cols).withColumn(BUCKET, bucket_of(keys, n_buckets))
           .withColumn("_src", F.lit(1)))
-    touched = ch.select(BUCKET).distinct()
-    current = target.join(F.broadcast(touched), BUCKET, "left_semi").withColumn("_src", F.lit(0))
+    ch = ch.persist()          # read twice: for the bucket ids and for the merge
+    touched = [r[0] for r in ch.select(BUCKET).distinct().collect()]
+    if not touched:
+        ch.unpersist()
+        return
+    current = target.where(F.col(BUCKET).isin(touched)).withColumn("_src", F.lit(0))
     merged = latest_per_key(current.unionByName(ch), keys, list(order) + [F.col("_src").desc()]).drop("_src")
     staging = scratch_dir(spark, "upsert-staging")
     merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
     (spark.read.schema(merged.schema).parquet(staging).repartition(BUCKET).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+    ch.unpersist()

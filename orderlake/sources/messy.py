@@ -1,9 +1,10 @@
 """Permissive reads of messy text files (B2).
 
 Records that do not fit the declared schema are kept: the whole raw line goes
-to the corrupt-record column and the job does not fail.  The result is cached
-before use because Spark refuses queries over raw CSV/JSON that reference only
-the corrupt column (it would otherwise re-parse with a pruned schema).
+to the corrupt-record column and the job does not fail.  Spark refuses a query
+over raw CSV/JSON that references *only* the corrupt column; select it together
+with typed columns (as the bronze queries do), or persist the read first when a
+report needs the corrupt lines alone.
 """
 
 from __future__ import annotations
