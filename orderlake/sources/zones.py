@@ -59,8 +59,14 @@ class Lake:
             out = df.repartition(*[F.col(c) for c in partition_by], salt)
         exists = self.spark.catalog.tableExists(f"{self.schema(zone)}.{table}")
         if exists and mode == "overwrite" and partition_by:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            out.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+            # insertInto ignores a per-write option: scope the session setting to this write
+            key = "spark.sql.sources.partitionOverwriteMode"
+            old = self.spark.conf.get(key, "static")
+            self.spark.conf.set(key, "dynamic")
+            try:
+                out.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+            finally:
+                self.spark.conf.set(key, old)
         elif exists and mode == "append":
             out.select(*self.spark.table(name).columns).write.insertInto(name)
         else:

@@ -57,3 +57,13 @@ def test_incremental_ingest_reruns_add_nothing(tiny):
             counts.append(spark.read.parquet(dst).count())
     n1 = o.where(F.col("o_orderkey") < 500).count()
     assert counts == [n1, n1, o.count(), o.count()]
+
+
+def test_rewrite_replaces_only_the_partitions_written(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "static")
+    lake = Lake(spark)
+    lake.write(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "v int, p string"), "silver", "t", ["p"])
+    lake.write(spark.createDataFrame([(9, "a")], "v int, p string"), "silver", "t", ["p"])
+    assert sorted(map(tuple, lake.read("silver", "t").collect())) == [(2, "b"), (3, "c"), (9, "a")]
+    assert spark.conf.get(key) == "static"      # the session setting is left as it was
