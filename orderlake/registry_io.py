@@ -259,8 +259,8 @@ def _l3(t):
     for week in _event_weeks(t):
         L.land(week, landing, n_files=2, order_by="ts")
         L.run_gold_windows(spark, landing, t.events.schema, gold, f"{root}/_checkpoints/gold", "ts",
-                           "1 day", "1 hour", ["event_type"], EVENT_MEASURES(), N_BUCKETS)
-    return read_keyed(spark, gold)
+                           "1 day", "1 hour", ["event_type"], EVENT_MEASURES())
+    return L.read_batch_log(spark, gold, ["window_start", "event_type"])
 
 
 @query("stream_upsert_latest")
@@ -399,6 +399,6 @@ def _k10(t):
     for d in _order_deliveries(t):
         L.land(d, landing)
     s = _order_month_kpi(stream_files(spark, landing, t.orders.schema))
-    run_available(s, None, f"{root}/_checkpoints/gold", output_mode="update",
-                  foreach_batch=L.upsert_sink(gold, ["month", "o_orderstatus"], N_BUCKETS))
-    return reconcile(warehouse, read_keyed(spark, gold), ["month", "o_orderstatus"], ["orders", "total"])
+    run_available(s, None, f"{root}/_checkpoints/gold", output_mode="update", foreach_batch=L.batch_log_sink(gold))
+    lake = L.read_batch_log(spark, gold, ["month", "o_orderstatus"])
+    return reconcile(warehouse, lake, ["month", "o_orderstatus"], ["orders", "total"])

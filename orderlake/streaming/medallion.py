@@ -72,7 +72,7 @@ def gold_windows(stream: DataFrame, ts_col: str, width: str, lateness: str, by:
 
     The watermark bounds the state: a window's state is dropped once the
     watermark passes its end, and rows older than the watermark are dropped
-    as late.  Run in ``update`` mode with :func:`upsert_sink` so every
+    as late.  Run in ``update`` mode with :func:`batch_log_sink` so every
     changed window is written as it changes and the gold table is complete
     at any time (append mode would hold back still-open windows).
     """
@@ -105,13 +105,36 @@ def upsert_sink(path: str, keys: Sequence[str], n_buckets: int, order: Sequence[
     return sink
 
 
+BATCH = "batch_id"
+
+
+def batch_log_sink(path: str):
+    """``foreachBatch`` function for ``update``-mode aggregates: each micro-batch
+    writes the rows it changed to its own folder ``batch_id=<n>``.
+
+    A replayed batch has the same id and overwrites the same folder, so the sink
+    is idempotent with a single write per batch.  :func:`read_batch_log` gives
+    the current value of every key (the row from the newest batch).  The log
+    grows by the number of *changed* keys per batch, which the watermark bounds.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+    return sink
+
+
+def read_batch_log(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    log = spark.read.parquet(path)
+    return C.latest_per_key(log, keys, [F.col(BATCH).desc()]).drop(BATCH)
+
+
 def run_gold_windows(spark: SparkSession, src: str, schema, gold_path: str, checkpoint: str, ts_col: str,
                      width: str, lateness: str, by: Sequence[str], measures: Sequence[Column],
-                     n_buckets: int = 8, max_files_per_trigger: int | None = None) -> dict:
+                     max_files_per_trigger: int | None = None) -> dict:
+    """Run the windowed aggregate over newly landed files; read gold with
+    ``read_batch_log(spark, gold_path, ["window_start", *by])``."""
     s = stream_files(spark, src, schema, "parquet", max_files_per_trigger)
     g = gold_windows(s, ts_col, width, lateness, by, measures, session_tz(spark))
-    return run_available(g, None, checkpoint, foreach_batch=upsert_sink(gold_path, ["window_start", *by], n_buckets),
-                         output_mode="update")
+    return run_available(g, None, checkpoint, foreach_batch=batch_log_sink(gold_path), output_mode="update")
 
 
 # -- L4 -------------------------------------------------------------------------

@@ -43,7 +43,8 @@ def test_gold_windows_stream_equals_batch_across_deliveries(tiny):
         L.land(e.where((F.col("ts") >= lo) & (F.col("ts") < hi)), f"{root}/landing", order_by="ts")
         L.run_gold_windows(spark, f"{root}/landing", e.schema, f"{root}/gold", f"{root}/ckpt", "ts", "1 day",
                            "1 hour", ["event_type"], measures())
-    got = read_keyed(spark, f"{root}/gold").select("window_start", "event_type", "events")
+    got = L.read_batch_log(spark, f"{root}/gold", ["window_start", "event_type"]).select(
+        "window_start", "event_type", "events")
     batch = (e.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type")
               .agg(F.count(F.lit(1)).alias("events")))
     assert _same(got, batch)
