@@ -4,8 +4,8 @@ The keyed table is parquet partitioned by ``_bucket = pmod(xxhash64(key), n)``.
 An upsert touches only the buckets that hold changed keys:
 
 1. tag changes with their bucket and fetch the set of touched bucket ids (at
-   most ``n_buckets`` integers, a bound fixed by the caller, never by the
-   data); it becomes a static partition filter, so the target scan lists and
+   most ``n_buckets`` integers for hash buckets, or key range / width for range
+   buckets: a bound fixed by the caller's layout, not by the rows); it becomes a static partition filter, so the target scan lists and
    reads only those bucket folders;
 2. union the touched buckets' current rows with the changes and keep the
    newest version per key (C5), changes winning ties;
@@ -31,13 +31,23 @@ from orderlake.session import scratch_dir
 BUCKET = "_bucket"
 
 
-def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
+def bucket_of(keys: Sequence[str], n_buckets: int, range_width: int | None = None) -> Column:
+    """Hash buckets (default: any change set spreads evenly), or, with
+    ``range_width``, ranges of one increasing numeric key (new and recently
+    changed keys then sit in the last few buckets, so an upsert of recent
+    changes rewrites only those; a keyed table has one row per key, so ranges
+    of a dense key cannot skew)."""
+    if range_width:
+        if len(keys) != 1:
+            raise ValueError("range buckets need exactly one numeric key")
+        return F.floor(F.col(keys[0]) / F.lit(range_width)).cast("int")
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-def create_keyed(df: DataFrame, path: str, keys: Sequence[str], n_buckets: int) -> None:
+def create_keyed(df: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
+                 range_width: int | None = None) -> None:
     """First load of a keyed table (one latest row per key)."""
-    out = df.withColumn(BUCKET, bucket_of(keys, n_buckets))
+    out = df.withColumn(BUCKET, bucket_of(keys, n_buckets, range_width))
     out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
@@ -46,7 +56,7 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], n_buckets: int,
-           order: Sequence[Column] = ()) -> None:
+           order: Sequence[Column] = (), range_width: int | None = None) -> None:
     """Replace changed keys and add new ones in the keyed table at ``path``.
 
     ``order`` ranks versions of one key best-first (e.g. a version column
@@ -54,7 +64,7 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[st
     """
     target = spark.read.parquet(path)
     cols = [c for c in target.columns if c != BUCKET]
-    ch = (changes.select(*cols).withColumn(BUCKET, bucket_of(keys, n_buckets))
+    ch = (changes.select(*cols).withColumn(BUCKET, bucket_of(keys, n_buckets, range_width))
           .withColumn("_src", F.lit(1)))
     ch = ch.persist()          # read twice: for the bucket ids and for the merge
     touched = [r[0] for r in ch.select(BUCKET).distinct().collect()]

@@ -15,6 +15,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
+    # No broadcast from plan-time size *estimates* (after column pruning they
+    # are loose: at sf0.1 the planner broadcast the whole line table).  AQE
+    # still converts a join to broadcast at run time when the *measured*
+    # shuffle output of a side is under its threshold; bounded tables (nation,
+    # region, policy lists) are broadcast by explicit hints.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -8,7 +8,7 @@ from orderlake.session import scratch_dir
 
 def _files(path):
     out = {}
-    for d, _, fs in os.walk(path):
+    for d, _, fs in os.walk(path.replace("file:", "", 1)):
         for f in fs:
             if f.endswith(".parquet"):
                 p = os.path.join(d, f)
@@ -30,5 +30,20 @@ def test_upsert_replaces_adds_and_is_idempotent(spark):
     got = {r.k: r.v for r in once}
     assert len(got) == 101 and got[5] == "new5" and got[200] == "added" and got[7] == "v7"
     after = _files(path)
+    assert before and after
     untouched = [p for p in before if p in after and before[p] == after[p]]
     assert len(untouched) >= len(before) - 3      # only the touched buckets were rewritten
+
+
+def test_range_buckets_rewrite_only_recent_buckets(spark):
+    path = scratch_dir(spark, "test-upsert-range")
+    base = spark.createDataFrame([(k, 1) for k in range(1000)], "k long, v int")
+    create_keyed(base, path, ["k"], 0, range_width=100)
+    before = _files(path)
+    upsert(spark, path, spark.createDataFrame([(995, 2), (1001, 1)], "k long, v int"), ["k"], 0,
+           [F.col("v").desc()], range_width=100)
+    after = _files(path)
+    changed = {p.split("_bucket=")[1].split("/")[0] for p in after if p not in before or before[p] != after[p]}
+    assert changed == {"9", "10"}
+    got = {r.k: r.v for r in read_keyed(spark, path).collect()}
+    assert len(got) == 1001 and got[995] == 2 and got[1001] == 1
