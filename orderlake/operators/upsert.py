@@ -44,11 +44,19 @@ def bucket_of(keys: Sequence[str], n_buckets: int, range_width: int | None = Non
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
+def _spread(df: DataFrame, keys: Sequence[str], files_per_bucket: int) -> DataFrame:
+    """Distribute rows so that one bucket is written by up to ``files_per_bucket``
+    tasks (a bucket of a large table is never one task); the salt is a hash of
+    the key, so a retried task writes exactly the same rows."""
+    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(1)), F.lit(files_per_bucket))
+    return df.repartition(F.col(BUCKET), salt)
+
+
 def create_keyed(df: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
-                 range_width: int | None = None) -> None:
+                 range_width: int | None = None, files_per_bucket: int = 4) -> None:
     """First load of a keyed table (one latest row per key)."""
     out = df.withColumn(BUCKET, bucket_of(keys, n_buckets, range_width))
-    out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    _spread(out, keys, files_per_bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +64,7 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], n_buckets: int,
-           order: Sequence[Column] = (), range_width: int | None = None) -> None:
+           order: Sequence[Column] = (), range_width: int | None = None, files_per_bucket: int = 4) -> None:
     """Replace changed keys and add new ones in the keyed table at ``path``.
 
     ``order`` ranks versions of one key best-first (e.g. a version column
@@ -74,7 +82,8 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[st
     current = target.where(F.col(BUCKET).isin(touched)).withColumn("_src", F.lit(0))
     merged = latest_per_key(current.unionByName(ch), keys, list(order) + [F.col("_src").desc()]).drop("_src")
     staging = scratch_dir(spark, "upsert-staging")
-    merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    (spark.read.schema(merged.schema).parquet(staging).repartition(BUCKET).write.mode("overwrite")
+    _spread(merged, keys, files_per_bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    # the staged files are already laid out per bucket: copy them without another shuffle
+    (spark.read.schema(merged.schema).parquet(staging).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     ch.unpersist()
