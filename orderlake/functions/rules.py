@@ -67,26 +67,62 @@ def satisfies(name: str, predicate: Callable[[], Column], min_pass: float = 1.0,
     return Rule(name, "expression", lambda: ~predicate(), min_pass, action)
 
 
+# Largest orphan-key set that is broadcast (8-byte keys: well under 100 MB built).
+MAX_BROADCAST_ORPHANS = 1_000_000
+
+
+def mark_orphans(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str,
+                 max_broadcast: int = MAX_BROADCAST_ORPHANS) -> DataFrame:
+    """Adds boolean ``flag``: ``fk`` is not NULL and has no match in ``dim[dim_key]``.
+
+    The orphan keys are found from the *distinct* foreign keys (a shuffle of
+    keys, reduced map-side, not of whole rows) anti-joined with the dimension's
+    keys, and counted.  When the count proves the set small (normally it is
+    empty) it is broadcast and ``df`` is flagged without any shuffle; otherwise
+    ``df`` is joined to the dimension's key set in the usual shuffle join.  This
+    keeps the largest table from being shuffled once per checked reference.
+    On a streaming ``df`` the check is a stream-static join to the key set
+    (each micro-batch joins the current dimension).
+    """
+    if df.isStreaming:
+        return _join_found(df, fk, dim, dim_key, flag)
+    fks = df.select(F.col(fk).alias("_orphan_key")).where(F.col("_orphan_key").isNotNull()).distinct()
+    keys = dim.select(F.col(dim_key).alias("_orphan_key"))
+    orphans = fks.join(keys, "_orphan_key", "left_anti").persist()
+    try:
+        n = orphans.count()
+    except Exception:
+        orphans.unpersist()
+        raise
+    if n <= max_broadcast:
+        o = orphans.withColumn(flag, F.lit(True))
+        j = df.join(F.broadcast(o), df[fk] == o["_orphan_key"], "left")
+        return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_orphan_key")
+    orphans.unpersist()
+    return _join_found(df, fk, dim, dim_key, flag)
+
+
+def _join_found(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str) -> DataFrame:
+    found = dim.select(F.col(dim_key).alias("_orphan_key")).distinct().withColumn("_found", F.lit(True))
+    j = df.join(found, df[fk] == found["_orphan_key"], "left")
+    return (j.withColumn(flag, F.col(fk).isNotNull() & F.col("_found").isNull())
+             .drop("_orphan_key", "_found"))
+
+
 def refers_to(col: str, other: DataFrame, other_key: str, min_pass: float = 1.0,
               action: str = "drop", name: str | None = None) -> Rule:
     """Referential integrity: a non-NULL ``col`` must exist in ``other[other_key]``.
 
-    ``prepare`` left-joins the *distinct* keys of ``other`` (a key set, never
-    wider than one column), so every input row is kept exactly once.  The join
-    is left to the planner: broadcast when the key set is small by statistics,
-    sort-merge with skew splitting (AQE) otherwise.
+    ``prepare`` flags orphans with :func:`mark_orphans` (every input row kept
+    exactly once; no shuffle of the checked table when orphans are few).
     """
     rule_name = name or f"{col}_refers_to_{other_key}"
     flag = f"_ref_{rule_name}"
 
     def prepare(df: DataFrame) -> DataFrame:
-        keys = other.select(F.col(other_key).alias(f"_k_{rule_name}")).distinct() \
-            .withColumn(flag, F.lit(True))
-        return (df.join(keys, df[col] == keys[f"_k_{rule_name}"], "left")
-                  .drop(f"_k_{rule_name}"))
+        return mark_orphans(df, col, other, other_key, flag)
 
-    return Rule(rule_name, "referential",
-                lambda: F.col(col).isNotNull() & F.col(flag).isNull(), min_pass, action, prepare)
+    return Rule(rule_name, "referential", lambda: F.col(flag), min_pass, action, prepare)
 
 
 def prepare_all(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

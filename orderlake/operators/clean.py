@@ -111,21 +111,22 @@ def resolve_refs(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str, mode: s
                  unknown=UNKNOWN_KEY) -> DataFrame:
     """Rows whose foreign key is missing from ``dim``.
 
-    mode ``reject``: the orphans (left_anti); ``keep``: the matched rows
-    (left_semi); ``unknown``: every row, orphans and NULL keys mapped to the
-    unknown member, with ``<fk>_resolved``.
+    mode ``reject``: the rows that cannot be resolved (orphans and NULL keys);
+    ``keep``: the matched rows; ``unknown``: every row, orphans and NULL keys
+    mapped to the unknown member, with ``<fk>_resolved``.  Orphans are found
+    with ``rules.mark_orphans``: no shuffle of ``fact`` when they are few.
     """
-    keys = dim.select(F.col(dim_key).alias("_dk")).distinct()
-    cond = fact[fk] == keys["_dk"]
+    from orderlake.functions.rules import mark_orphans
+    flagged = mark_orphans(fact, fk, dim, dim_key, "_orphan")
+    unresolved = F.col("_orphan") | F.col(fk).isNull()
     if mode == "reject":
-        return fact.join(keys, cond, "left_anti")
+        return flagged.where(unresolved).drop("_orphan")
     if mode == "keep":
-        return fact.join(keys, cond, "left_semi")
+        return flagged.where(~unresolved).drop("_orphan")
     if mode != "unknown":
         raise ValueError(mode)
-    return (fact.join(keys, cond, "left")
-                .withColumn(f"{fk}_resolved", F.coalesce(F.col("_dk"), F.lit(unknown).cast(fact.schema[fk].dataType)))
-                .drop("_dk"))
+    resolved = F.when(unresolved, F.lit(unknown).cast(fact.schema[fk].dataType)).otherwise(F.col(fk))
+    return flagged.withColumn(f"{fk}_resolved", resolved).drop("_orphan")
 
 
 # -- the cleaning recipe for raw_orders ---------------------------------------

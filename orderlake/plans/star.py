@@ -128,10 +128,16 @@ def dim_supplier(t: Tables) -> DataFrame:
 
 # -- M6 -------------------------------------------------------------------------
 def _known(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, out: str) -> DataFrame:
-    """Left join to the dimension's key set; orphans and NULLs -> unknown (-1)."""
-    keys = dim.select(F.col(dim_key).alias(f"_{out}")).distinct()
-    j = df.join(keys, df[fk] == keys[f"_{out}"], "left")
-    return j.withColumn(out, F.coalesce(F.col(f"_{out}"), F.lit(UNKNOWN).cast("bigint"))).drop(f"_{out}")
+    """``out`` = the foreign key if the dimension has it, else the unknown member (-1).
+
+    Orphans are flagged by ``rules.mark_orphans``: when they are few, no
+    shuffle of ``df`` at all (the part and supplier checks would otherwise
+    shuffle the line table twice more)."""
+    from orderlake.functions.rules import mark_orphans
+    flagged = mark_orphans(df, fk, dim, dim_key, f"_{out}_orphan")
+    missing = F.col(f"_{out}_orphan") | F.col(fk).isNull()
+    return (flagged.withColumn(out, F.when(missing, F.lit(UNKNOWN).cast("bigint")).otherwise(F.col(fk).cast("bigint")))
+                   .drop(f"_{out}_orphan"))
 
 
 def fact_sales(t: Tables) -> DataFrame:
@@ -139,7 +145,8 @@ def fact_sales(t: Tables) -> DataFrame:
 
     Order attributes are attached to orders *before* the line join, so the
     line table is shuffled once (by order key); the customer existence check
-    runs at order grain, the part and supplier checks at line grain.
+    runs at order grain, the part and supplier checks at line grain through
+    broadcast orphan sets (no shuffle when orphans are few).
     """
     orders = _known(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
                     t.customer, "c_custkey", "cust_key")

@@ -93,3 +93,15 @@ def test_raw_orders_defect_counts_match_fixture_doc(small):
     valid, quarantine = C.split_valid(silver, C.order_rules(small.customer))
     assert quarantine.count() == 2168
     assert valid.count() == 15000 - 2168
+
+
+def test_mark_orphans_broadcast_and_fallback_agree(spark):
+    from orderlake.functions.rules import mark_orphans
+    from tests.conftest import plan_text
+    fact = spark.createDataFrame([(i, i % 7 if i % 5 else None) for i in range(200)], "id int, fk bigint")
+    dim = spark.createDataFrame([(k,) for k in range(5)], "k bigint")
+    small = mark_orphans(fact, "fk", dim, "k", "orphan")
+    big = mark_orphans(fact, "fk", dim, "k", "orphan", max_broadcast=0)
+    assert sorted(small.collect()) == sorted(big.collect())
+    assert {r.fk for r in small.where("orphan").collect()} == {5, 6}
+    assert "BroadcastHashJoin" in plan_text(small)
