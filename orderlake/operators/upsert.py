@@ -64,11 +64,12 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], n_buckets: int,
-           order: Sequence[Column] = (), range_width: int | None = None, files_per_bucket: int = 4) -> None:
+           order: Sequence[Column] = (), range_width: int | None = None, files_per_bucket: int = 4) -> list[int]:
     """Replace changed keys and add new ones in the keyed table at ``path``.
 
     ``order`` ranks versions of one key best-first (e.g. a version column
     descending); when it ties, the incoming change wins over the stored row.
+    Returns the ids of the buckets that were rewritten.
     """
     target = spark.read.parquet(path)
     cols = [c for c in target.columns if c != BUCKET]
@@ -78,7 +79,7 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[st
     touched = [r[0] for r in ch.select(BUCKET).distinct().collect()]
     if not touched:
         ch.unpersist()
-        return
+        return []
     current = target.where(F.col(BUCKET).isin(touched)).withColumn("_src", F.lit(0))
     merged = latest_per_key(current.unionByName(ch), keys, list(order) + [F.col("_src").desc()]).drop("_src")
     staging = scratch_dir(spark, "upsert-staging")
@@ -87,3 +88,4 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[st
     (spark.read.schema(merged.schema).parquet(staging).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     ch.unpersist()
+    return sorted(touched)
