@@ -88,17 +88,15 @@ def mark_orphans(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str
         return _join_found(df, fk, dim, dim_key, flag)
     fks = df.select(F.col(fk).alias("_orphan_key")).where(F.col("_orphan_key").isNotNull()).distinct()
     keys = dim.select(F.col(dim_key).alias("_orphan_key"))
-    orphans = fks.join(keys, "_orphan_key", "left_anti").persist()
-    try:
-        n = orphans.count()
-    except Exception:
-        orphans.unpersist()
-        raise
+    from orderlake.session import checkpoint_root
+    checkpoint_root(df.sparkSession)          # make sure the shared checkpoint folder is set
+    # computed once, written to the checkpoint folder (lineage cut, no cached blocks left behind)
+    orphans = fks.join(keys, "_orphan_key", "left_anti").checkpoint(eager=True)
+    n = orphans.count()
     if n <= max_broadcast:
         o = orphans.withColumn(flag, F.lit(True))
         j = df.join(F.broadcast(o), df[fk] == o["_orphan_key"], "left")
         return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_orphan_key")
-    orphans.unpersist()
     return _join_found(df, fk, dim, dim_key, flag)
 
 
