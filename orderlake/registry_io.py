@@ -111,7 +111,7 @@ def _b4(t):
     root = scratch_dir(spark, "stream-files")
     landing = f"{root}/landing"
     for week in _event_weeks(t):
-        L.land(week, landing, n_files=2, order_by="ts")
+        L.land(week, landing, order_by="ts")
     s = stream_files(spark, landing, t.events.schema, "parquet", max_files_per_trigger=2)
     run_available(s, f"{root}/bronze/events", f"{root}/_checkpoints/events")
     return spark.read.parquet(f"{root}/bronze/events")
@@ -257,7 +257,7 @@ def _l3(t):
     root = scratch_dir(spark, "stream-gold")
     landing, gold = f"{root}/landing", f"{root}/gold/events_daily"
     for week in _event_weeks(t):
-        L.land(week, landing, n_files=2, order_by="ts")
+        L.land(week, landing, order_by="ts")
         L.run_gold_windows(spark, landing, t.events.schema, gold, f"{root}/_checkpoints/gold", "ts",
                            "1 day", "1 hour", ["event_type"], EVENT_MEASURES())
     return L.read_batch_log(spark, gold, ["window_start", "event_type"])

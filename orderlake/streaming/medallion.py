@@ -25,15 +25,22 @@ from orderlake.session import scratch_dir, session_tz
 from orderlake.sources.incremental import ingest_new, run_available, stream_files
 
 
-def land(df: DataFrame, landing: str, fmt: str = "parquet", n_files: int = 2, order_by: str | None = None) -> str:
+def land(df: DataFrame, landing: str, fmt: str = "parquet", n_files: int | None = None,
+         order_by: str | None = None) -> str:
     """Write one delivery as new files in its own folder under ``landing``.
 
     Each delivery gets a fresh folder name (a file replaced in place under the
     same name is not re-read by the file source).  ``order_by`` range-partitions
-    the delivery so its files follow the event order.
+    the delivery so its files follow the event order; without ``n_files`` the
+    number of ranges follows the session's shuffle partitions (and AQE), so a
+    large delivery is written by many tasks.  Without ``order_by`` the input's
+    own partitioning is kept (no shuffle).
     """
     path = f"{landing.rstrip('/')}/delivery-{uuid.uuid4().hex[:12]}"
-    out = df.repartitionByRange(n_files, order_by) if order_by else df.repartition(n_files)
+    if order_by:
+        out = df.repartitionByRange(n_files, order_by) if n_files else df.repartitionByRange(order_by)
+    else:
+        out = df.repartition(n_files) if n_files else df
     out.write.format(fmt).mode("errorifexists").save(path)
     return path
 
