@@ -163,13 +163,25 @@ def stream_upsert(spark: SparkSession, src: str, schema, path: str, checkpoint:
 
 
 # -- L6 -------------------------------------------------------------------------
-def dedup_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, lateness: str, tz: str) -> DataFrame:
+def dedup_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, lateness: str, tz: str,
+                 spread_copies: bool = True) -> DataFrame:
     """Drop resent events: a key seen within ``lateness`` of event time is dropped;
-    state for a key is released once the watermark passes it."""
-    ev = stream.withColumn("_event_time", to_event_time(ts_col, tz))
-    return (ev.withWatermark("_event_time", lateness)
-              .dropDuplicatesWithinWatermark(list(keys))
-              .drop("_event_time"))
+    state for a key is released once the watermark passes it.
+
+    Streaming de-duplication has no map-side combine: every copy of a key is
+    sent to the one task that owns the key.  With ``spread_copies`` a first
+    stage de-duplicates on (key, input split), so copies in different splits
+    collapse in parallel and the second stage, on the key alone, receives at
+    most one row per split.  A key resent a billion times then never reaches a
+    single task whole.  The split id is deterministic on replay, and for data
+    without copies the first stage keeps no more state than plain dedup.
+    """
+    ev = stream.withColumn("_event_time", to_event_time(ts_col, tz)).withWatermark("_event_time", lateness)
+    if spread_copies:
+        ev = (ev.withColumn("_split", F.spark_partition_id())
+                .dropDuplicatesWithinWatermark([*keys, "_split"])
+                .drop("_split"))
+    return ev.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
 # -- L5 -------------------------------------------------------------------------

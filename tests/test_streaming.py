@@ -123,3 +123,16 @@ def test_medallion_incremental_gold_equals_full_recompute(tiny):
     # the second run touched only the buckets of the newer versions
     touched = spark.read.parquet(m.dirty).groupBy("batch_id").count().collect()
     assert len(touched) >= 2
+
+
+def test_dedup_stream_collapses_a_hot_group_of_copies(tiny):
+    spark = tiny.spark
+    root = scratch_dir(spark, "test-l6-hot")
+    e = tiny.events
+    copies = e.where("event_id = 3").select("*", F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("_c")).drop("_c")
+    L.land(e.unionByName(copies), f"{root}/landing", order_by="ts")
+    s = stream_files(spark, f"{root}/landing", e.schema)
+    run_available(L.dedup_stream(s, ["event_id"], "ts", "1 day", session_tz(spark)), f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out")
+    assert out.count() == e.count() and out.select("event_id").distinct().count() == e.count()
+    assert _same(out, e)
