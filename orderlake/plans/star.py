@@ -171,17 +171,22 @@ def fact_sales(t: Tables) -> DataFrame:
 
 
 # -- M8 -------------------------------------------------------------------------
-def star_query(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], filters: Sequence[Column],
+def star_query(fact: DataFrame, dims: Sequence[tuple], filters: Sequence[Column],
                by: Sequence[str], measures: Sequence[Column]) -> DataFrame:
     """Filter dimensions, join them to the fact on (fact_key, dim_key), aggregate.
 
-    Dimension filters are applied before the join, so a filtered dimension is
-    small and the planner can broadcast it; on a fact table partitioned by a
-    dimension key, Spark adds a dynamic partition-pruning filter to the scan.
+    ``dims`` holds (dim, fact_key, dim_key) or (dim, fact_key, dim_key, bounded).
+    A dimension whose size is bounded by definition (the calendar, geography)
+    is broadcast by hint; on a fact table partitioned by that dimension's key,
+    Spark then adds a dynamic partition-pruning filter to the fact scan, so
+    only the partitions matching the filtered dimension are read.  Other
+    dimensions are left to the run-time (measured) broadcast decision.
     """
     out = fact
-    for dim, fact_key, dim_key in dims:
-        out = out.join(dim, out[fact_key] == dim[dim_key])
+    for d in dims:
+        dim, fact_key, dim_key = d[:3]
+        bounded = len(d) > 3 and d[3]
+        out = out.join(F.broadcast(dim) if bounded else dim, out[fact_key] == dim[dim_key])
     for f in filters:
         out = out.where(f)
     return out.groupBy(*by).agg(*measures)
@@ -191,10 +196,10 @@ def revenue_by_brand_year(t: Tables, region: str) -> DataFrame:
     fact = fact_sales(t)
     prod = dim_product(t).select("product_sk", "p_brand")
     cust = dim_customer(t).where(F.col("region") == region).select("customer_sk", "region")
-    dates = dim_date(t).select("date_key", "year")
+    dates = dim_date(t).select("date_key", "year")      # one row per day: bounded by the calendar
     return star_query(
         fact, [(cust, "customer_sk", "customer_sk"), (prod, "product_sk", "product_sk"),
-               (dates, "order_date_key", "date_key")],
+               (dates, "order_date_key", "date_key", True)],
         [], ["region", "p_brand", "year"],
         [F.sum("net").cast("decimal(38,4)").alias("net_revenue"),
          F.sum("quantity").cast("decimal(38,2)").alias("units"),

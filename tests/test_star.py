@@ -37,3 +37,22 @@ def test_external_scan_prunes_partitions_and_columns(tiny):
     assert "PushedFilters: [IsNotNull(l_discount), GreaterThan(l_discount,0.05)]" in plan
     read_schema = [line for line in plan.splitlines() if line.startswith("ReadSchema")][0]
     assert "l_tax" not in read_schema and "l_shipdate" not in read_schema
+
+
+def test_star_query_prunes_fact_partitions_dynamically(tiny):
+    from orderlake.sources.zones import Lake
+    lake = Lake(tiny.spark)
+    fact = M.fact_sales(tiny).withColumn("order_year", (F.col("order_date_key") / 10000).cast("int"))
+    lake.write(fact, "gold", "fact_sales", ["order_year"])
+    # a filter on a dimension *attribute* (leap years), not on the key: only
+    # run-time (dynamic) pruning can limit the fact scan to matching partitions
+    years = (M.dim_date(tiny).groupBy("year").agg(F.count(F.lit(1)).alias("days"))
+             .where(F.col("days") == 366).select("year"))
+    q = M.star_query(lake.read("gold", "fact_sales"), [(years, "order_year", "year", True)], [],
+                     ["year"], [F.sum("net").alias("net")])
+    plan = plan_text(q)
+    assert "dynamicpruning" in plan.lower()
+    got = {r.year: r.net for r in q.collect()}
+    want = {r.order_year: r.n for r in fact.where(F.col("order_year").isin(1996, 2000))
+            .groupBy("order_year").agg(F.sum("net").alias("n")).collect()}
+    assert got == want and set(got) == {1996, 2000}
