@@ -236,8 +236,11 @@ def _l2(t):
     root = scratch_dir(spark, "stream-enrich")
     landing = f"{root}/landing"
     geo = M.geography(t)
-    dim = (t.customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-           .select("c_custkey", "region", "nation"))
+    lake = Lake(spark)
+    lake.write(t.customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+               .select("c_custkey", "region", "nation"),
+               "silver", "customer_geo", bucket_by=(N_BUCKETS, ["c_custkey"]))
+    dim = lake.read("silver", "customer_geo")        # bucketed: micro-batches shuffle only themselves
     for d in _order_deliveries(t):
         L.land(d, landing)
     s = stream_files(spark, landing, t.orders.schema).select("o_orderkey", "o_custkey", "o_orderstatus",

@@ -41,7 +41,8 @@ class Lake:
 
     # -- B5 ---------------------------------------------------------------------
     def write(self, df: DataFrame, zone: str, table: str, partition_by: Sequence[str] = (),
-              mode: str = "overwrite", files_per_value: int = 4, comment: str | None = None) -> str:
+              mode: str = "overwrite", files_per_value: int = 4, comment: str | None = None,
+              bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
         """Write ``df`` as ``<zone>.<table>``, partitioned by ``partition_by``.
 
         Rows are first hash-distributed on (partition columns, a deterministic
@@ -51,8 +52,18 @@ class Lake:
         tasks.  The salt is a hash of the row, not ``rand()``, so a retried
         task rewrites exactly the same rows.  Overwrites of a partitioned table
         replace only the partition values present in ``df`` (dynamic mode).
+
+        ``bucket_by=(n, keys)`` stores the table in ``n`` hash buckets of
+        ``keys`` (one file per bucket): joins on ``keys`` then read it without
+        a shuffle, e.g. a dimension joined by every micro-batch of a stream,
+        where only the micro-batch is shuffled.  It rewrites the whole table.
         """
         name = self.name(zone, table)
+        if bucket_by:
+            n, keys = bucket_by
+            (df.repartition(n, *[F.col(k) for k in keys]).write.format("parquet").mode("overwrite")
+             .bucketBy(n, *keys).sortBy(*keys).saveAsTable(name))
+            return name
         out = df
         if partition_by:
             salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))

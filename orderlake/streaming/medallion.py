@@ -66,7 +66,14 @@ def silver_stream(stream: DataFrame, rules: Sequence = (), name: str = "silver_d
 
 # -- L2 -------------------------------------------------------------------------
 def enrich(stream: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
-    """Stream-static join: each micro-batch joins the current dimension snapshot."""
+    """Stream-static join: each micro-batch joins the current dimension snapshot.
+
+    Streaming micro-batches run without adaptive execution, and the static side
+    is re-read by every batch.  For a dimension that grows with the data, store
+    it bucketed by the join key (``Lake.write(..., bucket_by=(n, [key]))``):
+    every micro-batch then shuffles only its own rows into the dimension's
+    buckets, and the dimension is read in place.
+    """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("a stream-static join keeps the stream on the left")
     return stream.join(dim, on, how)

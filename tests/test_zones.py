@@ -67,3 +67,18 @@ def test_rewrite_replaces_only_the_partitions_written(spark):
     lake.write(spark.createDataFrame([(9, "a")], "v int, p string"), "silver", "t", ["p"])
     assert sorted(map(tuple, lake.read("silver", "t").collect())) == [(2, "b"), (3, "c"), (9, "a")]
     assert spark.conf.get(key) == "static"      # the session setting is left as it was
+
+
+def test_bucketed_dimension_is_joined_without_a_shuffle_of_its_own(tiny):
+    from tests.conftest import plan_text
+    spark = tiny.spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lake = Lake(spark)
+    lake.write(tiny.customer.select("c_custkey", "c_mktsegment"), "silver", "cust", bucket_by=(8, ["c_custkey"]))
+    dim = lake.read("silver", "cust")
+    j = tiny.orders.select("o_orderkey", "o_custkey").join(dim, F.col("o_custkey") == F.col("c_custkey"), "left")
+    plan = plan_text(j)
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Exchange") == 1            # only the orders side moves
+    assert "Bucketed: true" in plan or "bucketed" in plan.lower()
+    assert j.count() == tiny.orders.count()
