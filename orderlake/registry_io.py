@@ -15,7 +15,7 @@ from orderlake.operators import clean as C
 from orderlake.operators import governance as G
 from orderlake.operators.upsert import create_keyed, read_keyed, upsert
 from orderlake.plans import star as M
-from orderlake.registry import RAW_STRING_COLS, query
+from orderlake.registry import query
 from orderlake.session import scratch_dir, session_tz
 from orderlake.sources.incremental import ingest_new, run_available, stream_files
 from orderlake.sources.messy import read_messy

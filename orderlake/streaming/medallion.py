@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.dates import from_event_time, to_event_time
 from orderlake.operators import clean as C
 from orderlake.operators import quality as Q
-from orderlake.operators.upsert import BUCKET, bucket_of, create_keyed, upsert
+from orderlake.operators.upsert import BUCKET, create_keyed, upsert
 from orderlake.session import scratch_dir, session_tz
 from orderlake.sources.incremental import ingest_new, run_available, stream_files
 
