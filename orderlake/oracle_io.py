@@ -109,3 +109,29 @@ SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS "month", o_orderst
        CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS lake_total,
        'match' AS status
 FROM orders GROUP BY ALL"""
+
+# G4: the zone catalog.  silver.customer carries the source table's own columns
+# (read from DuckDB's information_schema); the gold dimension and the bronze
+# landing table have the schemas their builders define.
+SQL["gov_catalog_columns"] = """
+WITH silver_cols AS (
+  SELECT DISTINCT 'silver' AS zone, 'customer' AS "table", 'data-eng' AS owner, 'customers, typed' AS comment,
+         column_name AS "column",
+         CASE upper(data_type) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                               WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS data_type,
+         false AS is_partition,
+         CASE column_name WHEN 'c_name' THEN 'pii' WHEN 'c_acctbal' THEN 'financial' END AS tags
+  FROM information_schema.columns WHERE table_name = 'customer'),
+gold_cols AS (
+  SELECT 'gold' AS zone, 'dim_customer' AS "table", 'analytics' AS owner, 'customer dimension' AS comment,
+         c AS "column", t AS data_type, false AS is_partition, CAST(NULL AS VARCHAR) AS tags
+  FROM (VALUES ('customer_sk', 'string'), ('c_custkey', 'bigint'), ('c_name', 'string'),
+               ('c_mktsegment', 'string'), ('nation', 'string'), ('region', 'string')) v(c, t)),
+bronze_cols AS (
+  SELECT 'bronze' AS zone, 'raw_orders' AS "table", 'data-eng' AS owner, 'raw order deliveries' AS comment,
+         c AS "column", t AS data_type, p AS is_partition, CAST(NULL AS VARCHAR) AS tags
+  FROM (VALUES ('order_id', 'string', false), ('customer_id', 'string', false), ('order_date', 'string', false),
+               ('amount', 'string', false), ('status', 'string', false), ('priority', 'string', false),
+               ('seq', 'string', false), ('_batch_id', 'int', true), ('_source_file', 'string', false),
+               ('_ingested_at', 'timestamp', false)) v(c, t, p))
+SELECT * FROM silver_cols UNION ALL SELECT * FROM gold_cols UNION ALL SELECT * FROM bronze_cols"""
