@@ -113,9 +113,11 @@ def catalog_report(lake) -> DataFrame:
     for zone in ("bronze", "silver", "gold"):
         schema = lake.schema(zone)
         for t in spark.catalog.listTables(schema):
+            if t.isTemporary:          # session temp views are listed under every schema
+                continue
             props = {r["key"]: r["value"] for r in
                      spark.sql(f"SHOW TBLPROPERTIES `{schema}`.`{t.name}`").collect()}
-            for c in spark.catalog.listColumns(t.name, schema):
+            for c in spark.catalog.listColumns(f"`{schema}`.`{t.name}`"):
                 rows.append((zone, t.name, props.get("data_owner"), t.description, c.name, c.dataType,
                              c.isPartition, props.get(f"tags.{c.name}")))
     return spark.createDataFrame(rows, "zone string, table string, owner string, comment string, column string, "

@@ -35,3 +35,14 @@ def test_row_policy(tiny):
     grants = spark.createDataFrame([("eu", "EUROPE")], "role string, value string")
     assert [r.id for r in G.row_policy(df, "region", grants, "eu").collect()] == [1]
     assert G.row_policy(df, "region", grants, "nobody").count() == 0
+
+
+def test_catalog_report_ignores_session_temp_views(tiny):
+    from orderlake.sources.zones import Lake
+    spark = tiny.spark
+    tiny.customer.createOrReplaceTempView("customer")
+    lake = Lake(spark)
+    G.register(lake, tiny.customer, "silver", "customer", "customers", "team")
+    rows = G.catalog_report(lake).collect()
+    assert {(r.zone, r.table) for r in rows} == {("silver", "customer")}
+    assert len(rows) == len(tiny.customer.columns)
