@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from orderlake import oracle, registry
 from tools.oracle_check import TABLES, rows_of
 from tests.conftest import SF_TINY
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# the queries of this library proper; those of the optional subpackage are tested with it
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def test_entry_runs(spark):
@@ -18,6 +20,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries())
     assert len(QUERIES) == 54
 
 
