@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import gbt_rules, mixing, quality_classifier, sentencepiece_bpe, sharding, token_records, url_filter
+from orderlake.llm import gbt_rules, language_model, mixing, quality_classifier, sentencepiece_bpe, sharding, token_records, url_filter
 from orderlake.llm.common import table
 
 SHARDS = 40
@@ -35,6 +35,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _fold(7) == 2
+    scored, vocab = language_model.fit_and_score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                         F.lit(vocab.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(spark, table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -50,8 +57,8 @@ def op10_gbt_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gbt_rules.verdicts(docs, gbt_rules.fit(docs, table(spark, sf_dir, "labels"))).drop("score")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op4_url_filter, op5_sentencepiece, op7_virtual_slots,
-                                   op9_token_records, op10_gbt_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op4_url_filter, op5_sentencepiece, op6_language_model,
+                                   op7_virtual_slots, op9_token_records, op10_gbt_rules)}
 
 #: DuckDB texts; operators that SQL cannot express are tested against brute force in tests/llm.
 ORACLE = {"op4_url_filter": url_filter.JUDGE_SQL}
