@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import gbt_rules, language_model, mixing, quality_classifier, sentencepiece_bpe, sharding, token_records, url_filter
+from orderlake.llm import gbt_rules, language_model, mixing, near_dup, quality_classifier, sentencepiece_bpe, sharding, token_records, url_filter
 from orderlake.llm.common import table
 
 SHARDS = 40
@@ -48,6 +48,10 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classify(table(spark, sf_dir, "documents"))
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.write_and_read(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -58,7 +62,7 @@ def op10_gbt_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op4_url_filter, op5_sentencepiece, op6_language_model,
-                                   op7_virtual_slots, op9_token_records, op10_gbt_rules)}
+                                   op7_virtual_slots, op8_near_duplicates, op9_token_records, op10_gbt_rules)}
 
 #: DuckDB texts; operators that SQL cannot express are tested against brute force in tests/llm.
 ORACLE = {"op4_url_filter": url_filter.JUDGE_SQL}
