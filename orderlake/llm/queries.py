@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import gbt_rules, language_model, mixing, near_dup, quality_classifier, sentencepiece_bpe, sharding, token_records, url_filter
+from orderlake.llm import (bm25_search, gbt_rules, language_model, mixing, near_dup, quality_classifier, sentencepiece_bpe, sharding,
+                           token_records, url_filter)
 from orderlake.llm.common import table
 
 SHARDS = 40
@@ -27,6 +28,11 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bm25_search.search(docs, docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -61,8 +67,8 @@ def op10_gbt_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gbt_rules.verdicts(docs, gbt_rules.fit(docs, table(spark, sf_dir, "labels"))).drop("score")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op4_url_filter, op5_sentencepiece, op6_language_model,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op3_bm25_search, op4_url_filter, op5_sentencepiece, op6_language_model,
                                    op7_virtual_slots, op8_near_duplicates, op9_token_records, op10_gbt_rules)}
 
 #: DuckDB texts; operators that SQL cannot express are tested against brute force in tests/llm.
-ORACLE = {"op4_url_filter": url_filter.JUDGE_SQL}
+ORACLE = {"op3_bm25_search": bm25_search.SEARCH_SQL, "op4_url_filter": url_filter.JUDGE_SQL}
