@@ -21,6 +21,7 @@ from functools import lru_cache
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from orderlake.llm.common import map_arrow, map_batches, texts_of
 
@@ -307,7 +308,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
             [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([model.decode(i) for i in ids])],
             ["doc_id", "ids", "decoded"])
     return map_batches(docs.select("doc_id", "text"), run,
-                       docs.select("doc_id").schema.add("ids", "array<int>").add("decoded", "string"))
+                       docs.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string"))
 
 
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
