@@ -67,41 +67,16 @@ def satisfies(name: str, predicate: Callable[[], Column], min_pass: float = 1.0,
     return Rule(name, "expression", lambda: ~predicate(), min_pass, action)
 
 
-# Largest orphan-key set that is broadcast (8-byte keys: well under 100 MB built).
-MAX_BROADCAST_ORPHANS = 1_000_000
-
-
-def mark_orphans(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str,
-                 max_broadcast: int = MAX_BROADCAST_ORPHANS) -> DataFrame:
+def mark_orphans(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str) -> DataFrame:
     """Adds boolean ``flag``: ``fk`` is not NULL and has no match in ``dim[dim_key]``.
 
-    The orphan keys are found from the *distinct* foreign keys (a shuffle of
-    keys, reduced map-side, not of whole rows) anti-joined with the dimension's
-    keys, and counted.  When the count proves the set small (normally it is
-    empty) it is broadcast and ``df`` is flagged without any shuffle; otherwise
-    ``df`` is joined to the dimension's key set in the usual shuffle join.  This
-    keeps the largest table from being shuffled once per checked reference.
-    On a streaming ``df`` the check is a stream-static join to the key set
-    (each micro-batch joins the current dimension).
+    One left join with the dimension's distinct keys, in batch and on a stream
+    alike.  No job runs while the plan is built: at run time Spark broadcasts
+    the keys if their measured size allows it, and otherwise shuffles and splits
+    skewed keys (those without a key among them).
     """
-    if df.isStreaming:
-        return _join_found(df, fk, dim, dim_key, flag)
-    fks = df.select(F.col(fk).alias("_orphan_key")).where(F.col("_orphan_key").isNotNull()).distinct()
-    keys = dim.select(F.col(dim_key).alias("_orphan_key"))
-    from orderlake.session import checkpoint_root
-    checkpoint_root(df.sparkSession)          # make sure the shared checkpoint folder is set
-    # computed once, written to the checkpoint folder (lineage cut, no cached blocks left behind)
-    orphans = fks.join(keys, "_orphan_key", "left_anti").checkpoint(eager=True)
-    n = orphans.count()
-    if n <= max_broadcast:
-        o = orphans.withColumn(flag, F.lit(True))
-        j = df.join(F.broadcast(o), df[fk] == o["_orphan_key"], "left")
-        return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_orphan_key")
-    return _join_found(df, fk, dim, dim_key, flag)
-
-
-def _join_found(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str) -> DataFrame:
-    found = dim.select(F.col(dim_key).alias("_orphan_key")).distinct().withColumn("_found", F.lit(True))
+    found = dim.select(F.col(dim_key).alias("_orphan_key")).where(F.col("_orphan_key").isNotNull()).distinct()
+    found = found.withColumn("_found", F.lit(True))
     j = df.join(found, df[fk] == found["_orphan_key"], "left")
     return (j.withColumn(flag, F.col(fk).isNotNull() & F.col("_found").isNull())
              .drop("_orphan_key", "_found"))
@@ -112,7 +87,7 @@ def refers_to(col: str, other: DataFrame, other_key: str, min_pass: float = 1.0,
     """Referential integrity: a non-NULL ``col`` must exist in ``other[other_key]``.
 
     ``prepare`` flags orphans with :func:`mark_orphans` (every input row kept
-    exactly once; no shuffle of the checked table when orphans are few).
+    exactly once).
     """
     rule_name = name or f"{col}_refers_to_{other_key}"
     flag = f"_ref_{rule_name}"

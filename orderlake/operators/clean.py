@@ -65,25 +65,28 @@ def drop_resends(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 # -- C5 -----------------------------------------------------------------------
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], null_keys: str = "keep") -> DataFrame:
     """Newest version of each key.
 
     ``order`` ranks versions best-first; the remaining columns are appended as a
     final tie-break so the choice is deterministic.  ``row_number() = 1`` is
     planned with a map-side WindowGroupLimit, so a key that holds a large share
     of the rows is cut to one row per input partition before the shuffle.
-    Rows with a NULL key cannot be matched to a version chain and pass through
-    unchanged (each in its own window partition, so NULL keys never pile up in
-    one task).
+    Rows with a NULL in the key have no version chain: ``null_keys="keep"``
+    passes them through unchanged (a filter and a union, so a retried task
+    cannot lose or double one and they never meet in one task), ``"drop"`` is
+    for callers that have set them aside before.
     """
     keys = list(keys)
+    if null_keys not in ("keep", "drop"):
+        raise ValueError(null_keys)
     tie = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    null_key = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    w = Window.partitionBy(*keys, "_nk").orderBy(*order, *tie)
-    return (df.withColumn("_nk", F.when(null_key, F.monotonically_increasing_id()))
-              .withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1)
-              .drop("_rn", "_nk"))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    w = Window.partitionBy(*keys).orderBy(*order, *tie)
+    latest = df.where(known).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return latest.unionByName(df.where(~known)) if null_keys == "keep" else latest
 
 
 # -- C6 -----------------------------------------------------------------------
@@ -114,7 +117,7 @@ def resolve_refs(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str, mode: s
     mode ``reject``: the rows that cannot be resolved (orphans and NULL keys);
     ``keep``: the matched rows; ``unknown``: every row, orphans and NULL keys
     mapped to the unknown member, with ``<fk>_resolved``.  Orphans are found
-    with ``rules.mark_orphans``: no shuffle of ``fact`` when they are few.
+    with one lazy left join (``rules.mark_orphans``).
     """
     from orderlake.functions.rules import mark_orphans
     flagged = mark_orphans(fact, fk, dim, dim_key, "_orphan")

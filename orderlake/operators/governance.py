@@ -18,10 +18,12 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What each masking method does to a value of a protected column.
+from orderlake.sources.zones import sql_string
+
+# What each masking method does to a value of a protected column, the strictest first.
 MASKS = {
-    "hash": lambda c, dtype: F.md5(c.cast("string")),
     "redact": lambda c, dtype: F.lit(None).cast(dtype),
+    "hash": lambda c, dtype: F.md5(c.cast("string")),
     "partial": lambda c, dtype: F.mask(c.cast("string")),
 }
 
@@ -64,16 +66,19 @@ def governed_view(df: DataFrame, table: str, tags: DataFrame, grants: DataFrame,
 # -- G2 -------------------------------------------------------------------------
 def mask_by_tag(df: DataFrame, table: str, tags: DataFrame, grants: DataFrame, role: str,
                 methods: Mapping[str, str]) -> DataFrame:
-    """Columns carrying a tag the role lacks are masked by that tag's method
-    (``methods`` maps tag -> hash | redact | partial); others pass unchanged."""
+    """Columns carrying a tag the role lacks are masked by the strictest of those
+    tags' methods (``methods`` maps tag -> redact | hash | partial, redact if not
+    given); others pass unchanged.  ``hash`` is a pseudonym, not a secret: who can
+    guess a value can check the guess."""
     col_tags, granted = _column_tags(tags, table), _granted(grants, role)
     out = []
     for f in df.schema.fields:
         c = f.name
-        missing = sorted(col_tags.get(c, set()) - granted)
+        missing = col_tags.get(c, set()) - granted
         col: Column = F.col(c)
         if missing:
-            method = methods.get(missing[0], "redact")
+            asked = {methods.get(tag, "redact") for tag in missing}
+            method = next(m for m in MASKS if m in asked)
             col = MASKS[method](col, f.dataType)
         out.append(col.alias(c))
     return df.select(*out)
@@ -96,12 +101,12 @@ def register(lake, df: DataFrame, zone: str, name: str, comment: str, owner: str
     """Write ``df`` as ``<zone>.<name>`` with comment, owner and column tags."""
     full = lake.write(df, zone, name, partition_by)
     spark = lake.spark
-    spark.sql(f"COMMENT ON TABLE {full} IS '{comment}'")
+    spark.sql(f"COMMENT ON TABLE {full} IS {sql_string(comment)}")
     props = {"data_owner": owner}   # "owner" itself is reserved by Spark
     if tags is not None:
         for col, ts in _column_tags(tags, name).items():
             props[f"tags.{col}"] = ",".join(sorted(ts))
-    kv = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+    kv = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items())
     spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ({kv})")
     return full
 

@@ -5,17 +5,25 @@ An upsert touches only the buckets that hold changed keys:
 
 1. tag changes with their bucket and fetch the set of touched bucket ids (at
    most ``n_buckets`` integers for hash buckets, or key range / width for range
-   buckets: a bound fixed by the caller's layout, not by the rows); it becomes a static partition filter, so the target scan lists and
-   reads only those bucket folders;
+   buckets: a bound fixed by the caller's layout, not by the rows); it becomes
+   a static partition filter, so the target scan lists and reads only those
+   bucket folders;
 2. union the touched buckets' current rows with the changes and keep the
    newest version per key (C5), changes winning ties;
-3. write the merged buckets to a staging table in the checkpoint folder (this
-   cuts the lineage: the target is never read by the job that overwrites it);
-4. overwrite exactly those buckets of the target (dynamic partition overwrite).
-
-Applying the same change set twice gives the same table (idempotent), which is
-what makes a replayed micro-batch or a rerun job safe.  Buckets are by key,
-not by date, so a changed date cannot leave a stale copy in another partition.
+3. write the merged buckets once, to ``<path>/_staging`` (readers of the table
+   do not see names that begin with an underscore);
+4. publish: per bucket, delete the old folder and rename the staged one into
+   its place.  No row is written twice.
+
+A crash in step 3 leaves a staging folder without ``_SUCCESS``: the table is
+untouched and the next call deletes it.  A crash in step 4 leaves a complete
+one: :func:`read_keyed` takes pending buckets from it, and the next call
+finishes the renames first.  Applying the same change set twice gives the same
+table, which is what makes a replayed micro-batch or a rerun job safe.
+
+A row whose key has a NULL part belongs to no key and cannot be replaced on a
+replay.  Such rows never enter the table: they are written to ``rejected`` (one
+folder per batch, overwritten by a replay) or, without that folder, refused.
 """
 
 from __future__ import annotations
@@ -26,9 +34,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.operators.clean import latest_per_key
-from orderlake.session import scratch_dir
+from orderlake.session import child_names, delete_path, move_path, path_exists
 
 BUCKET = "_bucket"
+STAGING = "_staging"
+BYTES_PER_BUCKET = 256 << 20
+
+
+class NullKeyError(ValueError):
+    """A change set holds rows without a key and no folder for rejected rows was given."""
+
+
+def bucket_count(df: DataFrame, bytes_per_bucket: int = BYTES_PER_BUCKET, least: int = 8) -> int:
+    """Hash buckets for a table of about the size of ``df`` (the planner's estimate; no job)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, -(-size // bytes_per_bucket))
 
 
 def bucket_of(keys: Sequence[str], n_buckets: int, range_width: int | None = None) -> Column:
@@ -44,48 +64,94 @@ def bucket_of(keys: Sequence[str], n_buckets: int, range_width: int | None = Non
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-def _spread(df: DataFrame, keys: Sequence[str], files_per_bucket: int) -> DataFrame:
-    """Distribute rows so that one bucket is written by up to ``files_per_bucket``
-    tasks (a bucket of a large table is never one task); the salt is a hash of
-    the key, so a retried task writes exactly the same rows."""
-    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(1)), F.lit(files_per_bucket))
-    return df.repartition(F.col(BUCKET), salt)
+def has_null_key(keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
+def _write(df: DataFrame, path: str, mode: str) -> None:
+    """One folder per bucket; adaptive execution splits a large bucket over many tasks and packs small ones."""
+    df.hint("rebalance", F.col(BUCKET)).write.mode(mode).partitionBy(BUCKET).parquet(path)
 
 
 def create_keyed(df: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
-                 range_width: int | None = None, files_per_bucket: int = 4) -> None:
-    """First load of a keyed table (one latest row per key)."""
-    out = df.withColumn(BUCKET, bucket_of(keys, n_buckets, range_width))
-    _spread(out, keys, files_per_bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+                 range_width: int | None = None) -> None:
+    """First load of a keyed table (one latest row per key).
+
+    An existing table is an error, and so is a NULL key (raised by the write itself).
+    """
+    bucket = F.when(has_null_key(keys), F.raise_error(F.lit("keyed table: NULL key")).cast("int"))
+    _write(df.withColumn(BUCKET, bucket.otherwise(bucket_of(keys, n_buckets, range_width))), path, "errorifexists")
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a load of the table was committed; read errors are not taken for absence."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def _pending(spark: SparkSession, path: str) -> list[int]:
+    """Buckets of a complete staging folder that are not renamed yet."""
+    if not path_exists(spark, f"{path}/{STAGING}/_SUCCESS"):
+        return []
+    return sorted(int(n.split("=")[1]) for n in child_names(spark, f"{path}/{STAGING}") if n.startswith(f"{BUCKET}="))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a publish that was cut off, or drop an incomplete staging folder."""
+    if path_exists(spark, f"{path}/{STAGING}"):
+        publish(spark, path)
+
+
+def publish(spark: SparkSession, path: str) -> None:
+    """Rename the staged buckets into the table; may be repeated after a crash at any point."""
+    for b in _pending(spark, path):
+        delete_path(spark, f"{path}/{BUCKET}={b}")
+        move_path(spark, f"{path}/{STAGING}/{BUCKET}={b}", f"{path}/{BUCKET}={b}")
+    delete_path(spark, f"{path}/{STAGING}")
+    spark.catalog.refreshByPath(path)
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    """The table's rows; buckets of an unfinished publish are taken from its staging folder."""
+    pending = _pending(spark, path)
+    table = spark.read.parquet(path)
+    if pending:
+        staged = spark.read.parquet(f"{path}/{STAGING}").where(F.col(BUCKET).isin(pending))
+        table = table.where(~F.col(BUCKET).isin(pending)).unionByName(staged)
+    return table.drop(BUCKET)
 
 
 def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], n_buckets: int,
-           order: Sequence[Column] = (), range_width: int | None = None, files_per_bucket: int = 4) -> list[int]:
+           order: Sequence[Column] = (), range_width: int | None = None, rejected: str | None = None,
+           batch_id: int = 0) -> list[int]:
     """Replace changed keys and add new ones in the keyed table at ``path``.
 
     ``order`` ranks versions of one key best-first (e.g. a version column
     descending); when it ties, the incoming change wins over the stored row.
     Returns the ids of the buckets that were rewritten.
     """
+    recover(spark, path)
     target = spark.read.parquet(path)
     cols = [c for c in target.columns if c != BUCKET]
-    ch = (changes.select(*cols).withColumn(BUCKET, bucket_of(keys, n_buckets, range_width))
-          .withColumn("_src", F.lit(1)))
+    bucket = F.when(~has_null_key(keys), bucket_of(keys, n_buckets, range_width))
+    ch = changes.select(*cols).withColumn(BUCKET, bucket).withColumn("_src", F.lit(1))
     ch = ch.persist()          # read twice: for the bucket ids and for the merge
-    touched = [r[0] for r in ch.select(BUCKET).distinct().collect()]
-    if not touched:
+    try:
+        touched = [r[0] for r in ch.select(BUCKET).distinct().collect()]
+        if None in touched:
+            touched.remove(None)
+            if rejected is None:
+                raise NullKeyError(f"the changes hold rows with a NULL in {list(keys)}")
+            ch.where(F.col(BUCKET).isNull()).select(*cols).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+        if not touched:
+            return []
+        current = target.where(F.col(BUCKET).isin(touched)).withColumn("_src", F.lit(0))
+        merged = latest_per_key(current.unionByName(ch.where(F.col(BUCKET).isNotNull())), keys,
+                                list(order) + [F.col("_src").desc()], null_keys="drop").drop("_src")
+        _write(merged, f"{path}/{STAGING}", "overwrite")
+        publish(spark, path)
+        return sorted(touched)
+    finally:
         ch.unpersist()
-        return []
-    current = target.where(F.col(BUCKET).isin(touched)).withColumn("_src", F.lit(0))
-    merged = latest_per_key(current.unionByName(ch), keys, list(order) + [F.col("_src").desc()]).drop("_src")
-    staging = scratch_dir(spark, "upsert-staging")
-    _spread(merged, keys, files_per_bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    # the staged files are already laid out per bucket: copy them without another shuffle
-    (spark.read.schema(merged.schema).parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-    ch.unpersist()
-    return sorted(touched)

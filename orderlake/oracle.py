@@ -237,42 +237,42 @@ d AS (SELECT CAST(unnest(generate_series(CAST(lo AS DATE), CAST(hi AS DATE), INT
 SELECT {date_key_sql("d")} AS date_key, CAST(d AS TIMESTAMP) AS "date", CAST(year(d) AS INTEGER) AS "year",
        CAST(quarter(d) AS INTEGER) AS "quarter", CAST(month(d) AS INTEGER) AS "month",
        CAST(day(d) AS INTEGER) AS "day", CAST(isodow(d) AS INTEGER) AS iso_weekday, isodow(d) >= 6 AS is_weekend
-FROM d"""
+FROM d UNION ALL SELECT -1, NULL, NULL, NULL, NULL, NULL, NULL, NULL"""
 
 SQL["dim_customer"] = f"""
 WITH {GEO}
-SELECT md5(CAST(c_custkey AS VARCHAR)) AS customer_sk, c_custkey, c_name, c_mktsegment, g.nation, g.region
+SELECT md5(length(CAST(c_custkey AS VARCHAR)) || ':' || CAST(c_custkey AS VARCHAR)) AS customer_sk, c_custkey, c_name, c_mktsegment, g.nation, g.region
 FROM customer LEFT JOIN geo g ON c_nationkey = g.n_nationkey
-UNION ALL SELECT md5('-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
+UNION ALL SELECT md5('2:-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
 
 SQL["dim_product"] = """
-SELECT md5(CAST(p_partkey AS VARCHAR)) AS product_sk, p_partkey, p_name, p_brand, p_type, p_size,
+SELECT md5(length(CAST(p_partkey AS VARCHAR)) || ':' || CAST(p_partkey AS VARCHAR)) AS product_sk, p_partkey, p_name, p_brand, p_type, p_size,
        CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS retail_price,
        CASE WHEN p_retailprice < 930.0 THEN 'LOW' WHEN p_retailprice < 970.0 THEN 'MID' ELSE 'HIGH' END AS price_band
 FROM part
-UNION ALL SELECT md5('-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', NULL, NULL, 'UNKNOWN'"""
+UNION ALL SELECT md5('2:-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', NULL, NULL, 'UNKNOWN'"""
 
 SQL["dim_supplier"] = f"""
 WITH {GEO}
-SELECT md5(CAST(s_suppkey AS VARCHAR)) AS supplier_sk, s_suppkey, s_name, g.nation, g.region
+SELECT md5(length(CAST(s_suppkey AS VARCHAR)) || ':' || CAST(s_suppkey AS VARCHAR)) AS supplier_sk, s_suppkey, s_name, g.nation, g.region
 FROM supplier LEFT JOIN geo g ON s_nationkey = g.n_nationkey
-UNION ALL SELECT md5('-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
+UNION ALL SELECT md5('2:-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
 
 SQL["dim_surrogate_unknown"] = """
-SELECT md5(concat_ws('~', CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))) AS part_supplier_sk,
+SELECT md5(length(CAST(l_partkey AS VARCHAR)) || ':' || l_partkey || '~' || length(CAST(l_suppkey AS VARCHAR)) || ':' || l_suppkey) AS part_supplier_sk,
        l_partkey, l_suppkey
 FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
-UNION ALL SELECT md5('-1~-1'), -1, -1"""
+UNION ALL SELECT md5('2:-1~2:-1'), -1, -1"""
 
 SQL["fact_sales"] = f"""
 WITH o AS (SELECT o_orderkey, o_orderdate, COALESCE(k.c_custkey, -1) AS cust_key
            FROM orders LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) k ON o_custkey = k.c_custkey)
 SELECT l_orderkey, l_linenumber,
        COALESCE({date_key_sql("o.o_orderdate")}, -1) AS order_date_key,
-       {date_key_sql("l_shipdate")} AS ship_date_key,
-       md5(CAST(COALESCE(o.cust_key, -1) AS VARCHAR)) AS customer_sk,
-       md5(CAST(COALESCE(p.p_partkey, -1) AS VARCHAR)) AS product_sk,
-       md5(CAST(COALESCE(s.s_suppkey, -1) AS VARCHAR)) AS supplier_sk,
+       COALESCE({date_key_sql("l_shipdate")}, -1) AS ship_date_key,
+       md5(length(CAST(COALESCE(o.cust_key, -1) AS VARCHAR)) || ':' || CAST(COALESCE(o.cust_key, -1) AS VARCHAR)) AS customer_sk,
+       md5(length(CAST(COALESCE(p.p_partkey, -1) AS VARCHAR)) || ':' || CAST(COALESCE(p.p_partkey, -1) AS VARCHAR)) AS product_sk,
+       md5(length(CAST(COALESCE(s.s_suppkey, -1) AS VARCHAR)) || ':' || CAST(COALESCE(s.s_suppkey, -1) AS VARCHAR)) AS supplier_sk,
        CAST(CAST(l_quantity AS DECIMAL(12,2)) AS DOUBLE) AS quantity,
        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS gross,
        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DOUBLE) AS discount,

@@ -43,10 +43,10 @@ SQL["silver_upsert_idempotent"] = WITH_SILVER + f"\nSELECT {_SILVER_OUT} FROM si
 
 SQL["dim_incremental"] = f"""
 WITH {GEO}
-SELECT md5(CAST(c_custkey AS VARCHAR)) AS customer_sk, c_custkey, c_name,
+SELECT md5(length(CAST(c_custkey AS VARCHAR)) || ':' || CAST(c_custkey AS VARCHAR)) AS customer_sk, c_custkey, c_name,
        CASE WHEN c_acctbal < 0 THEN 'COLLECTIONS' ELSE c_mktsegment END AS c_mktsegment, g.nation, g.region
 FROM customer LEFT JOIN geo g ON c_nationkey = g.n_nationkey
-UNION ALL SELECT md5('-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
+UNION ALL SELECT md5('2:-1'), -1, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN'"""
 
 # -- X ------------------------------------------------------------------------
 SQL["external_pruned_scan"] = f"""

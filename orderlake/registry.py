@@ -246,7 +246,10 @@ def _m6(t):
 
 @query("star_revenue_by_brand_year")
 def _m8(t):
-    return M.revenue_by_brand_year(t, "EUROPE")
+    from orderlake.sources.zones import Lake
+    lake = Lake(t.spark)
+    M.load_star(t, lake)
+    return M.revenue_by_brand_year(lake, "EUROPE")
 
 
 # -- K ------------------------------------------------------------------------

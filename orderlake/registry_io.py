@@ -13,7 +13,8 @@ from orderlake.fixtures import RAW_COLUMNS, raw_orders
 from orderlake.functions.money import money, net_amount
 from orderlake.operators import clean as C
 from orderlake.operators import governance as G
-from orderlake.operators.upsert import create_keyed, read_keyed, upsert
+from orderlake.operators.reconcile import reconcile
+from orderlake.operators.upsert import bucket_count, create_keyed, read_keyed, upsert
 from orderlake.plans import star as M
 from orderlake.registry import query
 from orderlake.session import scratch_dir, session_tz
@@ -23,8 +24,6 @@ from orderlake.sources.zones import Lake, land_raw, read_landed, retention_plan
 from orderlake.streaming import medallion as L
 from orderlake.tables import Tables
 
-N_BUCKETS = 8
-
 
 def latest_first():
     """Version order of an order record: highest seq, then status (total order)."""
@@ -38,9 +37,14 @@ EVENT_WEEKS = ("2024-01-08", "2024-01-15", "2024-01-22")
 
 def _land_raw_order_deliveries(t: Tables, landing: str) -> list[str]:
     """raw_orders as JSON lines in two deliveries: first versions (with resends), then newer versions."""
-    raw = raw_orders(t.orders)
-    return [L.land(raw.where(F.col("seq") == 1), landing, "json"),
-            L.land(raw.where(F.col("seq") == 2), landing, "json")]
+    first, newer = _versions(raw_orders(t.orders))
+    return [L.land(first, landing, "json"), L.land(newer, landing, "json")]
+
+
+def _versions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """First versions (and rows without a number), then newer ones: every row is in one of them."""
+    first = F.coalesce(F.col("seq") <= 1, F.lit(True))
+    return raw.where(first), raw.where(~first)
 
 
 def _event_weeks(t: Tables) -> list[DataFrame]:
@@ -53,13 +57,14 @@ def _event_weeks(t: Tables) -> list[DataFrame]:
             cond = cond & (F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
         if hi:
             cond = cond & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
-        out.append(e.where(cond))
+        out.append(e.where(F.coalesce(cond, F.lit(lo is None))))      # events without a time come first
     return out
 
 
 def _order_deliveries(t: Tables) -> list[DataFrame]:
     split = F.lit(ORDER_DELIVERY_SPLIT).cast("timestamp_ntz")
-    return [t.orders.where(F.col("o_orderdate") < split), t.orders.where(F.col("o_orderdate") >= split)]
+    early = F.coalesce(F.col("o_orderdate") < split, F.lit(True))     # orders without a date come first
+    return [t.orders.where(early), t.orders.where(~early)]
 
 
 # -- B ------------------------------------------------------------------------
@@ -152,12 +157,12 @@ def _b6(t):
 def _c8(t):
     spark = t.spark
     cleaned = C.drop_resends(C.clean_orders(raw_orders(t.orders)))
-    path = scratch_dir(spark, "keyed-orders")
-    create_keyed(C.latest_per_key(cleaned.where(F.col("seq") == 1), ["order_id"], latest_first()), path, ["order_id"],
-                 N_BUCKETS)
-    changes = cleaned.where(F.col("seq") == 2)
-    upsert(spark, path, changes, ["order_id"], N_BUCKETS, latest_first())
-    upsert(spark, path, changes, ["order_id"], N_BUCKETS, latest_first())   # replay: no change
+    path = f"{scratch_dir(spark, 'keyed-orders')}/table"
+    n = bucket_count(t.orders)
+    first, changes = _versions(cleaned)
+    create_keyed(C.latest_per_key(first, ["order_id"], latest_first(), null_keys="drop"), path, ["order_id"], n)
+    for _ in range(2):          # the second time is a replay: no change
+        upsert(spark, path, changes, ["order_id"], n, latest_first(), rejected=f"{path}-rejected")
     return read_keyed(spark, path)
 
 
@@ -172,11 +177,12 @@ def customer_changes(t: Tables) -> DataFrame:
 @query("dim_incremental")
 def _m7(t):
     spark = t.spark
-    path = scratch_dir(spark, "dim-customer")
-    create_keyed(M.dim_customer(t), path, ["c_custkey"], N_BUCKETS)
+    path = f"{scratch_dir(spark, 'dim-customer')}/table"
+    n = bucket_count(t.customer)
+    create_keyed(M.dim_customer(t), path, ["c_custkey"], n)
     changes = customer_changes(t)
-    upsert(spark, path, changes, ["c_custkey"], N_BUCKETS)
-    upsert(spark, path, changes, ["c_custkey"], N_BUCKETS)
+    for _ in range(2):
+        upsert(spark, path, changes, ["c_custkey"], n)
     return read_keyed(spark, path)
 
 
@@ -239,8 +245,8 @@ def _l2(t):
     lake = Lake(spark)
     lake.write(t.customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
                .select("c_custkey", "region", "nation"),
-               "silver", "customer_geo", bucket_by=(N_BUCKETS, ["c_custkey"]))
-    dim = lake.read("silver", "customer_geo")        # bucketed: micro-batches shuffle only themselves
+               "silver", "customer_geo")
+    dim = lake.read("silver", "customer_geo")
     for d in _order_deliveries(t):
         L.land(d, landing)
     s = stream_files(spark, landing, t.orders.schema).select("o_orderkey", "o_custkey", "o_orderstatus",
@@ -274,10 +280,10 @@ def _l4(t):
     schema = spark.createDataFrame([], L.RAW_SCHEMA).schema
     _land_raw_order_deliveries(t, landing)
     L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/a", ["order_id"], latest_first(),
-                    N_BUCKETS, C.clean_orders, fmt="json")
+                    bucket_count(t.orders), C.clean_orders, fmt="json")
     # replay every delivery from a fresh checkpoint into the same table: nothing changes
     L.stream_upsert(spark, landing, schema, target, f"{root}/_checkpoints/b", ["order_id"], latest_first(),
-                    N_BUCKETS, C.clean_orders, fmt="json")
+                    bucket_count(t.orders), C.clean_orders, fmt="json")
     return read_keyed(spark, target)
 
 
@@ -286,12 +292,10 @@ def _l5(t):
     spark = t.spark
     root = scratch_dir(spark, "medallion")
     landing = f"{root}/landing"
-    raw = raw_orders(t.orders)
-    m = L.Medallion(spark, landing, f"{root}/lake", N_BUCKETS)
-    L.land(raw.where(F.col("seq") == 1), landing, "json")
-    m.run(t.customer)
-    L.land(raw.where(F.col("seq") == 2), landing, "json")
-    m.run(t.customer)
+    m = L.Medallion(spark, landing, bucket_count(t.orders), f"{root}/lake")
+    for delivery in _versions(raw_orders(t.orders)):
+        L.land(delivery, landing, "json")
+        m.run(t.customer)
     return m.run(t.customer)          # nothing new: same gold
 
 
@@ -366,28 +370,6 @@ def _g4(t):
 
 
 # -- K10 ----------------------------------------------------------------------
-def reconcile(a: DataFrame, b: DataFrame, keys, measures, a_name: str = "wh", b_name: str = "lake") -> DataFrame:
-    """Full outer join on the keys (NULL-safe); per key: both values of each measure and a status."""
-    aa = a.select(*[F.col(k).alias(f"_a_{k}") for k in keys], *[F.col(m).alias(f"{a_name}_{m}") for m in measures])
-    bb = b.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *[F.col(m).alias(f"{b_name}_{m}") for m in measures])
-    cond = None
-    for k in keys:
-        c = F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}"))
-        cond = c if cond is None else cond & c
-    j = aa.join(bb, cond, "full_outer")
-    in_a = F.greatest(*[F.col(f"_a_{k}").isNotNull() for k in keys]) if len(keys) > 1 else F.col(f"_a_{keys[0]}").isNotNull()
-    in_b = F.greatest(*[F.col(f"_b_{k}").isNotNull() for k in keys]) if len(keys) > 1 else F.col(f"_b_{keys[0]}").isNotNull()
-    same = None
-    for m in measures:
-        c = F.col(f"{a_name}_{m}").eqNullSafe(F.col(f"{b_name}_{m}"))
-        same = c if same is None else same & c
-    status = (F.when(~in_b, F.lit(f"only_{a_name}")).when(~in_a, F.lit(f"only_{b_name}"))
-              .when(same, F.lit("match")).otherwise(F.lit("differ")))
-    return j.select(*[F.coalesce(f"_a_{k}", f"_b_{k}").alias(k) for k in keys],
-                    *[c for m in measures for c in (f"{a_name}_{m}", f"{b_name}_{m}")],
-                    status.alias("status"))
-
-
 def _order_month_kpi(df: DataFrame) -> DataFrame:
     return (df.groupBy(F.trunc("o_orderdate", "month").alias("month"), "o_orderstatus")
               .agg(F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("total")))

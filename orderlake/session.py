@@ -2,13 +2,14 @@
 
 Scratch data (stream checkpoints, zone tables written by a query, staging
 tables for upserts) lives under the folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (local tests) do we
-create one of our own and register it as the checkpoint dir.
+``spark.checkpoint.dir``.  Only when that setting is absent and the master is
+this machine (tests) do we create one of our own and register it as the
+checkpoint dir; on a cluster a missing setting is an error, because a folder of
+the driver is not seen by the executors.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,12 +60,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Order: the context's checkpoint dir, then ``spark.checkpoint.dir``; if both
-    are unset (tests on one machine) a fresh folder is created and registered.
+    are unset a fresh folder is created and registered, but only if all tasks
+    run in this process (master ``local``); otherwise this raises.
     """
     root = _context_checkpoint_dir(spark)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; master {master!r} needs a folder all executors share")
         root = tempfile.mkdtemp(prefix="orderlake-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)
@@ -73,12 +78,42 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path as its object: any store Spark can write to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there.  Errors other than its absence rise."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def move_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a folder; an absent parent or a refusal of the store is an error."""
+    fs, p = _fs(spark, src)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"cannot move {src} to {dst}")
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (metadata only); empty if the folder is not there."""
+    fs, p = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the checkpoint root for one run of one job."""
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/orderlake/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
     return path
 
 

@@ -19,6 +19,11 @@ from orderlake.session import scratch_dir
 ZONES = ("bronze", "silver", "gold")
 
 
+def sql_string(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str | None = None, prefix: str | None = None):
         self.spark = spark
@@ -41,43 +46,38 @@ class Lake:
 
     # -- B5 ---------------------------------------------------------------------
     def write(self, df: DataFrame, zone: str, table: str, partition_by: Sequence[str] = (),
-              mode: str = "overwrite", files_per_value: int = 4, comment: str | None = None,
+              mode: str = "overwrite", comment: str | None = None,
               bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
         """Write ``df`` as ``<zone>.<table>``, partitioned by ``partition_by``.
 
-        Rows are first hash-distributed on (partition columns, a deterministic
-        salt of ``files_per_value`` values): a partition value lands in at most
-        ``files_per_value`` tasks, so the table gets few files per value and a
-        value holding a large share of the rows is still written by several
-        tasks.  The salt is a hash of the row, not ``rand()``, so a retried
-        task rewrites exactly the same rows.  Overwrites of a partitioned table
-        replace only the partition values present in ``df`` (dynamic mode).
+        Rows are rebalanced by the partition columns: adaptive execution gives a
+        large partition value as many tasks as its bytes ask for and packs small
+        ones together, so neither the number of writers of a hot date nor the
+        number of small files is fixed beforehand.  Overwrites of a partitioned
+        table replace only the partition values present in ``df``.
 
         ``bucket_by=(n, keys)`` stores the table in ``n`` hash buckets of
-        ``keys`` (one file per bucket): joins on ``keys`` then read it without
-        a shuffle, e.g. a dimension joined by every micro-batch of a stream,
-        where only the micro-batch is shuffled.  It rewrites the whole table.
+        ``keys``: joins on ``keys`` then read it without a shuffle.  Such a
+        table is always rewritten whole.
         """
-        name = self.name(zone, table)
+        name, full = self.name(zone, table), f"{self.schema(zone)}.{table}"
+        if mode not in ("overwrite", "append"):
+            raise ValueError(mode)
+        out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+        exists = self.spark.catalog.tableExists(full)
         if bucket_by:
+            if mode != "overwrite":
+                raise ValueError("a bucketed table is rewritten whole")
             n, keys = bucket_by
-            (df.repartition(n, *[F.col(k) for k in keys]).write.format("parquet").mode("overwrite")
-             .bucketBy(n, *keys).sortBy(*keys).saveAsTable(name))
-            return name
-        out = df
-        if partition_by:
-            salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))
-            out = df.repartition(*[F.col(c) for c in partition_by], salt)
-        exists = self.spark.catalog.tableExists(f"{self.schema(zone)}.{table}")
-        if exists and mode == "overwrite" and partition_by:
-            # insertInto ignores a per-write option: scope the session setting to this write
-            key = "spark.sql.sources.partitionOverwriteMode"
-            old = self.spark.conf.get(key, "static")
-            self.spark.conf.set(key, "dynamic")
-            try:
-                out.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
-            finally:
-                self.spark.conf.set(key, old)
+            w = df.repartition(n, *[F.col(k) for k in keys]).write.format("parquet").mode("overwrite")
+            w = w.bucketBy(n, *keys).sortBy(*keys)
+            (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+        elif exists and mode == "overwrite" and partition_by:
+            # into the table's own folder: the dynamic mode is then an option of this write alone
+            (out.select(*self.spark.table(name).columns).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(zone, table)))
+            self.spark.catalog.recoverPartitions(full)
+            self.spark.catalog.refreshTable(full)
         elif exists and mode == "append":
             out.select(*self.spark.table(name).columns).write.insertInto(name)
         else:
@@ -86,7 +86,7 @@ class Lake:
                 w = w.partitionBy(*partition_by)
             w.saveAsTable(name)
         if comment:
-            self.spark.sql(f"COMMENT ON TABLE {name} IS '{comment}'")
+            self.spark.sql(f"COMMENT ON TABLE {name} IS {sql_string(comment)}")
         return name
 
     def read(self, zone: str, table: str) -> DataFrame:
@@ -102,7 +102,7 @@ class Lake:
         expired = [r[0] for r in plan.where(F.col("action") == "expire").select(column).collect()]
         name = self.name(zone, table)
         for v in expired:
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = '{v}')")
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = {sql_string(v)})")
         return len(expired)
 
 
@@ -135,12 +135,12 @@ def retention_plan(df: DataFrame, partition_col: str, partition_date: Column, as
     """Per partition: rows, age in days at ``as_of``, and the action.
 
     keep while younger than ``hot_days``, archive until ``warm_days``, expire
-    after.  One groupBy on the partition column (partial counts first).
+    after; a partition of unknown age is kept.  One groupBy on the partition column (partial counts first).
     """
     per = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("row_count"),
                                         F.min(partition_date).alias("_pdate"))
     age = F.datediff(as_of, F.col("_pdate"))
-    action = (F.when(age < hot_days, F.lit("keep"))
+    action = (F.when(age.isNull() | (age < hot_days), F.lit("keep"))
               .when(age < warm_days, F.lit("archive"))
               .otherwise(F.lit("expire")))
     return per.select(partition_col, "row_count", age.cast("int").alias("age_days"), action.alias("action"))

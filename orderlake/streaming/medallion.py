@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from orderlake.functions.dates import from_event_time, to_event_time
 from orderlake.operators import clean as C
 from orderlake.operators import quality as Q
-from orderlake.operators.upsert import BUCKET, create_keyed, upsert
-from orderlake.session import scratch_dir, session_tz
+from orderlake.operators.upsert import BUCKET, create_keyed, has_null_key, table_exists, upsert
+from orderlake.session import child_names, delete_path, move_path, path_exists, scratch_dir, session_tz
 from orderlake.sources.incremental import ingest_new, run_available, stream_files
 
 
@@ -45,18 +45,10 @@ def land(df: DataFrame, landing: str, fmt: str = "parquet", n_files: int | None
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001  (missing or empty folder)
-        return False
-
-
 # -- L1 -------------------------------------------------------------------------
 def silver_stream(stream: DataFrame, rules: Sequence = (), name: str = "silver_dq") -> DataFrame:
     """C1-C3 on a stream of raw order records; rules applied per their action,
-    counts published per micro-batch under ``name``."""
+    counts published per micro-batch under ``name`` (``run_available`` returns them)."""
     cleaned = C.clean_orders(stream)
     if not rules:
         return cleaned
@@ -64,15 +56,28 @@ def silver_stream(stream: DataFrame, rules: Sequence = (), name: str = "silver_d
     return kept
 
 
+def split_sink(silver: str, quarantine: str, rules: Sequence):
+    """``foreachBatch`` function: valid rows to ``silver``, rejected ones with their failed rules to
+    ``quarantine``, each in a folder per batch that a replay overwrites; together they are the batch."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        flagged = C.flag_failures(C.clean_orders(batch), rules).persist()
+        try:
+            ok = F.size("_failed") == 0
+            flagged.where(ok).drop("_failed").write.mode("overwrite").parquet(f"{silver}/{BATCH}={batch_id}")
+            (flagged.where(~ok).withColumn("failed_rules", F.concat_ws(",", "_failed")).drop("_failed")
+             .write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={batch_id}"))
+        finally:
+            flagged.unpersist()
+    return sink
+
+
 # -- L2 -------------------------------------------------------------------------
 def enrich(stream: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
     """Stream-static join: each micro-batch joins the current dimension snapshot.
 
-    Streaming micro-batches run without adaptive execution, and the static side
-    is re-read by every batch.  For a dimension that grows with the data, store
-    it bucketed by the join key (``Lake.write(..., bucket_by=(n, [key]))``):
-    every micro-batch then shuffles only its own rows into the dimension's
-    buckets, and the dimension is read in place.
+    A stateless micro-batch is planned with adaptive execution, so the side to
+    broadcast is chosen by its measured size and skewed keys are split.  The
+    static side is read again by every batch.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("a stream-static join keeps the stream on the left")
@@ -101,34 +106,42 @@ def gold_windows(stream: DataFrame, ts_col: str, width: str, lateness: str, by:
 
 def upsert_sink(path: str, keys: Sequence[str], n_buckets: int, order: Sequence[Column] = (),
                 transform: Callable[[DataFrame], DataFrame] | None = None,
-                on_write: Callable[[int, list[int] | None], None] | None = None):
+                on_write: Callable[[int, list[int] | None], None] | None = None, rejected: str | None = None):
     """``foreachBatch`` function: (optional transform) then idempotent keyed upsert.
 
-    ``on_write(batch_id, buckets)`` is called after the write with the rewritten
-    bucket ids (``None``: the table was created, every bucket is new).  If the
-    driver fails before it returns, the stream replays the batch, so the
-    callback runs again for the same batch id."""
+    Rows without a key go to ``rejected/batch_id=<n>`` (default:
+    ``<path>-rejected``), which a replay overwrites.  ``on_write(batch_id,
+    buckets)`` is called after the write with the rewritten bucket ids
+    (``None``: the table was created, every bucket is new).  If the driver fails
+    before it returns, the stream replays the batch, so the callback runs again
+    for the same batch id."""
+    rejected = rejected or f"{path}-rejected"
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # the micro-batch is read twice (emptiness, then the merge): keep it once
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            df = transform(batch) if transform else batch
-            if not _exists(spark, path):
-                create_keyed(C.latest_per_key(df, keys, list(order)), path, keys, n_buckets)
-                touched = None
-            else:
-                touched = upsert(spark, path, df, keys, n_buckets, order)
-            if on_write is not None:
-                on_write(batch_id, touched)
-        finally:
-            batch.unpersist()
+        df = transform(batch) if transform else batch
+        if table_exists(spark, path):
+            touched = upsert(spark, path, df, keys, n_buckets, order, rejected=rejected, batch_id=batch_id)
+        else:
+            if path_exists(spark, path):
+                delete_path(spark, path)          # a first load that was never committed
+            df = df.persist()
+            try:
+                null_key = has_null_key(keys)
+                if not df.where(null_key).isEmpty():
+                    df.where(null_key).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+                latest = C.latest_per_key(df.where(~null_key), keys, list(order), null_keys="drop")
+                create_keyed(latest, path, keys, n_buckets)
+            finally:
+                df.unpersist()
+            touched = None
+        if on_write is not None and touched != []:
+            on_write(batch_id, touched)
     return sink
 
 
 BATCH = "batch_id"
+FOLDING = "_folding-"
 
 
 def batch_log_sink(path: str):
@@ -138,34 +151,70 @@ def batch_log_sink(path: str):
     A replayed batch has the same id and overwrites the same folder, so the sink
     is idempotent with a single write per batch.  :func:`read_batch_log` gives
     the current value of every key (the row from the newest batch).  The log
-    grows by the number of *changed* keys per batch, which the watermark bounds.
+    grows by the number of *changed* keys per batch, which the watermark bounds;
+    :func:`fold_batch_log` keeps it short.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
     return sink
 
 
+def _log_folders(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """Numbers of the log's batch folders, and of complete foldings that are not in place yet."""
+    names = child_names(spark, path)
+    return (sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=")),
+            [int(n[len(FOLDING):]) for n in names if n.startswith(FOLDING) and path_exists(spark, f"{path}/{n}/_SUCCESS")])
+
+
 def read_batch_log(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    log = spark.read.parquet(path)
+    """The current row of every key: the one of the newest batch that has it."""
+    batches, folding = _log_folders(spark, path)
+    parts = [spark.read.parquet(path)] if batches or not folding else []
+    parts += [spark.read.parquet(f"{path}/{FOLDING}{n}").withColumn(BATCH, F.lit(n)) for n in folding]
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
     return C.latest_per_key(log, keys, [F.col(BATCH).desc()]).drop(BATCH)
 
 
+def fold_batch_log(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Replace the log's folders by one that holds the current row of every key.
+
+    Run it between runs of the stream.  The folded rows are written beside the
+    log under the number of the newest batch and then renamed into its place;
+    after a crash :func:`read_batch_log` reads them from where they are, and the
+    next call finishes the renaming.
+    """
+    batches, folding = _log_folders(spark, path)
+    if not folding:
+        if len(batches) < 2:
+            return
+        read_batch_log(spark, path, keys).write.mode("overwrite").parquet(f"{path}/{FOLDING}{batches[-1]}")
+        folding = [batches[-1]]
+    for n in folding:
+        for b in batches:
+            if b <= n:
+                delete_path(spark, f"{path}/{BATCH}={b}")
+        move_path(spark, f"{path}/{FOLDING}{n}", f"{path}/{BATCH}={n}")
+
+
 def run_gold_windows(spark: SparkSession, src: str, schema, gold_path: str, checkpoint: str, ts_col: str,
                      width: str, lateness: str, by: Sequence[str], measures: Sequence[Column],
-                     max_files_per_trigger: int | None = None) -> dict:
+                     max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> dict:
     """Run the windowed aggregate over newly landed files; read gold with
     ``read_batch_log(spark, gold_path, ["window_start", *by])``."""
-    s = stream_files(spark, src, schema, "parquet", max_files_per_trigger)
+    s = stream_files(spark, src, schema, "parquet", max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
     g = gold_windows(s, ts_col, width, lateness, by, measures, session_tz(spark))
     return run_available(g, None, checkpoint, foreach_batch=batch_log_sink(gold_path), output_mode="update")
 
 
 # -- L4 -------------------------------------------------------------------------
 def stream_upsert(spark: SparkSession, src: str, schema, path: str, checkpoint: str, keys: Sequence[str],
-                  order: Sequence[Column], n_buckets: int = 8,
-                  transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet") -> dict:
+                  order: Sequence[Column], n_buckets: int,
+                  transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet",
+                  max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> dict:
     """Newest row per key from a stream of versions, safe to replay."""
-    s = stream_files(spark, src, schema, fmt)
+    s = stream_files(spark, src, schema, fmt, max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
     return run_available(s, None, checkpoint, foreach_batch=upsert_sink(path, keys, n_buckets, order, transform))
 
 
@@ -213,11 +262,13 @@ class Medallion:
     failure at any point, or with nothing new, leaves the same tables.
     """
 
-    def __init__(self, spark: SparkSession, landing: str, root: str | None = None, n_buckets: int = 8):
+    def __init__(self, spark: SparkSession, landing: str, n_buckets: int, root: str | None = None,
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None):
         self.spark = spark
         self.landing = landing
         self.root = (root or scratch_dir(spark, "medallion")).rstrip("/")
         self.n_buckets = n_buckets
+        self.bounds = {"max_files_per_trigger": max_files_per_trigger, "max_bytes_per_trigger": max_bytes_per_trigger}
 
     @property
     def bronze(self) -> str:
@@ -252,9 +303,10 @@ class Medallion:
     def run(self, customer: DataFrame) -> DataFrame:
         spark = self.spark
         schema = spark.createDataFrame([], RAW_SCHEMA).schema
-        ingest_new(spark, self.landing, self.bronze, f"{self.root}/_checkpoints/bronze", schema, fmt="json")
+        ingest_new(spark, self.landing, self.bronze, f"{self.root}/_checkpoints/bronze", schema, fmt="json",
+                   **self.bounds)
         bronze_schema = spark.read.parquet(self.bronze).schema
-        s = stream_files(spark, self.bronze, bronze_schema, "parquet").drop("_source_file")
+        s = stream_files(spark, self.bronze, bronze_schema, "parquet", **self.bounds).drop("_source_file")
         sink = upsert_sink(self.silver, ["order_id"], self.n_buckets,
                            [F.col("seq").desc(), F.col("status").asc_nulls_last()], transform=C.clean_orders,
                            on_write=self._mark_dirty)
@@ -264,27 +316,29 @@ class Medallion:
 
     def _refresh_gold(self, customer: DataFrame) -> None:
         spark = self.spark
-        folded = spark.read.parquet(self.folded).first()["batch_id"] if _exists(spark, self.folded) else -1
-        if _exists(spark, self.dirty):
-            pending = (spark.read.parquet(self.dirty).where(F.col("batch_id") > folded)
-                       .agg(F.max("batch_id").alias("upto"), F.collect_set("bucket").alias("buckets")).first())
-        else:
-            pending = None
-        if pending is not None and pending["upto"] is not None:
-            buckets = sorted(pending["buckets"])     # at most n_buckets ids
+        folded = spark.read.parquet(self.folded).first()["batch_id"] if path_exists(spark, f"{self.folded}/_SUCCESS") else -1
+        batches = [int(n.split("=")[1]) for n in child_names(spark, self.dirty) if n.startswith("batch_id=")]
+        news = [b for b in batches if b > folded]
+        if news:
+            dirty = spark.read.parquet(self.dirty).where(F.col("batch_id") > folded)
+            buckets = sorted(r[0] for r in dirty.select("bucket").distinct().collect())     # at most n_buckets ids
             silver = spark.read.parquet(self.silver).where(F.col(BUCKET).isin(buckets))
             valid, _ = Q.enforce(silver, C.order_rules(customer))
             partial = (valid.groupBy(BUCKET, F.trunc("order_date", "month").alias("month"), "status")
                             .agg(F.count(F.lit(1)).alias("orders"),
-                                 F.sum("amount").cast("decimal(38,2)").alias("amount")))
+                                 F.sum("amount").cast("decimal(38,2)").alias("amount"))
+                            .withColumn("is_marker", F.lit(False)))
             # one marker row per bucket, so a bucket left with no valid row is still replaced
-            markers = spark.createDataFrame([(b, None, None, 0, None) for b in buckets], partial.schema)
+            markers = spark.createDataFrame([(b, None, None, 0, None, True) for b in buckets], partial.schema)
             (partial.unionByName(markers).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.gold_partial))
-            spark.createDataFrame([(pending["upto"],)], "batch_id long").write.mode("overwrite").parquet(self.folded)
-        if not _exists(spark, self.gold_partial):
+            spark.createDataFrame([(max(news),)], "batch_id long").write.mode("overwrite").parquet(self.folded)
+        for b in batches:
+            if b <= folded:                       # noted by an earlier run
+                delete_path(spark, f"{self.dirty}/batch_id={b}")
+        if not path_exists(spark, self.gold_partial):
             return
-        gold = (spark.read.parquet(self.gold_partial).where(F.col("month").isNotNull())
+        gold = (spark.read.parquet(self.gold_partial).where(~F.col("is_marker"))
                 .groupBy("month", "status")
                 .agg(F.sum("orders").cast("bigint").alias("orders"),
                      F.sum("amount").cast("decimal(38,2)").alias("amount")))

@@ -29,6 +29,25 @@ def test_mask_and_metadata(tiny):
     assert view.schema["c_acctbal"].metadata == {"tags": ["financial"]}
 
 
+def test_the_strictest_mask_of_a_column_wins(spark):
+    df = spark.createDataFrame([("Ann",)], "name string")
+    tags = G.tag_table(spark, [("t", "name", "a_financial"), ("t", "name", "z_pii")])
+    grants = G.grant_table(spark, [("r", "other")])
+    mask = lambda methods: G.mask_by_tag(df, "t", tags, grants, "r", methods).first().name
+    assert mask({"a_financial": "partial", "z_pii": "redact"}) is None
+    assert len(mask({"a_financial": "partial", "z_pii": "hash"})) == 32
+    assert mask({"a_financial": "partial", "z_pii": "partial"}) == "Xxx"
+    assert mask({"a_financial": "partial"}) is None          # a tag without a method is redacted
+
+
+def test_quotes_in_comments_and_owners(spark):
+    from orderlake.sources.zones import Lake
+    lake = Lake(spark)
+    G.register(lake, spark.range(1), "silver", "t", "it's \\ here", "o'team")
+    r = G.catalog_report(lake).first()
+    assert (r.comment, r.owner) == ("it's \\ here", "o'team")
+
+
 def test_row_policy(tiny):
     spark = tiny.spark
     df = spark.createDataFrame([(1, "EUROPE"), (2, "ASIA")], "id int, region string")

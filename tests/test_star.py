@@ -2,11 +2,13 @@ from pyspark.sql import functions as F
 
 from orderlake.plans import star as M
 from orderlake.registry_io import lineitem_lake_files, pruned_scan
+from orderlake.sources.zones import Lake
+from orderlake.tables import Tables
 from tests.conftest import plan_text
 
 
 def test_dim_date_has_no_gaps(tiny):
-    d = M.dim_date(tiny)
+    d = M.dim_date(tiny).where(F.col("date_key") != M.UNKNOWN)
     r = d.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"), F.max("date").alias("hi"),
               F.countDistinct("date_key").alias("keys")).first()
     assert r.n == r.keys == (r.hi - r.lo).days + 1
@@ -25,9 +27,42 @@ def test_fact_has_one_row_per_line_and_known_keys(tiny):
     assert fact.join(dims, "customer_sk", "left_anti").count() == 0
 
 
-def test_star_query_broadcasts_filtered_dimension(tiny):
-    plan = plan_text(M.revenue_by_brand_year(tiny, "EUROPE"))
-    assert "BroadcastHashJoin" in plan
+def test_surrogates_of_different_keys_differ(spark):
+    rows = [("a", "b~c"), ("a~b", "c"), ("a", None), (None, "a"), ("", "a"), ("null", "a"), (None, None), ("a~1:b", "c"), ("1:a", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(M.surrogate("x", "y").alias("sk")).distinct().count() == len(rows)
+
+
+def test_lines_without_an_order_stay_in_the_star(tiny):
+    """With an order missing and a ship date missing, every line meets an order day and a ship day."""
+    class Holed(Tables):
+        def __getattr__(self, name):
+            df = super().__getattr__(name)
+            if name == "orders":
+                return df.where("o_orderkey <> 7")
+            if name == "lineitem":
+                return df.withColumn("l_shipdate", F.when(F.col("l_orderkey") != 3, F.col("l_shipdate")))
+            return df
+    t = Holed(tiny.spark, tiny.sf_dir)
+    fact, days = M.fact_sales(t), M.dim_date(t).select("date_key", "year")
+    assert fact.where(F.col("order_date_key") == M.UNKNOWN).count() > 0 and fact.where(F.col("ship_date_key") == M.UNKNOWN).count() > 0
+    for key in ("order_date_key", "ship_date_key"):
+        out = M.star_query(fact, [(days, key, "date_key", True)], [], ["year"], [F.count(F.lit(1)).alias("n")])
+        assert out.agg(F.sum("n")).first()[0] == tiny.lineitem.count()
+    lake = Lake(tiny.spark)
+    M.load_star(t, lake)
+    assert lake.read("gold", "fact_sales").count() == tiny.lineitem.count()
+
+
+def test_loaded_star_shuffles_lines_at_most_once_and_prunes_years(tiny):
+    lake = Lake(tiny.spark)
+    M.load_star(tiny, lake)
+    plan = plan_text(M.revenue_by_brand_year(lake, "EUROPE")).split("\n\n")[0]
+    assert plan.count("Exchange") <= 6 and "md5" not in plan
+    years = (lake.read("gold", "dim_date").groupBy("year").agg(F.count(F.lit(1)).alias("days")).where(F.col("days") == 366).select("year"))
+    q = M.star_query(lake.read("gold", "fact_sales"), [(years, "order_year", "year", True)], [], ["year"], [F.sum("net").alias("net")])
+    assert "dynamicpruning" in plan_text(q).lower()
+    assert {r.year for r in q.collect()} == {1996, 2000}
 
 
 def test_external_scan_prunes_partitions_and_columns(tiny):
@@ -40,7 +75,6 @@ def test_external_scan_prunes_partitions_and_columns(tiny):
 
 
 def test_star_query_prunes_fact_partitions_dynamically(tiny):
-    from orderlake.sources.zones import Lake
     lake = Lake(tiny.spark)
     fact = M.fact_sales(tiny).withColumn("order_year", (F.col("order_date_key") / 10000).cast("int"))
     lake.write(fact, "gold", "fact_sales", ["order_year"])

@@ -1,9 +1,13 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from orderlake.operators.upsert import create_keyed, read_keyed, upsert
-from orderlake.session import scratch_dir
+from orderlake.operators import upsert as U
+from orderlake.operators.upsert import NullKeyError, bucket_count, create_keyed, read_keyed, upsert
+from orderlake.session import path_exists, scratch_dir
+from orderlake.streaming.medallion import upsert_sink
+from tests.conftest import plan_text
 
 
 def _files(path):
@@ -17,7 +21,7 @@ def _files(path):
 
 
 def test_upsert_replaces_adds_and_is_idempotent(spark):
-    path = scratch_dir(spark, "test-upsert")
+    path = f"{scratch_dir(spark, 'test-upsert')}/table"
     base = spark.createDataFrame([(k, 1, f"v{k}") for k in range(100)], "k int, ver int, v string")
     create_keyed(base, path, ["k"], 16)
     changes = spark.createDataFrame([(5, 2, "new5"), (200, 1, "added"), (7, 0, "older")], "k int, ver int, v string")
@@ -36,7 +40,7 @@ def test_upsert_replaces_adds_and_is_idempotent(spark):
 
 
 def test_range_buckets_rewrite_only_recent_buckets(spark):
-    path = scratch_dir(spark, "test-upsert-range")
+    path = f"{scratch_dir(spark, 'test-upsert-range')}/table"
     base = spark.createDataFrame([(k, 1) for k in range(1000)], "k long, v int")
     create_keyed(base, path, ["k"], 0, range_width=100)
     before = _files(path)
@@ -47,3 +51,109 @@ def test_range_buckets_rewrite_only_recent_buckets(spark):
     assert changed == {"9", "10"}
     got = {r.k: r.v for r in read_keyed(spark, path).collect()}
     assert len(got) == 1001 and got[995] == 2 and got[1001] == 1
+
+
+def _table(spark, purpose, n=100, buckets=8):
+    path = f"{scratch_dir(spark, purpose)}/table"
+    create_keyed(spark.createDataFrame([(k, 1) for k in range(n)], "k int, v int"), path, ["k"], buckets)
+    return path
+
+
+def _rows(spark, path):
+    return sorted(map(tuple, read_keyed(spark, path).collect()))
+
+
+def test_an_unreadable_file_raises_and_nothing_is_lost(spark):
+    path = _table(spark, "test-upsert-damaged")
+    files = sorted(_files(path))
+    for f in files:                                # whichever file Spark looks at for the schema
+        size = os.path.getsize(f)
+        with open(f, "r+b") as h:
+            h.seek(size - 8)
+            h.write(b"\0" * 8)
+    before = {f: open(f, "rb").read() for f in files}
+    with pytest.raises(Exception):
+        upsert_sink(path, ["k"], 8)(spark.createDataFrame([(1, 9), (2, 9), (3, 9)], "k int, v int"), 1)
+    assert {f: open(f, "rb").read() for f in sorted(_files(path))} == before
+
+
+def test_rows_without_a_key_are_set_aside_and_replays_change_nothing(spark):
+    path = _table(spark, "test-upsert-null")
+    changes = spark.createDataFrame([(None, 5), (None, 5), (3, 7)], "k int, v int")
+    with pytest.raises(NullKeyError):
+        upsert(spark, path, changes, ["k"], 8)
+    assert len(_rows(spark, path)) == 100
+    for _ in range(3):
+        upsert(spark, path, changes, ["k"], 8, rejected=f"{path}-rejected", batch_id=4)
+        assert len(_rows(spark, path)) == 100 and (3, 7) in _rows(spark, path)
+        assert spark.read.parquet(f"{path}-rejected").drop("batch_id").count() == 2
+    with pytest.raises(Exception, match="NULL key"):
+        create_keyed(changes, f"{path}-other", ["k"], 8)
+
+
+def test_the_first_batch_of_a_stream_sets_aside_rows_without_a_key(spark):
+    path = f"{scratch_dir(spark, 'test-sink-null')}/table"
+    sink = upsert_sink(path, ["k"], 4)
+    batch = spark.createDataFrame([(None, 1), (1, 1), (2, 1)], "k int, v int")
+    for _ in range(3):
+        sink(batch, 0)
+        assert _rows(spark, path) == [(1, 1), (2, 1)]
+        assert spark.read.parquet(f"{path}-rejected").count() == 1
+
+
+@pytest.mark.parametrize("steps", [0, 1, 2, 3])
+def test_a_crash_while_publishing_is_recovered(spark, monkeypatch, steps):
+    path = _table(spark, "test-upsert-crash", 100, 4)
+    changes = spark.createDataFrame([(k, 2) for k in range(50)] + [(500, 2)], "k int, v int")
+    want = [(k, 2 if k < 50 else 1) for k in range(100)] + [(500, 2)]
+    done = []
+    real = U.move_path
+
+    def failing(spark, src, dst):
+        if len(done) == steps:
+            raise OSError("planted between delete and rename")
+        done.append(src)
+        real(spark, src, dst)
+    monkeypatch.setattr(U, "move_path", failing)
+    with pytest.raises(OSError, match="planted"):
+        upsert(spark, path, changes, ["k"], 4)
+    monkeypatch.setattr(U, "move_path", real)
+    assert _rows(spark, path) == want              # a reader sees the merge whole even now
+    upsert(spark, path, changes.limit(0), ["k"], 4)
+    assert _rows(spark, path) == want and not path_exists(spark, f"{path}/_staging")
+    upsert(spark, path, changes, ["k"], 4)
+    assert _rows(spark, path) == want and not path_exists(spark, f"{path}/_staging")
+
+
+def test_a_crash_while_staging_leaves_the_table_alone(spark):
+    path = _table(spark, "test-upsert-half")
+    spark.createDataFrame([(1, 99, 0)], "k int, v int, _bucket int").write.partitionBy("_bucket").parquet(f"{path}/_staging")
+    os.remove(f"{path}/_staging/_SUCCESS".replace("file:", "", 1))
+    assert (1, 1) in _rows(spark, path)
+    upsert(spark, path, spark.createDataFrame([(2, 5)], "k int, v int"), ["k"], 8)
+    assert (1, 1) in _rows(spark, path) and (2, 5) in _rows(spark, path) and len(_rows(spark, path)) == 100
+
+
+def test_an_existing_table_is_not_created_again(spark):
+    path = _table(spark, "test-upsert-twice")
+    with pytest.raises(Exception, match="already exists"):
+        create_keyed(spark.createDataFrame([(1, 1)], "k int, v int"), path, ["k"], 8)
+
+
+def test_buckets_are_written_by_as_many_tasks_as_their_bytes_ask_for(spark, tiny):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    rows = tiny.lineitem.repartition(12).withColumn("_bucket", F.lit(0))
+    assert "rebalance" in plan_text(rows.hint("rebalance", F.col("_bucket"))).lower()
+    try:
+        spark.conf.set(key, "16k")
+        path = f"{scratch_dir(spark, 'test-upsert-hot')}/table"
+        U._write(rows, path, "overwrite")
+        assert len(_files(path)) > 4
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_bucket_count_follows_the_bytes(tiny):
+    assert bucket_count(tiny.lineitem) == 8
+    assert bucket_count(tiny.lineitem, bytes_per_bucket=1000) > 50

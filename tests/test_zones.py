@@ -82,3 +82,61 @@ def test_bucketed_dimension_is_joined_without_a_shuffle_of_its_own(tiny):
     assert tree.count("Exchange") == 1            # only the orders side moves
     assert "Bucketed: true" in plan or "bucketed" in plan.lower()
     assert j.count() == tiny.orders.count()
+
+
+def test_a_hot_partition_value_is_written_by_many_tasks(tiny):
+    spark = tiny.spark
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "16k")
+        lake = Lake(spark)
+        hot = tiny.lineitem.repartition(12).withColumn("p", F.when(F.col("l_linenumber") > 6, "b").otherwise("a"))
+        lake.write(hot, "silver", "hot", ["p"])
+    finally:
+        spark.conf.set(key, old)
+    folder = lake.path("silver", "hot").replace("file:", "", 1)
+    assert len([f for f in os.listdir(f"{folder}/p=a") if f.endswith(".parquet")]) > 4
+    assert lake.read("silver", "hot").count() == tiny.lineitem.count()
+
+
+def test_new_partition_values_of_a_rewrite_are_found_and_quoted_values_dropped(spark):
+    lake = Lake(spark)
+    lake.write(spark.createDataFrame([(1, "a")], "v int, p string"), "silver", "t", ["p"])
+    lake.write(spark.createDataFrame([(2, "it's")], "v int, p string"), "silver", "t", ["p"])
+    assert sorted(map(tuple, lake.read("silver", "t").collect())) == [(1, "a"), (2, "it's")]
+    plan = spark.createDataFrame([("it's", "expire"), ("a", "keep")], "p string, action string")
+    assert lake.drop_partitions("silver", "t", plan, "p") == 1
+    assert sorted(map(tuple, lake.read("silver", "t").collect())) == [(1, "a")]
+
+
+def test_bucketed_write_keeps_its_comment_and_refuses_append(spark):
+    lake = Lake(spark)
+    lake.write(spark.range(5), "silver", "b", bucket_by=(2, ["id"]), comment="ids")
+    assert spark.catalog.getTable(f"{lake.schema('silver')}.b").description == "ids"
+    import pytest
+    with pytest.raises(ValueError):
+        lake.write(spark.range(5), "silver", "b", bucket_by=(2, ["id"]), mode="append")
+
+
+def test_a_partition_of_unknown_age_is_kept(spark):
+    from orderlake.sources.zones import retention_plan
+    df = spark.createDataFrame([("x", None), ("y", "1990-01-01")], "p string, d string")
+    plan = retention_plan(df, "p", F.to_date("d"), F.lit("2001-01-01").cast("date"), 10, 20)
+    assert {r.p: r.action for r in plan.collect()} == {"x": "keep", "y": "expire"}
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    import pytest
+
+    from orderlake import session as S
+    monkeypatch.setattr(S, "_context_checkpoint_dir", lambda s: None)
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Fake:
+        conf = Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.checkpoint_root(Fake())
