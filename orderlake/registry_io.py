@@ -269,7 +269,7 @@ def _l3(t):
         L.land(week, landing, order_by="ts")
         L.run_gold_windows(spark, landing, t.events.schema, gold, f"{root}/_checkpoints/gold", "ts",
                            "1 day", "1 hour", ["event_type"], EVENT_MEASURES())
-    return L.read_batch_log(spark, gold, ["window_start", "event_type"])
+    return L.read_partial_log(spark, gold, ["window_start", "window_end", "event_type"])
 
 
 @query("stream_upsert_latest")

@@ -142,6 +142,7 @@ def upsert_sink(path: str, keys: Sequence[str], n_buckets: int, order: Sequence[
 
 BATCH = "batch_id"
 FOLDING = "_folding-"
+NEWEST = "_newest"
 
 
 def batch_log_sink(path: str):
@@ -152,7 +153,7 @@ def batch_log_sink(path: str):
     is idempotent with a single write per batch.  :func:`read_batch_log` gives
     the current value of every key (the row from the newest batch).  The log
     grows by the number of *changed* keys per batch, which the watermark bounds;
-    :func:`fold_batch_log` keeps it short.
+    :func:`fold_log` keeps it short.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
@@ -163,49 +164,100 @@ def _log_folders(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
     """Numbers of the log's batch folders, and of complete foldings that are not in place yet."""
     names = child_names(spark, path)
     return (sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=")),
-            [int(n[len(FOLDING):]) for n in names if n.startswith(FOLDING) and path_exists(spark, f"{path}/{n}/_SUCCESS")])
+            sorted(int(n[len(FOLDING):]) for n in names if n.startswith(FOLDING) and path_exists(spark, f"{path}/{n}/_SUCCESS")))
 
 
-def read_batch_log(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current row of every key: the one of the newest batch that has it."""
+def read_log(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """All rows of a batch log (up to a batch); folded rows have batch id -1."""
     batches, folding = _log_folders(spark, path)
-    parts = [spark.read.parquet(path)] if batches or not folding else []
-    parts += [spark.read.parquet(f"{path}/{FOLDING}{n}").withColumn(BATCH, F.lit(n)) for n in folding]
-    log = parts[0]
-    for part in parts[1:]:
-        log = log.unionByName(part)
-    return C.latest_per_key(log, keys, [F.col(BATCH).desc()]).drop(BATCH)
+    live = [b for b in batches if (not folding or b > folding[-1]) and (upto is None or b <= upto)]
+    parts = [spark.read.option("basePath", path).parquet(*[f"{path}/{BATCH}={b}" for b in live])] if live else []
+    parts += [spark.read.parquet(f"{path}/{FOLDING}{n}").withColumn(BATCH, F.lit(-1)) for n in folding[-1:]]
+    if not parts:
+        raise FileNotFoundError(f"no batch in {path}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_batch_log(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
+    """The current row of every key: the one of the newest batch that has it."""
+    return C.latest_per_key(read_log(spark, path, upto), keys, [F.col(BATCH).desc()]).drop(BATCH)
 
 
-def fold_batch_log(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
-    """Replace the log's folders by one that holds the current row of every key.
+def read_partial_log(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
+    """The sum of every key's partial rows (all other columns are counts or sums)."""
+    log = read_log(spark, path, upto)
+    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in log.schema.fields if f.name not in (*keys, BATCH)]
+    return log.groupBy(*keys).agg(*sums)
 
-    Run it between runs of the stream.  The folded rows are written beside the
-    log under the number of the newest batch and then renamed into its place;
-    after a crash :func:`read_batch_log` reads them from where they are, and the
-    next call finishes the renaming.
+
+def fold_log(spark: SparkSession, path: str, keys: Sequence[str], read=read_batch_log) -> None:
+    """Replace all folders but the newest by one; ``read`` is the function the log is read with.
+
+    The newest batch stays, as a failed stream may replay it.  Folded rows are
+    written beside the log, the folders they stand for are deleted, and the new
+    one is renamed into place: after a crash at any point readers see the same
+    rows, and the next call finishes the work.
     """
     batches, folding = _log_folders(spark, path)
     if not folding:
-        if len(batches) < 2:
+        if len(batches) < 3:
             return
-        read_batch_log(spark, path, keys).write.mode("overwrite").parquet(f"{path}/{FOLDING}{batches[-1]}")
-        folding = [batches[-1]]
-    for n in folding:
-        for b in batches:
-            if b <= n:
-                delete_path(spark, f"{path}/{BATCH}={b}")
-        move_path(spark, f"{path}/{FOLDING}{n}", f"{path}/{BATCH}={n}")
+        older = read(spark, path, keys, upto=batches[-2])
+        older.write.mode("overwrite").parquet(f"{path}/{FOLDING}{batches[-2]}")
+        folding = [batches[-2]]
+    for b in batches:
+        if b <= folding[-1]:
+            delete_path(spark, f"{path}/{BATCH}={b}")
+    move_path(spark, f"{path}/{FOLDING}{folding[-1]}", f"{path}/{BATCH}=-1")
+
+
+def windows_sink(gold: str, late: str, ts_col: str, width: str, lateness: str, by: Sequence[str],
+                 measures: Sequence[Column], tz: str):
+    """``foreachBatch`` function: every event ends up in one of two logs.
+
+    An event whose window ended ``lateness`` or more before the newest event
+    time of earlier batches is late, as with a watermark; it is kept in ``late``
+    instead of being dropped, and so is an event without a time.  All others are
+    reduced to partial counts and sums per window in ``gold``.  Each batch writes
+    folders of its own, which a replay overwrites; the newest event time is kept
+    per batch beside gold.  So deliveries may come in any order, and events in
+    gold plus late events are the events landed.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = None
+        if path_exists(spark, f"{gold}/{NEWEST}"):
+            newest = (spark.read.parquet(f"{gold}/{NEWEST}").where(F.col(BATCH) < batch_id)
+                      .agg(F.max("newest").alias("newest")).first()["newest"])
+        ev = batch.withColumn("_event_time", to_event_time(ts_col, tz)).persist()
+        try:
+            bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
+            window = F.window("_event_time", width)
+            timed = ev.where(F.col("_event_time").isNotNull()).withColumn("_w", window)
+            is_late = F.coalesce(F.col("_w.end") <= bound, F.lit(False))
+            kept = (timed.where(~is_late).groupBy("_w", *by).agg(*measures))
+            kept = kept.select(from_event_time("_w.start", tz).alias("window_start"), from_event_time("_w.end", tz).alias("window_end"),
+                               *by, *[m for m in kept.columns if m not in ("_w", *by)])
+            kept.write.mode("overwrite").parquet(f"{gold}/{BATCH}={batch_id}")
+            (timed.where(is_late).drop("_w").unionByName(ev.where(F.col("_event_time").isNull())).drop("_event_time")
+             .write.mode("overwrite").parquet(f"{late}/{BATCH}={batch_id}"))
+            (ev.agg(F.max("_event_time").alias("newest")).write.mode("overwrite")
+             .parquet(f"{gold}/{NEWEST}/{BATCH}={batch_id}"))
+        finally:
+            ev.unpersist()
+    return sink
 
 
 def run_gold_windows(spark: SparkSession, src: str, schema, gold_path: str, checkpoint: str, ts_col: str,
                      width: str, lateness: str, by: Sequence[str], measures: Sequence[Column],
-                     max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> dict:
+                     max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None,
+                     late_path: str | None = None) -> dict:
     """Run the windowed aggregate over newly landed files; read gold with
-    ``read_batch_log(spark, gold_path, ["window_start", *by])``."""
+    ``read_partial_log(spark, gold_path, ["window_start", "window_end", *by])``
+    and late events with ``read_log(spark, late_path)`` (default: ``<gold_path>-late``)."""
     s = stream_files(spark, src, schema, "parquet", max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
-    g = gold_windows(s, ts_col, width, lateness, by, measures, session_tz(spark))
-    return run_available(g, None, checkpoint, foreach_batch=batch_log_sink(gold_path), output_mode="update")
+    sink = windows_sink(gold_path, late_path or f"{gold_path}-late", ts_col, width, lateness, by, measures, session_tz(spark))
+    return run_available(s, None, checkpoint, foreach_batch=sink)
 
 
 # -- L4 -------------------------------------------------------------------------

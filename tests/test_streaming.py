@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from orderlake.fixtures import raw_orders
@@ -44,8 +45,9 @@ def test_gold_windows_stream_equals_batch_across_deliveries(tiny):
         L.land(e.where((F.col("ts") >= lo) & (F.col("ts") < hi)), f"{root}/landing", order_by="ts")
         L.run_gold_windows(spark, f"{root}/landing", e.schema, f"{root}/gold", f"{root}/ckpt", "ts", "1 day",
                            "1 hour", ["event_type"], measures())
-    got = L.read_batch_log(spark, f"{root}/gold", ["window_start", "event_type"]).select(
+    got = L.read_partial_log(spark, f"{root}/gold", ["window_start", "window_end", "event_type"]).select(
         "window_start", "event_type", "events")
+    assert L.read_log(spark, f"{root}/gold-late").count() == 0
     batch = (e.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type")
               .agg(F.count(F.lit(1)).alias("events")))
     assert _same(got, batch)
@@ -195,23 +197,50 @@ def test_continuous_run_stops_on_its_condition_and_hands_over(tiny):
     assert _same(spark.read.parquet(f"{root}/out"), tiny.orders)
 
 
-def test_folding_the_batch_log_keeps_the_current_rows(tiny, monkeypatch):
+def test_late_events_are_kept_whatever_the_order_of_deliveries(tiny):
+    spark = tiny.spark
+    e = tiny.events
+    second = F.col("ts") >= "2024-01-15"
+    untimed = e.limit(3).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    for order in ((second, ~second), (~second, second)):
+        root = scratch_dir(spark, "test-late")
+        run = lambda: L.run_gold_windows(spark, f"{root}/landing", e.schema, f"{root}/gold", f"{root}/ckpt", "ts", "1 day", "1 hour",
+                                         ["event_type"], [F.count(F.lit(1)).alias("events")])
+        for part in order:
+            L.land(e.where(part).unionByName(untimed), f"{root}/landing")
+            run()
+        gold = L.read_partial_log(spark, f"{root}/gold", ["window_start", "window_end", "event_type"])
+        late = L.read_log(spark, f"{root}/gold-late")
+        assert gold.agg(F.sum("events")).first()[0] + late.count() == e.count() + 6
+        assert late.where("ts IS NULL").count() == 6
+        want = e.where(~second & (F.col("ts") < "2024-01-14")).count() if order[0] is second else 0
+        assert late.where("ts IS NOT NULL AND ts < '2024-01-14'").count() == want
+
+
+@pytest.mark.parametrize("read", [L.read_batch_log, L.read_partial_log])
+@pytest.mark.parametrize("crash", [False, True])
+def test_folding_a_log_keeps_what_readers_see(tiny, monkeypatch, read, crash):
     spark = tiny.spark
     path = f"{scratch_dir(spark, 'test-fold')}/log"
     sink = L.batch_log_sink(path)
+    rows = lambda: sorted(map(tuple, read(spark, path, ["k"]).collect()))
     for b in range(4):
         sink(spark.createDataFrame([(k, b) for k in range(b, 10)], "k int, v int"), b)
-    want = sorted(map(tuple, L.read_batch_log(spark, path, ["k"]).collect()))
-    real = L.move_path
-    monkeypatch.setattr(L, "move_path", lambda *a: (_ for _ in ()).throw(OSError("planted")))
-    try:
-        L.fold_batch_log(spark, path, ["k"])
-    except OSError:
-        pass
-    assert sorted(map(tuple, L.read_batch_log(spark, path, ["k"]).collect())) == want
-    monkeypatch.setattr(L, "move_path", real)
-    L.fold_batch_log(spark, path, ["k"])
-    assert sorted(map(tuple, L.read_batch_log(spark, path, ["k"]).collect())) == want
-    assert [r[0] for r in spark.read.parquet(path).select("batch_id").distinct().collect()] == [3]
-    sink(spark.createDataFrame([(0, 9)], "k int, v int"), 4)
-    assert (0, 9) in map(tuple, L.read_batch_log(spark, path, ["k"]).collect())
+    want = rows()
+    if crash:
+        real = L.move_path
+        monkeypatch.setattr(L, "move_path", lambda *a: (_ for _ in ()).throw(OSError("planted")))
+        with pytest.raises(OSError, match="planted"):
+            L.fold_log(spark, path, ["k"], read)
+        assert rows() == want
+        monkeypatch.setattr(L, "move_path", real)
+    L.fold_log(spark, path, ["k"], read)
+    assert rows() == want
+    assert sorted(r[0] for r in L.read_log(spark, path).select("batch_id").distinct().collect()) == [-1, 3]
+    sink(spark.createDataFrame([(k, 3) for k in range(3, 10)], "k int, v int"), 3)        # the newest batch replayed
+    assert rows() == want
+    for b in (4, 5):
+        sink(spark.createDataFrame([(0, b)], "k int, v int"), b)
+    want = rows()
+    L.fold_log(spark, path, ["k"], read)
+    assert rows() == want and dict(rows())[0] == (5 if read is L.read_batch_log else 9)
