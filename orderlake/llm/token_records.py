@@ -4,7 +4,7 @@ File format (all numbers little-endian).  ``part-NNNNNN.rec`` holds one frame pe
 
     uint64  length of the payload in bytes
     uint32  masked checksum of those 8 bytes
-    payload uint32 ids
+    payload one byte: bytes per id (2 if the vocabulary has at most 65,536 entries, else 4); the ids
     uint32  masked checksum of the payload
 
 ``part-NNNNNN.idx`` holds one 24-byte entry per frame, in file order: uint64 byte offset of the
@@ -26,6 +26,7 @@ import struct
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
@@ -95,8 +96,18 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def id_format(vocabulary: int) -> str:
+    """struct code of one id."""
+    return "H" if vocabulary <= 1 << 16 else "I"
+
+
+def ids_of(payload: bytes) -> np.ndarray:
+    """The ids of a payload as little-endian uint32."""
+    return np.frombuffer(payload, "<u2" if payload[0] == 2 else "<u4", offset=1).astype("<u4")
+
+
 class WordIds(dict):
-    """Word -> its ids as little-endian uint32 bytes, encoded by the tokenizers library.
+    """Word -> its ids in the format of the files, encoded by the tokenizers library.
 
     The tokenizer drops white space and splits before it merges, so a text's ids are those of its
     words one after another.  Bounded in two generations; long words are not kept.
@@ -105,10 +116,11 @@ class WordIds(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.old = tokenizer, {}
+        self.code = id_format(tokenizer.get_vocab_size())
 
     def encode(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
         value = self.old.get(word)
@@ -134,7 +146,8 @@ def write_records(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str
     def run(batches):
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        ids, end = WordIds(load_tokenizer(tokenizer_path)), struct.pack("<I", end_id)
+        ids = WordIds(load_tokenizer(tokenizer_path))
+        width, end = struct.calcsize(ids.code), struct.pack(f"<{ids.code}", end_id)
         fs, path = _fs(folder)
         names = {kind: f"{path}/_part-{part:06d}-{attempt}.{kind}" for kind in ("rec", "idx")}
         rec = idx = None
@@ -144,13 +157,13 @@ def write_records(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str
                 fs.create_dir(path, recursive=True)
                 rec, idx = fs.open_output_stream(names["rec"]), fs.open_output_stream(names["idx"])
             for key, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                payload = b"".join([*map(ids.__getitem__, split_words(text)), end])
-                framed = frame(payload)
+                payload = b"".join([bytes([width]), *map(ids.__getitem__, split_words(text)), end])
+                framed, count = frame(payload), len(payload) // width
                 rec.write(framed)
-                idx.write(struct.pack(INDEX, offset, len(payload) // 4, NULL_ID if key is None else key))
+                idx.write(struct.pack(INDEX, offset, count, NULL_ID if key is None else key))
                 offset += len(framed)
                 n_docs += 1
-                n_ids += len(payload) // 4
+                n_ids += count
         if rec is not None:
             rec.close()
             idx.close()
@@ -179,9 +192,10 @@ def read_records(parts: DataFrame, folder: str) -> DataFrame:
                         fs.open_input_stream(f"{path}/part-{part:06d}.idx") as idx:
                     while (payload := read_frame(rec)) is not None:
                         _, count, key = struct.unpack(INDEX, idx.read(struct.calcsize(INDEX)))
-                        if count * 4 != len(payload):
+                        ids = ids_of(payload)
+                        if count != len(ids):
                             raise ValueError(f"part {part}: index and records differ")
-                        rows.append((None if key == NULL_ID else key, start, count, zlib.crc32(payload)))
+                        rows.append((None if key == NULL_ID else key, start, count, zlib.crc32(ids.tobytes())))
                         start += count
                         if len(rows) >= READ_BATCH:
                             yield _rows(rows)

@@ -14,7 +14,7 @@ from tests.llm.conftest import documents, edge_rows
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-def ids_of(text):
+def whole_ids(text):
     return T.load_tokenizer(PATH).encode(text.decode(), add_special_tokens=False).ids + [2]
 
 
@@ -26,14 +26,14 @@ def test_query_equals_the_library(spark):
     got = {r["doc_id"]: r for r in QUERIES["op9_token_records"](spark, SF_TINY).collect()}
     start = 0
     for i, text, _ in sorted(documents(SF_TINY)):
-        ids = ids_of(text)
+        ids = whole_ids(text)
         assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), crc(ids))
         start += len(ids)
 
 
 def test_edges(spark, edge_docs, no_docs):
     rows = sorted(T.write_and_read(spark, edge_docs, PATH).collect(), key=lambda r: r["start"])
-    want = sorted(((i is not None, i or 0, len(x), crc(x)) for i, t, _ in edge_rows() for x in [ids_of((t or "").encode())]))
+    want = sorted(((i is not None, i or 0, len(x), crc(x)) for i, t, _ in edge_rows() for x in [whole_ids((t or "").encode())]))
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in rows) == want
     order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in rows]
     assert order == sorted(order)                           # NULL ids first, then ascending
@@ -47,8 +47,10 @@ def test_edges(spark, edge_docs, no_docs):
 def test_words_and_whole_texts_encode_alike():
     words = T.WordIds(T.load_tokenizer(PATH))
     for text in ["it's  the cat's tail, isn't it?", "é ́x ΑΣ ς", "a<|endoftext|> b\x1cc d", "１２3x", "İstanbul ẞ"]:
-        assert b"".join(words[w] for w in text.encode().split()) + struct.pack("<I", 2) == struct.pack(
-            f"<{len(ids_of(text.encode()))}I", *ids_of(text.encode()))
+        got = T.ids_of(b"\2" + b"".join(words[w] for w in text.encode().split()) + struct.pack("<H", 2))
+        assert got.tolist() == whole_ids(text.encode())
+    assert T.id_format(65_536) == "H" and T.id_format(65_537) == "I"
+    assert T.ids_of(b"\4" + struct.pack("<2I", 1, 70_000)).tolist() == [1, 70_000]
 
 
 def test_frames_and_shuffled_reads(spark, edge_docs):
@@ -57,7 +59,7 @@ def test_frames_and_shuffled_reads(spark, edge_docs):
     assert sum(p["n_docs"] for p in parts) == len(edge_rows())
     part = max(parts, key=lambda p: p["n_docs"])
     seen = [T.read_record(folder, part["part"], k) for k in reversed(range(part["n_docs"]))]
-    assert sum(len(p) // 4 for p in seen) == part["n_ids"] and all(p.endswith(struct.pack("<I", 2)) for p in seen)
+    assert sum(len(T.ids_of(p)) for p in seen) == part["n_ids"] and all(T.ids_of(p)[-1] == 2 for p in seen)
     good = T.frame(b"payload")
     assert T.read_frame(io.BytesIO(good)) == b"payload" and T.read_frame(io.BytesIO(b"")) is None
     for bad in (good[:-1], good[:5], b"\x09" + good[1:], good[:14] + b"X" + good[15:]):
