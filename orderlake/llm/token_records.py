@@ -21,7 +21,9 @@ and a second attempt replaces the file with the same bytes.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from functools import lru_cache
@@ -106,20 +108,57 @@ def ids_of(payload: bytes) -> np.ndarray:
     return np.frombuffer(payload, "<u2" if payload[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
+#: The normaliser and splitter for which plain words may be split here.
+PLAIN_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Plain words: visible ASCII and the letters of Latin-1; the same split, written for these characters.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if visible, else the next unused one."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(spare)) for b in range(256)]
+
+
 class WordIds(dict):
     """Word -> its ids in the format of the files, encoded by the tokenizers library.
 
     The tokenizer drops white space and splits before it merges, so a text's ids are those of its
-    words one after another.  Bounded in two generations; long words are not kept.
+    words one after another.  Plain words are lower-cased and split here and their pieces merged by the
+    library's model; any other word goes through the whole library.  Bounded: words in two
+    generations, pieces in one; long words are not kept.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.old = tokenizer, {}
+        self.tokenizer, self.old, self.pieces = tokenizer, {}, {}
         self.code = id_format(tokenizer.get_vocab_size())
+        config = json.loads(tokenizer.to_str())
+        steps = [n["type"] for n in (config["normalizer"] or {}).get("normalizers", [])]
+        first = ((config["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        self.plain = steps == PLAIN_NORMALIZER and first.get("pattern", {}).get("Regex") == PLAIN_SPLIT
+        self.model, self.letters = tokenizer.model, byte_letters()
+
+    def piece(self, text: str) -> bytes:
+        value = self.pieces.get(text)
+        if value is None:
+            spelled = "".join([self.letters[b] for b in text.encode()])
+            ids = [t.id for t in self.model.tokenize(spelled)]
+            value = struct.pack(f"<{len(ids)}{self.code}", *ids)
+            if len(text) <= CACHE_BYTES:
+                if len(self.pieces) >= CACHE_WORDS:
+                    self.pieces.clear()
+                self.pieces[text] = value
+        return value
 
     def encode(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        text = word.decode("utf-8", "replace")
+        if self.plain and _PLAIN.fullmatch(text):
+            return b"".join([self.piece(p) for p in _PLAIN_PIECES.findall(text.lower())])
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def __missing__(self, word: bytes) -> bytes:

@@ -1,4 +1,5 @@
 import io
+import random
 import struct
 import zlib
 
@@ -46,7 +47,10 @@ def test_edges(spark, edge_docs, no_docs):
 
 def test_words_and_whole_texts_encode_alike():
     words = T.WordIds(T.load_tokenizer(PATH))
-    for text in ["it's  the cat's tail, isn't it?", "é ́x ΑΣ ς", "a<|endoftext|> b\x1cc d", "１２3x", "İstanbul ẞ"]:
+    rng = random.Random(2)
+    parts = [*"'sStTreEvmMlLdD!%.#-_09 ~ÀßÿÖ÷×äéñµªº²¼", "'ll", "'re", "the", "ing", "don't", "´", "ﬁ", "́"]
+    mixed = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    for text in mixed + ["it's  the cat's tail, isn't it?", "é ́x ΑΣ ς", "a<|endoftext|> b\x1cc d", "１２3x", "İstanbul ẞ"]:
         got = T.ids_of(b"\2" + b"".join(words[w] for w in text.encode().split()) + struct.pack("<H", 2))
         assert got.tolist() == whole_ids(text.encode())
     assert T.id_format(65_536) == "H" and T.id_format(65_537) == "I"
