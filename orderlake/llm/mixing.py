@@ -116,3 +116,35 @@ def mix(docs: DataFrame) -> DataFrame:
     joined = _with_targets(clear, plan_sources(sizes), source, key).withColumn("copies_", copies_column(F.col(key)))
     copies = joined.where("copies_ > 0").withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), "copies_")))
     return copies.select(*clear.columns).toDF(*wanted)
+
+
+#: The same plan in DuckDB.
+PLAN_SQL = rf"""
+WITH sizes AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),
+ranked AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sizes GROUP BY source),
+weighted AS (SELECT *, {list(WEIGHTS)}[place % {len(WEIGHTS)} + 1] AS weight FROM ranked),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - {MAX_RATE} * coalesce(sum(source_size) OVER lower_ones, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER lower_ones, 0)) AS level
+  FROM weighted
+  WINDOW lower_ones AS (ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT source, source_size, least(CAST({MAX_RATE} * source_size AS DOUBLE), coalesce(
+           (SELECT level FROM levels WHERE level * weight <= {MAX_RATE} * source_size ORDER BY source_size / weight, place LIMIT 1) * weight,
+           CAST({MAX_RATE} * source_size AS DOUBLE))) AS target
+  FROM levels),
+drawn AS (
+  SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate, slice,
+         CAST('0x' || substr(md5('mix ' || (slice // 4) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), 8 * (slice % 4) + 1, 8) AS BIGINT)
+           / 4294967296.0 AS u
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, range({DRAWS}) r(slice)),
+copied AS (SELECT *, CAST(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM drawn),
+chosen AS (
+  SELECT source, slice FROM (SELECT source, slice, abs(sum(copies * size) - any_value(target)) AS off FROM copied GROUP BY source, slice)
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, slice) = 1)
+SELECT doc_id, size, source_size, target, copies * size AS taken
+FROM copied c JOIN chosen h ON c.source IS NOT DISTINCT FROM h.source AND c.slice = h.slice
+"""

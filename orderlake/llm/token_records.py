@@ -246,8 +246,8 @@ def read_records(parts: DataFrame, folder: str) -> DataFrame:
         columns = zip(*rows)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                           ["doc_id", "start", "n_tokens", "ids_crc32"])
-    # one task per few parts: the parts' numbers are spread evenly, the files are about as large as each other
-    return map_arrow(todo.repartition("part"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # about one file per task: the rows are few and small, so their size must not decide the number of tasks
+    return map_arrow(todo.repartition(max(1, parts.count()), "part"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
