@@ -82,6 +82,13 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return map_arrow(df, run, schema)
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, for work that makes many arrays per token."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def keep_rows(df: DataFrame, decide: Callable[[list[bytes]], list[bool]], text: str = "text") -> DataFrame:
     """Rows (all columns) for which ``decide`` says True; no shuffle and no join."""
     def run(batches):

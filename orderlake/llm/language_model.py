@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import map_arrow, materialise, split_words, texts_of
+from orderlake.llm.common import map_arrow, materialise, small_batches, split_words, texts_of
 
 CLASSES = 512
 HEAVY = 200_000
@@ -187,10 +187,8 @@ def train(training: DataFrame, vocab: Vocabulary) -> Parameters:
     def run(batches):
         trainer = Trainer(Parameters(*[a.copy() for a in (start.ctx1, start.ctx2, start.out, start.bias)]), shares)
         tokens = 0
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = [np.array([number.get(w, other) for w in words_of(t)] + [0], np.int64) for t in texts_of(batch)]
-            if not ids:
-                continue
             c1, c2, w = contexts(ids, begin)
             tokens += len(w)
             for at in range(0, len(w), BATCH):
@@ -247,9 +245,7 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, tables: Tables)
     def run(batches):
         words, log_count, known, tab = shared.value
         number = {w: i for i, w in enumerate(words)}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small_batches(batches):
             texts = texts_of(batch)
             found, rare = [], []
             for text in texts:
