@@ -91,13 +91,25 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, classes: int = CLASSES, heavy: int = HEAVY) -> Vocabulary:
-    """Totals of all words and the ``heavy`` most frequent ones (ties by the word)."""
+    """Totals of all words, and the heavy ones: all that occur at least so often that no more than ``heavy`` do.
+
+    The limit is found from word numbers per eighth of an octave of the count (some hundred rows), so the
+    driver receives the heavy words alone.
+    """
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
                        F.max(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("ends")).first()
-    top = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(heavy).collect()
-    words = [END] + [bytes(r["word"]) for r in top]
+    words = counts.where(F.col("word") != F.lit(END)).withColumn("step", F.floor(F.log2("n") * 8).cast("int"))
+    least, room = None, heavy
+    for step, number in sorted(map(tuple, words.groupBy("step").count().collect()), reverse=True):
+        room -= number
+        if room < 0:
+            break
+        least = step
+    top = words.where(F.col("step") >= least).select("word", "n").collect() if least is not None else []
+    top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
+    known = [END] + [bytes(r["word"]) for r in top]
     n = np.array([total["ends"] or 0] + [r["n"] for r in top], np.int64)
-    return Vocabulary(words, n, min(classes, len(words)), int(total["n"] or 0), int(total["v"] or 0))
+    return Vocabulary(known, n, min(classes, len(known)), int(total["n"] or 0), int(total["v"] or 0))
 
 
 @dataclass

@@ -62,6 +62,17 @@ def test_words_outside_the_heavy_ones_meet_their_counts(edge_docs, monkeypatch):
     assert rows(L.fit_and_score(edge_docs, ~fold)[0].collect()) == want
 
 
+def test_heavy_words_are_whole_steps_of_the_count(spark):
+    words = [(f"w{i}".encode(), 1000 // (i + 1)) for i in range(200)] + [(L.END, 77)]
+    counts = spark.createDataFrame(words, "word binary, n long")
+    for heavy in (0, 5, 60, 1000):
+        vocab = L.vocabulary(counts, classes=4, heavy=heavy)
+        assert len(vocab.words) - 1 <= heavy and vocab.words[0] == L.END and vocab.counts[0] == 77
+        assert (vocab.tokens, vocab.distinct) == (sum(n for _, n in words), 201)
+        assert vocab.words[1:] == [w for w, _ in words[:len(vocab.words) - 1]] or sorted(vocab.counts[1:])[::-1] == list(vocab.counts[1:])
+        assert all(n < vocab.counts[-1] for w, n in words if w not in vocab.words) or heavy == 0
+
+
 def test_probabilities_sum_to_one_and_training_helps():
     rng = np.random.default_rng(0)
     shares = np.array([0.1, 0.4, 0.3, 0.2])
