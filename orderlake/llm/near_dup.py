@@ -13,8 +13,9 @@
 4. In each bucket every node is held against the smallest one; the pairs whose samples agree often
    enough are verified by their exact weighted Jaccard similarity, and verified links give components.
 5. Buckets that then still mix components are searched for all pairs of different components whose
-   samples agree, in blocks of at most ``BLOCK`` nodes a side; these are verified, too, and the
-   components are final.  Nothing is capped: large buckets only make more blocks.
+   samples agree; the nodes of such pairs are held against each other, in blocks of about ``BLOCK``
+   nodes a side, and the components are final.  Nothing is capped: large buckets only make more
+   blocks.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ WIDTH = 5
 BANDS, ROWS = 16, 4
 SIMILARITY = 0.8
 MIN_EQUAL = 37            # of 64 samples: 4.4 standard deviations below the 51 expected at 0.8
-BLOCK = 1024
+BLOCK = 1024              # nodes a side whose items are held against each other in one group
+PRINT_BLOCK = 4096        # nodes a side whose samples are
 HEAVY_SHARE = 0.1
 HEAVY_LEAST = 1000
 CHUNK_DOCS = 2000
@@ -252,47 +254,46 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
             .union(centres.select("block", F.lit(0).alias("side"), F.col("block").alias("node"))))
 
 
-def mixed_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(block, side, node): pairs of different components in a bucket whose samples agree enough.
+def mixed_nodes(signed: DataFrame, labels: DataFrame) -> DataFrame:
+    """(block, node, label): nodes of a bucket that have a near node of another component in it.
 
-    ``block`` is the larger component of the two (side 0; ties by label), side 1 the other's nodes.
+    A pair counts in the first band in which it shares a bucket, so a group whose nodes meet in many
+    bands is not searched once for each.  Rows stay in proportion to the nodes: pairs are looked at
+    inside the tasks, in parts of ``PRINT_BLOCK`` nodes, and only the nodes leave.
     """
-    ship_package(buckets.sparkSession)
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    owned = labels.join(sizes, "label").select(F.col("node").alias("node_"), "label", "size")
-    placed = (buckets.join(owned, F.col("node") == F.col("node_"), "left")
-              .select("band", "key", "node", "print", F.coalesce("label", "node").alias("label"), F.coalesce("size", F.lit(1)).alias("size")))
-    mixed = (placed.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where("lo <> hi").select(F.col("band").alias("band_"), F.col("key").alias("key_"), "n"))
-    members = placed.join(mixed, (F.col("band") == F.col("band_")) & (F.col("key") == F.col("key_")))
-    parts = F.ceil(F.col("n") / BLOCK)
-    members = members.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
+    ship_package(signed.sparkSession)
+    owned = labels.select(F.col("node").alias("node_"), "label")
+    placed = (signed.join(owned, F.col("node") == F.col("node_"), "left")
+              .select("node", "print", "keys", F.coalesce("label", "node").alias("label"), F.posexplode("keys").alias("band", "key")))
+    mixed = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .where("lo <> hi").select(F.col("key").alias("key_"), F.ceil(F.col("n") / PRINT_BLOCK).alias("parts")))
+    members = placed.join(mixed, F.col("key") == F.col("key_")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
     spread = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     spread = spread.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-                           "node", "print", "label", "size")
+                           "node", "print", "keys", "label")
 
     def cross(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        nodes, labels_, sizes_ = (group.column(c).to_pylist() for c in ("node", "label", "size"))
+        nodes, labels_ = (group.column(c).to_pylist() for c in ("node", "label"))
         prints, own = _prints(group.column("print")), group.column("own").to_numpy()
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        keys = group.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        band, i, j = (group.column(c)[0].as_py() for c in ("band", "i", "j"))
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         number = {label: k for k, label in enumerate(dict.fromkeys(labels_))}
         codes = np.array([number[x] for x in labels_])
-        out: set[tuple[bytes, int, bytes]] = set()
+        active = np.zeros(len(nodes), bool)
         for at in range(0, len(left), 128):
             rows = left[at:at + 128]
             near = (_equal(prints[rows], prints[right]) >= MIN_EQUAL) & (codes[rows][:, None] != codes[right][None, :])
-            for a, b in zip(*np.nonzero(near)):
-                a, b = rows[a], right[b]
-                if (sizes_[a], labels_[a]) < (sizes_[b], labels_[b]):
-                    a, b = b, a
-                out.add((labels_[a], 0, nodes[a]))
-                out.add((labels_[a], 1, nodes[b]))
-        rows = list(out)
-        return pa.table({"block": pa.array([r[0] for r in rows], pa.binary()), "side": pa.array([r[1] for r in rows], pa.int32()),
-                         "node": pa.array([r[2] for r in rows], pa.binary())})
-    return spread.groupBy("band", "key", "i", "j").applyInArrow(cross, "block binary, side int, node binary").distinct()
+            for t in range(band):
+                near &= keys[rows, t][:, None] != keys[right, t][None, :]
+            active[rows[near.any(1)]] = True
+            active[right[near.any(0)]] = True
+        found = np.flatnonzero(active)
+        return pa.table({"block": pa.array([group.column("key")[0].as_py()] * len(found), pa.int64()),
+                         "node": pa.array([nodes[k] for k in found], pa.binary()),
+                         "label": pa.array([labels_[k] for k in found], pa.binary())})
+    return spread.groupBy("band", "key", "i", "j").applyInArrow(cross, "block long, node binary, label binary").distinct()
 
 
 def item_sets(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
@@ -339,37 +340,66 @@ def similarities(left: list[tuple], right: list[tuple]) -> np.ndarray:
     return inter / np.maximum(t0[:, None] + t1[None, :] - inter, 1e-9)
 
 
-def verified(active: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links of similarity ``SIMILARITY`` or more between side 0 and side 1 of each block.
+def _sets(group: pa.Table) -> list[tuple]:
+    return [(np.frombuffer(i, np.uint32), np.frombuffer(w, np.float32) if w else None)
+            for i, w in zip(group.column("items").to_pylist(), group.column("weights").to_pylist())]
+
 
-    Sides are cut into parts of about ``BLOCK`` nodes by hash, and each pair of parts is one group.
-    Side 1 needs one link per node and part, as side 0 is one component already (or one node).
+def star_links(star: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): nodes of similarity ``SIMILARITY`` or more to the centre of their block.
+
+    A block's nodes are cut into parts of about ``BLOCK`` by hash; each part gets the centre's items.
+    """
+    ship_package(star.sparkSession)
+    counts = star.where("side = 1").groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    parts = counts.select(F.col("block").alias("block_"), F.ceil(F.col("n") / BLOCK).alias("parts"))
+    rows = star.join(parts, F.col("block") == F.col("block_"))
+    centres = rows.where("side = 0").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    others = rows.where("side = 1").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    spread = centres.unionByName(others).select("block", "part", "side", F.col("node").alias("node_"))
+    loaded = spread.join(sets, F.col("node_") == F.col("node")).select("block", "part", "side", "node", "items", "weights")
+
+    def check(group: pa.Table) -> pa.Table:
+        side, nodes, found = np.array(group.column("side").to_pylist()), group.column("node").to_pylist(), _sets(group)
+        centre, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        near = []
+        if len(centre) and len(others):
+            got = similarities([found[centre[0]]], [found[k] for k in others])[0]
+            near = [nodes[k] for k in others[got >= SIMILARITY - 1e-6]]
+        return pa.table({"a": pa.array([nodes[centre[0]]] * len(near) if near else [], pa.binary()), "b": pa.array(near, pa.binary())})
+    return loaded.groupBy("block", "part").applyInArrow(check, "a binary, b binary")
+
+
+def block_links(active: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): one link per pair of components that a block's nodes connect, by all pairs of the block.
+
+    Nodes are cut into parts of about ``BLOCK`` by hash, and each pair of parts is one group.
     """
     ship_package(active.sparkSession)
-    counts = active.groupBy("block").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
-    parts = counts.select(F.col("block").alias("block_"), F.ceil(F.col("n0") / BLOCK).alias("p0"), F.ceil(F.col("n1") / BLOCK).alias("p1"))
-    rows = active.join(parts, F.col("block") == F.col("block_")).withColumn("h", F.xxhash64("node"))
-    first = F.col("side") == 0
-    own = F.when(first, F.pmod("h", "p0")).otherwise(F.pmod("h", "p1"))
-    spread = (rows.withColumn("own", own)
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(first, F.col("p1")).otherwise(F.col("p0")) - 1)))
-              .select("block", "side", F.when(first, F.col("own")).otherwise(F.col("other")).alias("i"),
-                      F.when(first, F.col("other")).otherwise(F.col("own")).alias("j"), F.col("node").alias("node_")))
-    loaded = spread.join(sets, F.col("node_") == F.col("node")).select("block", "i", "j", "side", "node", "items", "weights")
+    counts = active.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    parts = counts.select(F.col("block").alias("block_"), F.ceil(F.col("n") / BLOCK).alias("parts"))
+    rows = active.join(parts, F.col("block") == F.col("block_")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
+    spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    spread = spread.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                           F.col("node").alias("node_"), "label")
+    loaded = (spread.join(sets, F.col("node_") == F.col("node"))
+              .select("block", "i", "j", "own", "label", "node", "items", "weights"))
 
     def check(group: pa.Table) -> pa.Table:
-        side = np.array(group.column("side").to_pylist())
-        nodes = group.column("node").to_pylist()
-        sets_ = [(np.frombuffer(i, np.uint32), np.frombuffer(w, np.float32) if w else None)
-                 for i, w in zip(group.column("items").to_pylist(), group.column("weights").to_pylist())]
-        zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        nodes, labels_, found = group.column("node").to_pylist(), group.column("label").to_pylist(), _sets(group)
+        own = np.array(group.column("own").to_pylist())
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        number = {label: k for k, label in enumerate(dict.fromkeys(labels_))}
+        codes = np.array([number[x] for x in labels_])
         a, b = [], []
-        if len(zero) and len(one):
-            got = similarities([sets_[k] for k in zero], [sets_[k] for k in one])
-            best = got.argmax(0)
-            for k in np.flatnonzero(got[best, np.arange(len(one))] >= SIMILARITY - 1e-6):
-                a.append(nodes[zero[best[k]]])
-                b.append(nodes[one[k]])
+        if len(left) and len(right):
+            got = similarities([found[k] for k in left], [found[k] for k in right])
+            x, y = np.nonzero((got >= SIMILARITY - 1e-6) & (codes[left][:, None] != codes[right][None, :]))
+            x, y = left[x], right[y]
+            low, high = np.minimum(codes[x], codes[y]), np.maximum(codes[x], codes[y])
+            _, first = np.unique(low.astype(np.int64) * len(number) + high, return_index=True)
+            a, b = [nodes[k] for k in x[first]], [nodes[k] for k in y[first]]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
     return loaded.groupBy("block", "i", "j").applyInArrow(check, "a binary, b binary")
 
@@ -395,9 +425,9 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = reps.join(nodes, F.col("node") == F.col("node_"), "left_semi")
         return materialise(item_sets(docs, wanted, sampler), "dup-items")
     star = materialise(star_pairs(buckets), "dup-star")
-    links = materialise(verified(star, sets_for(star)), "dup-links")
-    mixed = materialise(mixed_pairs(buckets, components(links)), "dup-mixed")
-    more = materialise(verified(mixed, sets_for(mixed)), "dup-links")
+    links = materialise(star_links(star, sets_for(star)), "dup-links")
+    mixed = materialise(mixed_nodes(signed, components(links)), "dup-mixed")
+    more = materialise(block_links(mixed, sets_for(mixed)), "dup-links")
     labels = materialise(components(links.union(more)), "dup-labels").withColumnRenamed("node", "node_")
     owned = reps.join(labels, F.col("node") == F.col("node_"), "left").select("node", "rep_id", F.coalesce("label", "node").alias("label"))
     owned = materialise(owned, "dup-owned")
