@@ -38,6 +38,7 @@ SIMILARITY = 0.8
 MIN_EQUAL = 37            # of 64 samples: 4.4 standard deviations below the 51 expected at 0.8
 BLOCK = 1024              # nodes a side whose items are held against each other in one group
 PRINT_BLOCK = 4096        # nodes a side whose samples are
+BITMAP = 1 << 24          # bits of the filter of wanted nodes
 HEAVY_SHARE = 0.1
 HEAVY_LEAST = 1000
 CHUNK_DOCS = 2000
@@ -237,11 +238,23 @@ def _prints(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
 
 
+def shared_buckets(signed: DataFrame) -> DataFrame:
+    """(node, print, keys, band, key, n): the rows of buckets that hold more than one node, n their number.
+
+    Buckets are counted on (node, key) rows alone; samples join only the few rows that remain.
+    """
+    rows = signed.select("node", F.posexplode("keys").alias("band", "key"))
+    full = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "key_")
+    multi = materialise(rows.join(full, F.col("key") == F.col("key_")).drop("key_"), "dup-buckets")
+    prints = signed.select(F.col("node").alias("node_"), "print", "keys")
+    return materialise(multi.join(prints, F.col("node") == F.col("node_")).drop("node_"), "dup-buckets")
+
+
 def star_pairs(buckets: DataFrame) -> DataFrame:
     """(block, side, node): each node against the smallest node of its buckets, if their samples agree enough."""
-    least = (buckets.groupBy("band", "key").agg(F.min(F.struct("node", "print")).alias("least"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select(F.col("band").alias("band_"), F.col("key").alias("key_"), "least"))
-    pairs = (buckets.join(least, (F.col("band") == F.col("band_")) & (F.col("key") == F.col("key_")))
+    least = (buckets.groupBy("key").agg(F.min(F.struct("node", "print")).alias("least"))
+             .select(F.col("key").alias("key_"), "least"))
+    pairs = (buckets.join(least, F.col("key") == F.col("key_"))
              .where(F.col("node") != F.col("least.node"))
              .select(F.col("least.node").alias("block"), "node", F.col("least.print").alias("left"), F.col("print").alias("right")))
 
@@ -254,17 +267,17 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
             .union(centres.select("block", F.lit(0).alias("side"), F.col("block").alias("node"))))
 
 
-def mixed_nodes(signed: DataFrame, labels: DataFrame) -> DataFrame:
+def mixed_nodes(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """(block, node, label): nodes of a bucket that have a near node of another component in it.
 
     A pair counts in the first band in which it shares a bucket, so a group whose nodes meet in many
     bands is not searched once for each.  Rows stay in proportion to the nodes: pairs are looked at
     inside the tasks, in parts of ``PRINT_BLOCK`` nodes, and only the nodes leave.
     """
-    ship_package(signed.sparkSession)
+    ship_package(buckets.sparkSession)
     owned = labels.select(F.col("node").alias("node_"), "label")
-    placed = (signed.join(owned, F.col("node") == F.col("node_"), "left")
-              .select("node", "print", "keys", F.coalesce("label", "node").alias("label"), F.posexplode("keys").alias("band", "key")))
+    placed = (buckets.join(owned, F.col("node") == F.col("node_"), "left")
+              .select("node", "print", "keys", "band", "key", F.coalesce("label", "node").alias("label")))
     mixed = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
              .where("lo <> hi").select(F.col("key").alias("key_"), F.ceil(F.col("n") / PRINT_BLOCK).alias("parts")))
     members = placed.join(mixed, F.col("key") == F.col("key_")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
@@ -296,22 +309,45 @@ def mixed_nodes(signed: DataFrame, labels: DataFrame) -> DataFrame:
     return spread.groupBy("band", "key", "i", "j").applyInArrow(cross, "block long, node binary, label binary").distinct()
 
 
+def bitmap_of(nodes: DataFrame) -> np.ndarray:
+    """A bitmap with the bit of the first three bytes set for each node; 2 MB, whatever their number.
+
+    Bits are put together by the cluster; the driver receives at most ``BITMAP / 64`` words.
+    """
+    at = F.conv(F.hex(F.substring("node", 1, 3)), 16, 10).cast("int")
+    words = nodes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits"))
+    out = np.zeros(BITMAP // 64, np.int64)
+    for r in words.collect():
+        out[r["word"]] = r["bits"]
+    return out
+
+
 def item_sets(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
-    """(node, items, weights) of the nodes whose document ids ``wanted`` holds; empty weights mean all 1."""
-    ids = wanted.select(F.col("rep_id").alias("rep_id_")).distinct()
-    near = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("rep_id_")), "left_semi")
+    """(node, items, weights) of the nodes of ``wanted``; empty weights mean all 1.
+
+    Texts are read in place: a bitmap of the wanted nodes lets nearly only their texts give a row, and
+    the join by node drops the rest.
+    """
+    nodes = wanted.select("node").distinct()
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(nodes))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bitmap = bits.value
         nodes, items, weights = [], [], []
         for text in texts_of(batch):
             words = split_words(text.lower())
-            own, shingles = items_of(shingles_of(words))
-            weight = sampler.weights(shingles)
-            nodes.append(node_of(words))
-            items.append(own.tobytes())
-            weights.append(b"" if weight is None else weight.tobytes())
+            node = node_of(words)
+            at = int.from_bytes(node[:3], "big")
+            if int(bitmap[at >> 6]) >> (at & 63) & 1:
+                own, shingles = items_of(shingles_of(words))
+                weight = sampler.weights(shingles)
+                nodes.append(node)
+                items.append(own.tobytes())
+                weights.append(b"" if weight is None else weight.tobytes())
         return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (nodes, items, weights)], ["node", "items", "weights"])
-    return map_batches(near.select("text"), run, "node binary, items binary, weights binary").dropDuplicates(["node"])
+    sets = map_batches(docs.select("text"), run, "node binary, items binary, weights binary").dropDuplicates(["node"])
+    return sets.join(nodes.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left_semi")
 
 
 def similarities(left: list[tuple], right: list[tuple]) -> np.ndarray:
@@ -417,17 +453,11 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = materialise(members.groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("n")), "dup-reps")
     n_docs = reps.agg(F.sum("n")).first()[0] or 0
     sampler = Sampler(*heavy_shingles(docs, rows.where("shingle IS NOT NULL").select("shingle"), n_docs))
-    signed = signatures(docs, sampler)
-    buckets = signed.select("node", "print", F.posexplode("keys").alias("band", "key"))
-
-    def sets_for(active: DataFrame) -> DataFrame:
-        nodes = active.select(F.col("node").alias("node_")).distinct()
-        wanted = reps.join(nodes, F.col("node") == F.col("node_"), "left_semi")
-        return materialise(item_sets(docs, wanted, sampler), "dup-items")
+    buckets = shared_buckets(signatures(docs, sampler))
     star = materialise(star_pairs(buckets), "dup-star")
-    links = materialise(star_links(star, sets_for(star)), "dup-links")
-    mixed = materialise(mixed_nodes(signed, components(links)), "dup-mixed")
-    more = materialise(block_links(mixed, sets_for(mixed)), "dup-links")
+    links = materialise(star_links(star, materialise(item_sets(docs, star, sampler), "dup-items")), "dup-links")
+    mixed = materialise(mixed_nodes(buckets, components(links)), "dup-mixed")
+    more = materialise(block_links(mixed, materialise(item_sets(docs, mixed, sampler), "dup-items")), "dup-links")
     labels = materialise(components(links.union(more)), "dup-labels").withColumnRenamed("node", "node_")
     owned = reps.join(labels, F.col("node") == F.col("node_"), "left").select("node", "rep_id", F.coalesce("label", "node").alias("label"))
     owned = materialise(owned, "dup-owned")
@@ -457,3 +487,34 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     named = map_batches(clear, run, clear.select("*").schema.add("node_", "binary"))
     hit = named.join(kept, (F.col("node_") == F.col("kept_node_")) & F.col(key).eqNullSafe(F.col("kept_id_")), "left_semi")
     return hit.dropDuplicates(["node_"]).select(*clear.columns).toDF(*wanted)
+
+
+#: The classes in DuckDB, by all pairs of texts that share a shingle.
+CLASSES_SQL = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+members AS (SELECT doc_id, md5(array_to_string(w, ' ')) AS node, w FROM texts),
+nodes AS (SELECT node, min(doc_id) AS rep, count(*) AS n, any_value(w) AS w FROM members GROUP BY node),
+shingles AS (
+  SELECT node, n, s, count(*) AS tf FROM (
+    SELECT node, n, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WIDTH} THEN [array_to_string(w, ' ')]
+                           ELSE list_transform(range(1, len(w) - {WIDTH - 2}), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' ')) END) AS s
+    FROM nodes) GROUP BY ALL),
+stats AS (SELECT count(*) AS n_docs, greatest({HEAVY_SHARE} * count(*), {HEAVY_LEAST}) AS most FROM members),
+weights AS (
+  SELECT s, CASE WHEN sum(n) <= any_value(most) THEN 1.0
+                 ELSE greatest({LEAST_WEIGHT}, ln(any_value(n_docs) / sum(n)) / ln(any_value(n_docs) / any_value(most))) END AS weight
+  FROM shingles, stats GROUP BY s),
+sizes AS (SELECT node, sum(tf * weight) AS size FROM shingles JOIN weights USING (s) GROUP BY node),
+shared AS (
+  SELECT a.node AS a, b.node AS b, sum(least(a.tf, b.tf) * weight) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.node < b.node JOIN weights w ON w.s = a.s GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.node = a JOIN sizes y ON y.node = b WHERE common / (x.size + y.size - common) >= {SIMILARITY} - 1e-6),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, other) AS (
+  SELECT node, node FROM nodes UNION SELECT r.node, l.b FROM reach r JOIN sides l ON r.other = l.a),
+classes AS (SELECT r.node, min(o.rep) AS class_id FROM reach r JOIN nodes o ON o.node = r.other GROUP BY r.node)
+SELECT doc_id, class_id FROM members JOIN classes USING (node)
+"""

@@ -71,4 +71,5 @@ QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op
                                    op7_virtual_slots, op8_near_duplicates, op9_token_records, op10_gbt_rules)}
 
 #: DuckDB texts; operators that SQL cannot express are tested against brute force in tests/llm.
-ORACLE = {"op3_bm25_search": bm25_search.SEARCH_SQL, "op4_url_filter": url_filter.JUDGE_SQL}
+ORACLE = {"op2_source_mixing": mixing.PLAN_SQL, "op3_bm25_search": bm25_search.SEARCH_SQL, "op4_url_filter": url_filter.JUDGE_SQL,
+          "op8_near_duplicates": near_dup.CLASSES_SQL}
