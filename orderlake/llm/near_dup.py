@@ -9,9 +9,13 @@
    is heavy among all documents is heavy in some chunk of them, so chunks name candidates and a
    second pass counts those; there are at most ten documents' worth of them.
 3. Consistent weighted sampling gives ``BANDS * ROWS`` samples per node, equal for two nodes with
-   probability their weighted Jaccard similarity.  A band's samples are a bucket key.
+   probability their weighted Jaccard similarity.  A band's samples are a bucket key.  A node with
+   heavy shingles also gives samples and buckets with all weights 1, so that near copies meet however
+   large their group is.  (Of two nodes of which one has no heavy shingle the weighted similarity is
+   never below the plain one, so those need no second meeting.)
 4. In each bucket every node is held against the smallest one; the pairs whose samples agree often
-   enough are verified by their exact weighted Jaccard similarity, and verified links give components.
+   enough are verified by their exact Jaccard similarity, the larger of the weighted and the plain
+   one, and verified links give components.
 5. Buckets that then still mix components are searched for all pairs of different components whose
    samples agree; the nodes of such pairs are held against each other, in blocks of about ``BLOCK``
    nodes a side, and the components are final.  Nothing is capped: large buckets only make more
@@ -139,9 +143,9 @@ class Sampler:
             steps = np.where(better, step, steps)
         return _mix(chosen + (steps.astype(np.int64).astype(_U) << _U(32)) + self.seeds)
 
-    def bands(self, samples: np.ndarray) -> np.ndarray:
-        """One 64-bit bucket key per band; the band's number is part of it."""
-        key = np.arange(BANDS, dtype=_U)
+    def bands(self, samples: np.ndarray, kind: int = 0) -> np.ndarray:
+        """One 64-bit bucket key per band; the band's number and the kind of weights are part of it."""
+        key = np.arange(BANDS * kind, BANDS * (kind + 1), dtype=_U)
         for column in samples.reshape(BANDS, ROWS).T:
             key = _mix(key * _U(0x9E3779B97F4A7C15) + column)
         return key.astype(np.int64)
@@ -209,21 +213,27 @@ def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple
 
 
 def signatures(docs: DataFrame, sampler: Sampler) -> DataFrame:
-    """(node, print, keys): one row per node that has a shingle; print holds a byte of each sample."""
+    """(node, kind, print, keys) of every node that has a shingle; print holds a byte of each sample.
+
+    Kind 0 is by the items' weights; nodes with heavy shingles have a second row, kind 1, with all weights 1.
+    """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: dict[bytes, tuple[bytes, np.ndarray]] = {}
+        seen, out = set(), []
         for text in texts_of(batch):
             words = split_words(text.lower())
             node = node_of(words)
-            if words and node not in out:
+            if words and node not in seen:
+                seen.add(node)
                 items, shingles = items_of(shingles_of(words))
-                got = sampler.samples(items, sampler.weights(shingles))
-                out[node] = ((got & _U(0xFF)).astype(np.uint8).tobytes(), sampler.bands(got))
-        keys = pa.array([k.tolist() for _, k in out.values()], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array([p for p, _ in out.values()], pa.binary()), keys],
-                                          ["node", "print", "keys"])
-    rows = map_batches(docs.select("text"), run, "node binary, print binary, keys array<long>")
-    return materialise(rows.dropDuplicates(["node"]), "dup-signatures")
+                weights = sampler.weights(shingles)
+                for kind, w in enumerate([None] if weights is None else [weights, None]):
+                    got = sampler.samples(items, w)
+                    out.append((node, kind, (got & _U(0xFF)).astype(np.uint8).tobytes(), sampler.bands(got, kind).tolist()))
+        nodes, kinds, prints, keys = zip(*out) if out else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(kinds, pa.int32()), pa.array(prints, pa.binary()),
+                                           pa.array(keys, pa.list_(pa.int64()))], ["node", "kind", "print", "keys"])
+    rows = map_batches(docs.select("text"), run, "node binary, kind int, print binary, keys array<long>")
+    return materialise(rows.dropDuplicates(["node", "kind"]), "dup-signatures")
 
 
 def _equal(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -241,13 +251,15 @@ def _prints(column) -> np.ndarray:
 def shared_buckets(signed: DataFrame) -> DataFrame:
     """(node, print, keys, band, key, n): the rows of buckets that hold more than one node, n their number.
 
-    Buckets are counted on (node, key) rows alone; samples join only the few rows that remain.
+    Buckets are counted on (node, kind, key) rows alone; samples join only the few rows that remain.
+    A bucket holds samples of one kind.
     """
-    rows = signed.select("node", F.posexplode("keys").alias("band", "key"))
+    rows = signed.select("node", "kind", F.posexplode("keys").alias("band", "key"))
     full = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "key_")
     multi = materialise(rows.join(full, F.col("key") == F.col("key_")).drop("key_"), "dup-buckets")
-    prints = signed.select(F.col("node").alias("node_"), "print", "keys")
-    return materialise(multi.join(prints, F.col("node") == F.col("node_")).drop("node_"), "dup-buckets")
+    prints = signed.select(F.col("node").alias("node_"), F.col("kind").alias("kind_"), "print", "keys")
+    same = (F.col("node") == F.col("node_")) & (F.col("kind") == F.col("kind_"))
+    return materialise(multi.join(prints, same).drop("node_", "kind", "kind_"), "dup-buckets")
 
 
 def star_pairs(buckets: DataFrame) -> DataFrame:
@@ -376,13 +388,24 @@ def similarities(left: list[tuple], right: list[tuple]) -> np.ndarray:
     return inter / np.maximum(t0[:, None] + t1[None, :] - inter, 1e-9)
 
 
+def nearness(left: list[tuple], right: list[tuple]) -> np.ndarray:
+    """The larger of the weighted and the plain Jaccard similarity, so that no link depends on a group's size."""
+    got = similarities(left, right)
+    heavy = [np.flatnonzero([w is not None for _, w in side]) for side in (left, right)]
+    if len(heavy[0]) and len(heavy[1]):          # elsewhere the weighted one is never below the plain one
+        plain = similarities(*[[(side[k][0], None) for k in own] for side, own in zip((left, right), heavy)])
+        at = np.ix_(*heavy)
+        got[at] = np.maximum(got[at], plain)
+    return got
+
+
 def _sets(group: pa.Table) -> list[tuple]:
     return [(np.frombuffer(i, np.uint32), np.frombuffer(w, np.float32) if w else None)
             for i, w in zip(group.column("items").to_pylist(), group.column("weights").to_pylist())]
 
 
 def star_links(star: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): nodes of similarity ``SIMILARITY`` or more to the centre of their block.
+    """(a, b): nodes of nearness ``SIMILARITY`` or more to the centre of their block.
 
     A block's nodes are cut into parts of about ``BLOCK`` by hash; each part gets the centre's items.
     """
@@ -400,7 +423,7 @@ def star_links(star: DataFrame, sets: DataFrame) -> DataFrame:
         centre, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         near = []
         if len(centre) and len(others):
-            got = similarities([found[centre[0]]], [found[k] for k in others])[0]
+            got = nearness([found[centre[0]]], [found[k] for k in others])[0]
             near = [nodes[k] for k in others[got >= SIMILARITY - 1e-6]]
         return pa.table({"a": pa.array([nodes[centre[0]]] * len(near) if near else [], pa.binary()), "b": pa.array(near, pa.binary())})
     return loaded.groupBy("block", "part").applyInArrow(check, "a binary, b binary")
@@ -430,7 +453,7 @@ def block_links(active: DataFrame, sets: DataFrame) -> DataFrame:
         codes = np.array([number[x] for x in labels_])
         a, b = [], []
         if len(left) and len(right):
-            got = similarities([found[k] for k in left], [found[k] for k in right])
+            got = nearness([found[k] for k in left], [found[k] for k in right])
             x, y = np.nonzero((got >= SIMILARITY - 1e-6) & (codes[left][:, None] != codes[right][None, :]))
             x, y = left[x], right[y]
             low, high = np.minimum(codes[x], codes[y]), np.maximum(codes[x], codes[y])

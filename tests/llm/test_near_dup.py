@@ -143,3 +143,25 @@ def test_components(spark):
             parent[b] = a
     assert got == {x: find(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("share", [3, 2])
+def test_a_large_group_of_edited_copies_is_one_class(spark, share):
+    """Copies of plain similarity 0.836 that hold a third or half of 12,000 rows: their size must not part them."""
+    rng = random.Random(share)
+    base = [f"b{k}" for k in range(55)]
+    docs = [(i, " ".join(base + [f"e{i}x{k}" for k in range(5)]) if i % share == 0 else
+             " ".join(f"u{rng.randint(0, 10 ** 7)}" for _ in range(30))) for i in range(12_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = dict(map(tuple, N.classify(frame).collect()))
+    assert len(got) == 12_000
+    assert all(got[i] == (0 if i % share == 0 else i) for i in got)
+
+
+def test_nearness_is_the_larger_of_weighted_and_plain():
+    w = lambda x: np.where(x < 20, 0.25, 1.0).astype(np.float32)
+    a, b = np.arange(22, dtype=np.uint64), np.concatenate((np.arange(20), [30, 31])).astype(np.uint64)
+    assert N.nearness([(a, w(a))], [(b, w(b))])[0, 0] == pytest.approx(20 / 24)
+    c = np.arange(15, 35, dtype=np.uint64)
+    d = c[5:]
+    assert N.nearness([(c, w(c))], [(d, None)])[0, 0] == pytest.approx(15 / 16.25)
