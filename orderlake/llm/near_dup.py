@@ -5,9 +5,10 @@
    that shared and united weights add up term frequencies exactly.  An item weighs its shingle's
    inverse document frequency, which is 1 up to a tenth of all documents (``HEAVY_SHARE``; at least
    ``HEAVY_LEAST``) and falls with the logarithm beyond: boilerplate counts little, while a group of
-   copies does not talk down the passages it shares.  Such heavy shingles are found exactly: one that
-   is heavy among all documents is heavy in some chunk of them, so chunks name candidates and a
-   second pass counts those; there are at most ten documents' worth of them.
+   copies does not talk down the passages it shares.  Such heavy shingles are found exactly: chunks of
+   documents name their frequent shingles, the cluster drops those that cannot be heavy even if every
+   other chunk has as many as it may without naming them, and a second pass counts the rest.  Those
+   are at most ``1 / (HEAVY_SHARE - NAME_SHARE)`` documents' worth, however the input is cut.
 3. Consistent weighted sampling gives ``BANDS * ROWS`` samples per node, equal for two nodes with
    probability their weighted Jaccard similarity.  A band's samples are a bucket key.  A node with
    heavy shingles also gives samples and buckets with all weights 1, so that near copies meet however
@@ -45,6 +46,7 @@ PRINT_BLOCK = 4096        # nodes a side whose samples are
 BITMAP = 1 << 24          # bits of the filter of wanted nodes
 HEAVY_SHARE = 0.1
 HEAVY_LEAST = 1000
+NAME_SHARE = 0.05         # of a chunk's documents: a shingle found in so many is named
 CHUNK_DOCS = 2000
 LEAST_WEIGHT = 0.01
 _U = np.uint64
@@ -152,17 +154,24 @@ class Sampler:
 
 
 def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
-    """One pass: (doc_id, node) rows of all documents, and (shingle) rows of each chunk's heavy shingles."""
-    names = ["doc_id", "node", "shingle"]
+    """One pass: (doc_id, node) rows of all documents, and (shingle, excess) rows of each chunk's frequent shingles.
+
+    ``excess`` is the number of the chunk's documents with the shingle beyond ``NAME_SHARE`` of them; a
+    shingle that a chunk does not name has none.
+    """
+    names = ["doc_id", "node", "shingle", "excess"]
 
     def run(batches):
         held: list[np.ndarray] = []
 
-        def heavy_of_chunk():
+        def frequent_of_chunk():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            found = values[counts >= max(2.0, HEAVY_SHARE * len(held))].astype(np.int64)
+            spare = NAME_SHARE * len(held)
+            found = counts > spare
+            values, excess = values[found].astype(np.int64), counts[found] - spare
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.nulls(len(found), id_type), pa.nulls(len(found), pa.binary()), pa.array(found)], names)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), pa.nulls(len(values), pa.binary()), pa.array(values),
+                                               pa.array(excess, pa.float64())], names)
         id_type = None
         for batch in batches:
             if not batch.num_rows:
@@ -173,21 +182,29 @@ def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
                 words = split_words(text.lower())
                 nodes.append(node_of(words))
                 held.append(np.unique(shingles_of(words)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.nulls(len(nodes), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.nulls(len(nodes), pa.int64()),
+                                              pa.nulls(len(nodes), pa.float64())], names)
             if len(held) >= CHUNK_DOCS:
-                yield heavy_of_chunk()
+                yield frequent_of_chunk()
         if held:
-            yield heavy_of_chunk()
-    schema = docs.select("doc_id").schema.add("node", "binary").add("shingle", "long")
+            yield frequent_of_chunk()
+    schema = docs.select("doc_id").schema.add("node", "binary").add("shingle", "long").add("excess", "double")
     return materialise(map_arrow(docs.select("doc_id", "text"), run, schema), "dup-nodes")
 
 
-def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted heavy shingles and their weights; candidates are counted exactly over all documents.
+def heavy_candidates(rows: DataFrame, n_docs: int) -> DataFrame:
+    """(shingle): every shingle that may be heavy.
 
-    A chunk names at most ``1 / HEAVY_SHARE`` times its mean number of shingles, and a shingle that
-    only some chunks name is dropped here unless it is heavy overall.
+    All chunks together leave at most ``NAME_SHARE * n_docs`` of a shingle's documents out of its
+    excess, so a shingle over the limit has an excess over the difference.
     """
+    least = max(HEAVY_SHARE * n_docs, HEAVY_LEAST) - NAME_SHARE * n_docs
+    named = rows.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("excess").alias("excess"))
+    return named.where(F.col("excess") > least - 1e-6 * n_docs).select("shingle")
+
+
+def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted heavy shingles and their weights; candidates (:func:`heavy_candidates`) are counted exactly over all documents."""
     limit = max(HEAVY_SHARE * n_docs, HEAVY_LEAST)
     none = np.empty(0, np.uint32), np.empty(0, np.float32)
     if n_docs <= limit:
@@ -475,7 +492,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = rows.where("node IS NOT NULL").select("doc_id", "node")
     reps = materialise(members.groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("n")), "dup-reps")
     n_docs = reps.agg(F.sum("n")).first()[0] or 0
-    sampler = Sampler(*heavy_shingles(docs, rows.where("shingle IS NOT NULL").select("shingle"), n_docs))
+    sampler = Sampler(*heavy_shingles(docs, heavy_candidates(rows, n_docs), n_docs))
     buckets = shared_buckets(signatures(docs, sampler))
     star = materialise(star_pairs(buckets), "dup-star")
     links = materialise(star_links(star, materialise(item_sets(docs, star, sampler), "dup-items")), "dup-links")

@@ -165,3 +165,18 @@ def test_nearness_is_the_larger_of_weighted_and_plain():
     c = np.arange(15, 35, dtype=np.uint64)
     d = c[5:]
     assert N.nearness([(c, w(c))], [(d, None)])[0, 0] == pytest.approx(15 / 16.25)
+
+
+def test_few_candidates_reach_the_driver(spark, monkeypatch):
+    """Copies that lie together are frequent in their own chunk alone; partitions of one row name what they hold."""
+    monkeypatch.setattr(N, "HEAVY_LEAST", 3)
+    common = "five words that all share "
+    docs = [(i, common + " ".join(f"g{i // 10}x{k}" for k in range(30))) for i in range(400)]
+    for parts in (40, 400):
+        frame = spark.createDataFrame(spark.sparkContext.parallelize(docs, parts), "doc_id long, text string")
+        rows = N._nodes_and_candidates(frame)
+        named = rows.where("shingle IS NOT NULL").select("shingle").distinct().count()
+        candidates = N.heavy_candidates(rows, 400)
+        assert named > 1000 and candidates.count() == 1
+        heavy, _ = N.heavy_shingles(frame, candidates, 400)
+        assert heavy.tolist() == N.shingles_of(common.encode().split()).tolist()
