@@ -93,9 +93,7 @@ def read_record(folder: str, part: int, entry: int) -> bytes:
 def load_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark provides the parallelism
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True               # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def id_format(vocabulary: int) -> str:
@@ -128,7 +126,8 @@ class WordIds(dict):
 
     The tokenizer drops white space and splits before it merges, so a text's ids are those of its
     words one after another.  Plain words are lower-cased and split here and their pieces merged by the
-    library's model; any other word goes through the whole library.  Bounded: words in two
+    library's model; any other word, and one that holds an added token, goes through the whole library,
+    which cuts it at the token.  Bounded: words in two
     generations, pieces in one; long words are not kept.
     """
 
@@ -141,6 +140,11 @@ class WordIds(dict):
         first = ((config["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
         self.plain = steps == PLAIN_NORMALIZER and first.get("pattern", {}).get("Regex") == PLAIN_SPLIT
         self.model, self.letters = tokenizer.model, byte_letters()
+        added = [t["content"] for t in config["added_tokens"]]
+        if any(len(split_words(a.encode())) != 1 or a != a.strip() for a in added):
+            raise ValueError("an added token with white space: texts cannot be encoded word by word")
+        # in any case: some added tokens are looked for in the normalised text
+        self.added = re.compile("|".join(re.escape(a) for a in added) or r"(?!)", re.IGNORECASE)
 
     def piece(self, text: str) -> bytes:
         value = self.pieces.get(text)
@@ -156,7 +160,7 @@ class WordIds(dict):
 
     def encode(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if self.plain and _PLAIN.fullmatch(text):
+        if self.plain and _PLAIN.fullmatch(text) and not self.added.search(text):
             return b"".join([self.piece(p) for p in _PLAIN_PIECES.findall(text.lower())])
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}{self.code}", *ids)

@@ -69,3 +69,17 @@ def test_frames_and_shuffled_reads(spark, edge_docs):
     for bad in (good[:-1], good[:5], b"\x09" + good[1:], good[:14] + b"X" + good[15:]):
         with pytest.raises(ValueError):
             T.read_frame(io.BytesIO(bad))
+
+
+def test_added_tokens_are_those_of_the_untouched_library(spark):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "x<|startoftext|><|endoftext|>'s", "<|ENDOFTEXT|> <|EndOfText|>x", "<|endoftext|",
+             "é<|endoftext|>日本 <|startoftext|>", "<|endoftext|>" * 3, " <|startoftext|>\n<|endoftext|> ", "plain text", "<|end of text|>"]
+    want = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert want[0] == [320, 49407, 321, 2]
+    words = T.WordIds(T.load_tokenizer(PATH))
+    assert [T.ids_of(b"\2" + b"".join(words[w] for w in t.encode().split()) + struct.pack("<H", 2)).tolist() for t in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in T.write_and_read(spark, docs, PATH).collect()}
+    assert got == {i: (sum(map(len, want[:i])), len(x), crc(x)) for i, x in enumerate(want)}
