@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import class_totals, keep_rows, labelled_sample, map_batches, split_words, texts_of
+from orderlake.llm.common import class_totals, keep_rows, labelled_sample, map_batches, materialise, split_words, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -201,7 +201,12 @@ def statistics(docs: DataFrame, *carry: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Forest:
-    """Grow the forest on the labelled sample: at most ``2 * per_class`` short rows reach the driver."""
+    """Grow the forest on the labelled sample: at most ``2 * per_class`` short rows reach the driver.
+
+    Labels of documents that are not in ``docs`` (an earlier stage rejected them) count nowhere, neither
+    in the sample's limit nor in the class shares.
+    """
+    labels = materialise(labels.join(docs.select("doc_id"), "doc_id", "left_semi"), "gbt-labels")
     sample = labelled_sample(docs, labels, label, per_class).select("doc_id", "text", F.col("label").cast("int"))
     rows = statistics(sample, "doc_id", "label").collect()
     rows.sort(key=lambda r: r["doc_id"])

@@ -82,3 +82,22 @@ def test_forest_is_monotonic_and_flat_scoring_equals_walking():
             total += forest.value[at]
         return total
     assert np.allclose([walk(r) for r in x[:100]], forest.logit(x[:100]))
+
+
+def test_labels_of_absent_documents_count_nowhere(spark):
+    """Most bad documents were rejected before: neither their number nor the limit may cost a clean one."""
+    import random
+    rng = random.Random(9)
+    clean = lambda: " ".join(f"word{rng.randint(0, 10 ** 5)}" for _ in range(80))
+    # a missed bad document looks like a clean one
+    docs = spark.createDataFrame([(i, clean()) for i in range(240)], "doc_id long, text string")
+    own = [(i, 0 if i % 12 == 0 else 1) for i in range(240)]
+    gone = [(1000 + i, 0) for i in range(4000)]
+    labels = spark.createDataFrame(own + gone, "doc_id long, quality int")
+    alone = spark.createDataFrame(own, "doc_id long, quality int")
+    got, want = G.fit(docs, labels), G.fit(docs, alone)
+    assert np.isclose(got.base, np.log(220 / 20)) and np.isclose(want.base, np.log(220 / 20))
+    kept = {r["doc_id"] for r in G.keep_good(docs, got).collect()}
+    assert kept == {r["doc_id"] for r in G.keep_good(docs, want).collect()}
+    assert sum(i % 12 != 0 for i in kept) == 220
+    assert np.isclose(G.fit(docs, labels, per_class=10).base, np.log(220 / 20))
