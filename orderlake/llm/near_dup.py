@@ -26,7 +26,6 @@
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -68,17 +67,17 @@ def node_of(words: list[bytes]) -> bytes:
 
 
 def shingles_of(words: list[bytes]) -> np.ndarray:
-    """Sorted 32-bit shingle ids, one per window of five words; a shorter text is one shingle, none if empty."""
+    """Sorted 64-bit shingle ids, one per window of five words; a shorter text is one shingle, none if empty."""
     n = len(words)
     if not n:
-        return np.empty(0, np.uint32)
-    codes = np.fromiter(map(zlib.crc32, words), _U, n)
+        return np.empty(0, _U)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, n)
     last = max(1, n - WIDTH + 1)
     value = np.full(last, min(n, WIDTH), _U)
     for k in range(min(n, WIDTH)):
         value *= _U(0x9E3779B97F4A7C15)
         value += codes[k:k + last]
-    return np.sort((_mix(value) >> _U(32)).astype(np.uint32))
+    return np.sort(_mix(value))
 
 
 def items_of(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +88,8 @@ def items_of(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(n)
     first = np.concatenate(([True], shingles[1:] != shingles[:-1]))
     level = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(_U)
-    later = _mix(shingles.astype(_U) + (level << _U(32))) >> _U(32)
-    items = np.where(level == 0, shingles, later.astype(np.uint32))
+    later = _mix(shingles + level * _U(0x9E3779B97F4A7C15))
+    items = np.where(level == 0, shingles, later)
     items, where = np.unique(items, return_index=True)
     return items, shingles[where]
 
@@ -168,7 +167,7 @@ def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             spare = NAME_SHARE * len(held)
             found = counts > spare
-            values, excess = values[found].astype(np.int64), counts[found] - spare
+            values, excess = values[found].view(np.int64), counts[found] - spare
             held.clear()
             return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), pa.nulls(len(values), pa.binary()), pa.array(values),
                                                pa.array(excess, pa.float64())], names)
@@ -206,10 +205,10 @@ def heavy_candidates(rows: DataFrame, n_docs: int) -> DataFrame:
 def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted heavy shingles and their weights; candidates (:func:`heavy_candidates`) are counted exactly over all documents."""
     limit = max(HEAVY_SHARE * n_docs, HEAVY_LEAST)
-    none = np.empty(0, np.uint32), np.empty(0, np.float32)
+    none = np.empty(0, _U), np.empty(0, np.float32)
     if n_docs <= limit:
         return none
-    named = np.array(sorted(r["shingle"] for r in candidates.distinct().collect()), np.uint32)
+    named = np.sort(np.array([r["shingle"] for r in candidates.distinct().collect()], np.int64).view(_U))
     if not len(named):
         return none
 
@@ -221,10 +220,10 @@ def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple
                 at = np.minimum(np.searchsorted(named, own), len(named) - 1)
                 total[at[named[at] == own]] += 1
         hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(named[hit].astype(np.int64)), pa.array(total[hit])], ["shingle", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(named[hit].view(np.int64)), pa.array(total[hit])], ["shingle", "n"])
     counted = map_arrow(docs.select("text"), count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = sorted((r["shingle"], r["n"]) for r in counted.where(F.col("n") > limit).collect())
-    heavy = np.array([s for s, _ in rows], np.uint32)
+    rows = sorted((r["shingle"] % (1 << 64), r["n"]) for r in counted.where(F.col("n") > limit).collect())
+    heavy = np.array([s for s, _ in rows], _U)
     weight = np.array([max(LEAST_WEIGHT, math.log(n_docs / n) / math.log(n_docs / limit)) for _, n in rows], np.float32)
     return heavy, weight
 
@@ -417,7 +416,7 @@ def nearness(left: list[tuple], right: list[tuple]) -> np.ndarray:
 
 
 def _sets(group: pa.Table) -> list[tuple]:
-    return [(np.frombuffer(i, np.uint32), np.frombuffer(w, np.float32) if w else None)
+    return [(np.frombuffer(i, _U), np.frombuffer(w, np.float32) if w else None)
             for i, w in zip(group.column("items").to_pylist(), group.column("weights").to_pylist())]
 
 

@@ -180,3 +180,11 @@ def test_few_candidates_reach_the_driver(spark, monkeypatch):
         assert named > 1000 and candidates.count() == 1
         heavy, _ = N.heavy_shingles(frame, candidates, 400)
         assert heavy.tolist() == N.shingles_of(common.encode().split()).tolist()
+
+
+def test_short_texts_of_equal_32_bit_checksum_are_apart():
+    """64-bit ids throughout: of 300,000 one-word texts about ten pairs collide in 32 bits."""
+    ids = np.concatenate([N.shingles_of([b"%d" % k]) for k in range(300_000)])
+    assert ids.dtype == np.uint64 and len(np.unique(ids)) == len(ids)
+    items, own = N.items_of(np.sort(np.concatenate((ids[:5], ids[:2]))))
+    assert items.dtype == np.uint64 and len(items) == 7 and set(own.tolist()) == set(ids[:5].tolist())
