@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import (bm25_search, fill_middle, gbt_rules, language_model, mixing, near_dup, quality_classifier, sentencepiece_bpe, sharding,
+from orderlake.llm import (bm25_search, fill_middle, gbt_rules, html_extraction, language_model, mixing, near_dup, quality_classifier, sentencepiece_bpe, sharding,
                            token_records, url_filter, vector_codes)
 from orderlake.llm.common import table
 
@@ -67,6 +67,10 @@ def op10_gbt_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gbt_rules.verdicts(docs, gbt_rules.fit(docs, table(spark, sf_dir, "labels"))).drop("score")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -80,9 +84,9 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_source_mixing, op3_bm25_search, op4_url_filter, op5_sentencepiece, op6_language_model,
                                    op7_virtual_slots, op8_near_duplicates, op9_token_records, op10_gbt_rules,
-                                   op12_vector_codes, op13_fill_middle)}
+                                   op11_html_extraction, op12_vector_codes, op13_fill_middle)}
 
 #: DuckDB texts; operators that SQL cannot express are tested against brute force in tests/llm.
 ORACLE = {"op2_source_mixing": mixing.PLAN_SQL, "op3_bm25_search": bm25_search.SEARCH_SQL, "op4_url_filter": url_filter.JUDGE_SQL,
-          "op8_near_duplicates": near_dup.CLASSES_SQL, "op12_vector_codes": vector_codes.COMPRESS_SQL,
+          "op8_near_duplicates": near_dup.CLASSES_SQL, "op11_html_extraction": html_extraction.EXTRACT_SQL, "op12_vector_codes": vector_codes.COMPRESS_SQL,
           "op13_fill_middle": fill_middle.TRANSFORM_SQL}
