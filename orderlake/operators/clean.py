@@ -1,7 +1,7 @@
 """Cleaning operators C1-C7.
 
 All of them are projections, filters, one window or one join: no Python runs
-per row.  Shuffles: C4 and C5 shuffle on the business key (with map-side
+per row.  Shuffles: C4 and C5 shuffle once on the business key (with map-side
 combine / map-side group limit), C7 joins on the foreign key.
 """
 
@@ -65,28 +65,33 @@ def drop_resends(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 # -- C5 -----------------------------------------------------------------------
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], null_keys: str = "keep") -> DataFrame:
-    """Newest version of each key.
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], null_keys: str = "distinct") -> DataFrame:
+    """Newest version of each key, in one pass over ``df``: one scan, one shuffle.
 
     ``order`` ranks versions best-first; the remaining columns are appended as a
     final tie-break so the choice is deterministic.  ``row_number() = 1`` is
     planned with a map-side WindowGroupLimit, so a key that holds a large share
     of the rows is cut to one row per input partition before the shuffle.
-    Rows with a NULL in the key have no version chain: ``null_keys="keep"``
-    passes them through unchanged (a filter and a union, so a retried task
-    cannot lose or double one and they never meet in one task), ``"drop"`` is
-    for callers that have set them aside before.
+
+    Rows with a NULL in the key have no version chain.  In the same window they
+    are grouped by their whole content, so they spread over all tasks and each
+    different one stays, identical ones once (they are resends, as in C4).
+    ``null_keys="drop"`` leaves them out, for callers that have set them aside.
     """
     keys = list(keys)
-    if null_keys not in ("keep", "drop"):
+    if null_keys not in ("distinct", "drop"):
         raise ValueError(null_keys)
     tie = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    known = F.lit(True)
+    unknown = F.lit(False)
     for k in keys:
-        known = known & F.col(k).isNotNull()
-    w = Window.partitionBy(*keys).orderBy(*order, *tie)
-    latest = df.where(known).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return latest.unionByName(df.where(~known)) if null_keys == "keep" else latest
+        unknown = unknown | F.col(k).isNull()
+    if null_keys == "drop":
+        df, group = df.where(~unknown), keys
+    else:
+        # NULL for every row with a key, so it costs those rows one bit
+        group = [*keys, F.when(unknown, F.struct(*df.columns))]
+    w = Window.partitionBy(*group).orderBy(*order, *tie)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 # -- C6 -----------------------------------------------------------------------
@@ -144,9 +149,12 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 
 
 def latest_orders(cleaned: DataFrame) -> DataFrame:
-    """C4 then C5: resends removed, newest version (highest seq) per order."""
-    return latest_per_key(drop_resends(cleaned), ["order_id"],
-                          [F.col("seq").desc(), F.col("status").asc_nulls_last()])
+    """C4 and C5 in one pass: newest version (highest seq) per order, resends removed.
+
+    Resends of a numbered order lose the same window that picks the version, so
+    they need no shuffle of their own.
+    """
+    return latest_per_key(cleaned, ["order_id"], [F.col("seq").desc(), F.col("status").asc_nulls_last()])
 
 
 def order_rules(customer: DataFrame):

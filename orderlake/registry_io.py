@@ -158,11 +158,10 @@ def _c8(t):
     spark = t.spark
     cleaned = C.drop_resends(C.clean_orders(raw_orders(t.orders)))
     path = f"{scratch_dir(spark, 'keyed-orders')}/table"
-    n = bucket_count(t.orders)
     first, changes = _versions(cleaned)
-    create_keyed(C.latest_per_key(first, ["order_id"], latest_first(), null_keys="drop"), path, ["order_id"], n)
+    create_keyed(C.latest_per_key(first, ["order_id"], latest_first(), null_keys="drop"), path, ["order_id"], bucket_count(t.orders))
     for _ in range(2):          # the second time is a replay: no change
-        upsert(spark, path, changes, ["order_id"], n, latest_first(), rejected=f"{path}-rejected")
+        upsert(spark, path, changes, order=latest_first(), rejected=f"{path}-rejected")
     return read_keyed(spark, path)
 
 
@@ -178,11 +177,10 @@ def customer_changes(t: Tables) -> DataFrame:
 def _m7(t):
     spark = t.spark
     path = f"{scratch_dir(spark, 'dim-customer')}/table"
-    n = bucket_count(t.customer)
-    create_keyed(M.dim_customer(t), path, ["c_custkey"], n)
+    create_keyed(M.dim_customer(t), path, ["c_custkey"], bucket_count(t.customer))
     changes = customer_changes(t)
     for _ in range(2):
-        upsert(spark, path, changes, ["c_custkey"], n)
+        upsert(spark, path, changes, ["c_custkey"])
     return read_keyed(spark, path)
 
 

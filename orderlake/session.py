@@ -102,6 +102,31 @@ def move_path(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"cannot move {src} to {dst}")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small metadata file, put in place by a rename so that it is there whole or not at all."""
+    fs, p = _fs(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(draft, p):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small metadata file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder (metadata only); empty if the folder is not there."""
     fs, p = _fs(spark, path)

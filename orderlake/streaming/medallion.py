@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.dates import from_event_time, to_event_time
 from orderlake.operators import clean as C
 from orderlake.operators import quality as Q
-from orderlake.operators.upsert import BUCKET, create_keyed, has_null_key, table_exists, upsert
+from orderlake.operators.upsert import BUCKET, create_keyed, has_null_key, layout_of, read_buckets, table_exists, upsert
 from orderlake.session import child_names, delete_path, move_path, path_exists, scratch_dir, session_tz
 from orderlake.sources.incremental import ingest_new, run_available, stream_files
 
@@ -109,6 +109,8 @@ def upsert_sink(path: str, keys: Sequence[str], n_buckets: int, order: Sequence[
                 on_write: Callable[[int, list[int] | None], None] | None = None, rejected: str | None = None):
     """``foreachBatch`` function: (optional transform) then idempotent keyed upsert.
 
+    ``n_buckets`` is for the first load alone; later batches go by the table's own layout.
+
     Rows without a key go to ``rejected/batch_id=<n>`` (default:
     ``<path>-rejected``), which a replay overwrites.  ``on_write(batch_id,
     buckets)`` is called after the write with the rewritten bucket ids
@@ -121,10 +123,8 @@ def upsert_sink(path: str, keys: Sequence[str], n_buckets: int, order: Sequence[
         spark = batch.sparkSession
         df = transform(batch) if transform else batch
         if table_exists(spark, path):
-            touched = upsert(spark, path, df, keys, n_buckets, order, rejected=rejected, batch_id=batch_id)
+            touched = upsert(spark, path, df, keys, order=order, rejected=rejected, batch_id=batch_id)
         else:
-            if path_exists(spark, path):
-                delete_path(spark, path)          # a first load that was never committed
             df = df.persist()
             try:
                 null_key = has_null_key(keys)
@@ -347,7 +347,7 @@ class Medallion:
         return f"{self.root}/_state/gold_folded"
 
     def _mark_dirty(self, batch_id: int, buckets: list[int] | None) -> None:
-        ids = list(range(self.n_buckets)) if buckets is None else list(buckets)
+        ids = list(range(layout_of(self.spark, self.silver).n_buckets)) if buckets is None else list(buckets)
         if ids:
             (self.spark.createDataFrame([(b,) for b in ids], "bucket int")
              .write.mode("overwrite").parquet(f"{self.dirty}/batch_id={batch_id}"))
@@ -374,7 +374,7 @@ class Medallion:
         if news:
             dirty = spark.read.parquet(self.dirty).where(F.col("batch_id") > folded)
             buckets = sorted(r[0] for r in dirty.select("bucket").distinct().collect())     # at most n_buckets ids
-            silver = spark.read.parquet(self.silver).where(F.col(BUCKET).isin(buckets))
+            silver = read_buckets(spark, self.silver).where(F.col(BUCKET).isin(buckets))
             valid, _ = Q.enforce(silver, C.order_rules(customer))
             partial = (valid.groupBy(BUCKET, F.trunc("order_date", "month").alias("month"), "status")
                             .agg(F.count(F.lit(1)).alias("orders"),

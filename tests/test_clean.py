@@ -1,8 +1,10 @@
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from orderlake.fixtures import raw_orders
 from orderlake.operators import clean as C
+from tests.conftest import plan_text
 
 
 def test_standardise_trims_collapses_and_folds(spark):
@@ -46,12 +48,31 @@ def test_drop_resends_and_latest_are_idempotent(spark, data):
 
 
 def test_latest_per_key_passes_null_keys_and_hot_keys(spark):
-    data = [(None, 1), (None, 2)] + [(1, s) for s in range(500)]
+    data = [(None, 1), (None, 2), (None, 2)] + [(1, s) for s in range(500)]
     df = spark.createDataFrame(data, "k int, seq int")
     out = C.latest_per_key(df, ["k"], [F.col("seq").desc()]).collect()
     assert sorted((r.k if r.k is not None else -9, r.seq) for r in out) == [(-9, 1), (-9, 2), (1, 499)]
 
 
+def test_null_keys_spread_over_tasks_and_composite_keys_work(spark):
+    data = [(None, "a", i % 300) for i in range(900)] + [(1, None, 7), (1, None, 7), (1, "a", 1), (1, "a", 2), (None, None, None)]
+    df = spark.createDataFrame(data, "k int, j string, v int").repartition(3)
+    out = C.latest_per_key(df, ["k", "j"], [F.col("v").desc()])
+    assert sorted(map(str, out.collect())) == sorted(map(str, df.where("k IS NULL OR j IS NULL OR v = 2").distinct().collect()))
+    assert C.latest_per_key(df, ["k", "j"], [F.col("v").desc()], null_keys="drop").collect() == [(1, "a", 2)]
+    assert "WindowGroupLimit" in plan_text(out)
+
+
+@pytest.mark.parametrize("name, raw_scans, shuffles", [("clean_latest_per_key", 1, 1), ("dq_report", 1, 4), ("dq_enforced_orders", 1, 3),
+                                                       ("clean_quarantine", 1, 3)])
+def test_the_cleaning_recipe_reads_its_input_once(tiny, name, raw_scans, shuffles):
+    from orderlake.registry import queries
+    plan = plan_text(queries()[name](tiny.spark, tiny.sf_dir)).split("\n\n")[0]
+    once = plan_text(raw_orders(tiny.orders)).split("\n\n")[0].count("Scan parquet")     # resends and versions are made from orders
+    assert plan.count("Scan parquet") == raw_scans * once + (0 if name == "clean_latest_per_key" else 1), plan
+    assert plan.count("Exchange") <= shuffles, plan
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 5)), st.sampled_from(["O", "F", "?"])), max_size=25))
 def test_quarantine_split_is_a_partition(spark, data):

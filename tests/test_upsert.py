@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake.operators import upsert as U
-from orderlake.operators.upsert import NullKeyError, bucket_count, create_keyed, read_keyed, upsert
+from orderlake.operators.upsert import LayoutError, NullKeyError, bucket_count, create_keyed, read_keyed, upsert
 from orderlake.session import path_exists, scratch_dir
 from orderlake.streaming.medallion import upsert_sink
 from tests.conftest import plan_text
@@ -128,7 +128,6 @@ def test_a_crash_while_publishing_is_recovered(spark, monkeypatch, steps):
 def test_a_crash_while_staging_leaves_the_table_alone(spark):
     path = _table(spark, "test-upsert-half")
     spark.createDataFrame([(1, 99, 0)], "k int, v int, _bucket int").write.partitionBy("_bucket").parquet(f"{path}/_staging")
-    os.remove(f"{path}/_staging/_SUCCESS".replace("file:", "", 1))
     assert (1, 1) in _rows(spark, path)
     upsert(spark, path, spark.createDataFrame([(2, 5)], "k int, v int"), ["k"], 8)
     assert (1, 1) in _rows(spark, path) and (2, 5) in _rows(spark, path) and len(_rows(spark, path)) == 100
@@ -157,3 +156,80 @@ def test_buckets_are_written_by_as_many_tasks_as_their_bytes_ask_for(spark, tiny
 def test_bucket_count_follows_the_bytes(tiny):
     assert bucket_count(tiny.lineitem) == 8
     assert bucket_count(tiny.lineitem, bytes_per_bucket=1000) > 50
+
+
+NO_MARKS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+
+
+def test_a_cluster_without_success_files_loses_nothing(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    for k, v in NO_MARKS.items():
+        conf.set(k, v)
+    try:
+        path = _table(spark, "test-upsert-no-marks")
+        assert not any(f == "_SUCCESS" for _, _, fs in os.walk(path.replace("file:", "", 1)) for f in fs)
+        sink = upsert_sink(path, ["k"], 8)
+        sink(spark.createDataFrame([(1, 9), (2, 9), (300, 9)], "k int, v int"), 1)
+        assert len(_rows(spark, path)) == 101 and (1, 9) in _rows(spark, path)
+        with pytest.raises(LayoutError, match="already exists"):
+            create_keyed(spark.createDataFrame([(1, 1)], "k int, v int"), path, ["k"], 8)
+    finally:
+        for k in NO_MARKS:
+            conf.unset(k)
+
+
+def test_the_table_goes_by_its_own_layout(spark):
+    path = _table(spark, "test-upsert-layout", buckets=8)
+    changes = spark.createDataFrame([(k, 2) for k in (5, 6, 7, 8, 200)], "k int, v int")
+    for wrong in ({"n_buckets": 16}, {"keys": ["v"]}, {"range_width": 10}):
+        with pytest.raises(LayoutError):
+            upsert(spark, path, changes, **wrong)
+    upsert_sink(path, ["k"], 64)(changes, 3)              # a stream whose source has grown since
+    rows = _rows(spark, path)
+    assert len(rows) == 101 == len({k for k, _ in rows}) and (200, 2) in rows and (5, 2) in rows
+    assert U.layout_of(spark, path).n_buckets == 8
+
+
+def test_buckets_without_a_layout_are_never_deleted(spark):
+    path = _table(spark, "test-upsert-foreign")
+    os.remove(f"{path}/_layout.json".replace("file:", "", 1))
+    before = _files(path)
+    changes = spark.createDataFrame([(1, 9)], "k int, v int")
+    for call in (lambda: upsert(spark, path, changes), lambda: upsert_sink(path, ["k"], 8)(changes, 0), lambda: read_keyed(spark, path),
+                 lambda: create_keyed(changes, path, ["k"], 8)):
+        with pytest.raises(LayoutError, match="no _layout"):
+            call()
+    assert _files(path) == before
+
+
+@pytest.mark.parametrize("steps", [0, 2])
+def test_a_crash_in_the_first_load_is_recovered_or_repeated(spark, monkeypatch, steps):
+    path = f"{scratch_dir(spark, 'test-upsert-first')}/table"
+    rows = spark.createDataFrame([(k, 1) for k in range(50)], "k int, v int")
+    monkeypatch.setattr(U, "write_text", lambda *a: (_ for _ in ()).throw(OSError("planted")))
+    with pytest.raises(OSError):
+        create_keyed(rows, path, ["k"], 4)                # staged, but not complete: no table
+    assert not U.table_exists(spark, path)
+    monkeypatch.undo()
+    real, done = U.move_path, []
+
+    def failing(spark, src, dst):
+        if len(done) == steps:
+            raise OSError("planted")
+        done.append(src)
+        real(spark, src, dst)
+    monkeypatch.setattr(U, "move_path", failing)
+    with pytest.raises(OSError):
+        create_keyed(rows, path, ["k"], 4)                # complete, cut off while publishing: a table
+    monkeypatch.setattr(U, "move_path", real)
+    assert len(_rows(spark, path)) == 50
+    upsert(spark, path, spark.createDataFrame([(1, 2), (99, 2)], "k int, v int"))
+    assert len(_rows(spark, path)) == 51 and (1, 2) in _rows(spark, path)
+
+
+def test_a_table_may_be_empty(spark):
+    path = f"{scratch_dir(spark, 'test-upsert-empty')}/table"
+    create_keyed(spark.createDataFrame([], "k int, v int"), path, ["k"], 4)
+    assert _rows(spark, path) == []
+    upsert(spark, path, spark.createDataFrame([(1, 2)], "k int, v int"))
+    assert _rows(spark, path) == [(1, 2)]
