@@ -24,6 +24,7 @@ class Rule:
     min_pass: float = 1.0
     action: str = "drop"   # warn | drop | fail (Q10)
     prepare: Optional[Callable[[DataFrame], DataFrame]] = field(default=None, compare=False)
+    ref: Optional[tuple[str, DataFrame, str]] = field(default=None, compare=False)   # (column, other table, its key)
 
     def failing(self) -> Column:
         return F.coalesce(self.fails(), F.lit(False))
@@ -95,7 +96,7 @@ def refers_to(col: str, other: DataFrame, other_key: str, min_pass: float = 1.0,
     def prepare(df: DataFrame) -> DataFrame:
         return mark_orphans(df, col, other, other_key, flag)
 
-    return Rule(rule_name, "referential", lambda: F.col(flag), min_pass, action, prepare)
+    return Rule(rule_name, "referential", lambda: F.col(flag), min_pass, action, prepare, (col, other, other_key))
 
 
 def prepare_all(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Data-quality operators Q1-Q10.
 
-Row-level rules of a table are evaluated in ONE aggregate (one scan, partial
-aggregation before the shuffle, one row out), then unpivoted with ``stack``
-into one row per rule.  Group-level checks (uniqueness, volume) are one
+Row-level rules of a table are evaluated in ONE scan with partial aggregation
+before the shuffle, referential rules among them (by counted keys), then
+unpivoted with ``stack`` into one row per rule.  Group-level checks (uniqueness, volume) are one
 ``groupBy`` each.  Nothing is collected to the driver except the one-row
 aggregate that decides a ``fail`` action in :func:`enforce`.
 """
@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake.functions.rules import Rule, helper_columns, prepare_all
 
@@ -39,10 +40,18 @@ def _report_from_counts(agg: DataFrame, rules: Sequence[Rule], extra: Sequence[s
 
 # -- Q9 -----------------------------------------------------------------------
 def run_checks(df: DataFrame, rules: Sequence[Rule], table: str | None = None) -> DataFrame:
-    """All row-level rules of ``df`` in one scan; one result row per rule."""
-    prepared = prepare_all(df, rules)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count_if(r.failing()).alias(f"_f{i}") for i, r in enumerate(rules)]
-    agg = prepared.agg(*aggs)
+    """All row-level rules of ``df`` in one scan; one result row per rule.
+
+    A referential rule needs no row-level join: each row also emits (rule, foreign key), these are
+    counted with partial counts before the shuffle, and only the counted keys meet the other table's
+    keys.  So a hot key is one row per input partition, and rows are never shuffled whole.
+    """
+    refs = [i for i, r in enumerate(rules) if r.ref is not None]
+    plain = [F.count_if(r.failing()).alias(f"_f{i}") for i, r in enumerate(rules) if i not in refs]
+    if not refs:
+        agg = df.agg(F.count(F.lit(1)).alias("_n"), *plain)
+    else:
+        agg = _counts_with_references(df, rules, refs)
     extra = []
     if table is not None:
         agg = agg.withColumn("source_table", F.lit(table))
@@ -50,6 +59,39 @@ def run_checks(df: DataFrame, rules: Sequence[Rule], table: str | None = None) -
     return _report_from_counts(agg, rules, extra)
 
 
+def _key_type(df: DataFrame, rules: Sequence[Rule], refs: Sequence[int]) -> str:
+    """One type that every foreign key and the key it refers to can be compared in."""
+    types = {frame.schema[c].dataType for i in refs for frame, c in ((df, rules[i].ref[0]), (rules[i].ref[1], rules[i].ref[2]))}
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return "bigint"
+    if len(types) > 1:
+        raise ValueError(f"referential rules of one report need keys of one type, not {sorted(t.simpleString() for t in types)}")
+    return types.pop().simpleString()
+
+
+def _counts_with_references(df: DataFrame, rules: Sequence[Rule], refs: Sequence[int]) -> DataFrame:
+    kind = _key_type(df, rules, refs)
+    flags = [i for i in range(len(rules)) if i not in refs]
+    # rule -1 carries the row itself, with the rules that look at nothing else
+    own = F.struct(F.lit(-1).alias("rule"), F.lit(None).cast(kind).alias("key"),
+                   *[rules[i].failing().alias(f"b{i}") for i in flags])
+    keyed = [F.struct(F.lit(i).alias("rule"), F.col(rules[i].ref[0]).cast(kind).alias("key"),
+                      *[F.lit(False).alias(f"b{k}") for k in flags]) for i in refs]
+    emitted = df.select(F.explode(F.array(own, *keyed)).alias("e")).select("e.*").where("rule = -1 OR key IS NOT NULL")
+    counted = emitted.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"b{i}")).alias(f"_f{i}") for i in flags])
+    known = None
+    for i in refs:
+        _, other, key = rules[i].ref
+        part = other.select(F.lit(i).alias("rule"), F.col(key).cast(kind).alias("key")).where("key IS NOT NULL")
+        known = part if known is None else known.unionByName(part)
+    left = counted.join(known, ["rule", "key"], "left_anti")          # the row counts and the orphans' counts
+    sums = [F.coalesce(F.sum(F.when(F.col("rule") == -1, F.col("n"))), F.lit(0)).cast("bigint").alias("_n")]
+    for i in range(len(rules)):
+        one = F.sum(F.when(F.col("rule") == i, F.col("n"))) if i in refs else F.sum(f"_f{i}")
+        sums.append(F.coalesce(one, F.lit(0)).cast("bigint").alias(f"_f{i}"))
+    return left.agg(*sums)
+
+
 # -- Q1, Q3, Q4, Q5, Q6, Q7: rule families (see functions.rules) ---------------
 def completeness(df: DataFrame, cols: Sequence[str], min_pass: float = 1.0) -> DataFrame:
     from orderlake.functions.rules import is_complete

@@ -296,6 +296,14 @@ JOIN geo g ON c_nationkey = g.n_nationkey AND g.region = 'EUROPE'
 LEFT JOIN part p ON l_partkey = p.p_partkey
 GROUP BY ALL"""
 
+SQL["star_leap_year_revenue"] = f"""
+SELECT r_name AS region, p_brand, CAST(year(o_orderdate) AS INTEGER) AS "year", CAST(sum({NET}) AS DOUBLE) AS net_revenue,
+       CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS units, count(*) AS lines
+FROM orders, customer, nation, region, lineitem, part
+WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_regionkey AND r_name = 'EUROPE'
+  AND l_orderkey = o_orderkey AND l_partkey = p_partkey AND year(o_orderdate) % 4 = 0
+GROUP BY ALL"""
+
 # -- K ------------------------------------------------------------------------
 SQL["kpi_headline"] = f"""
 WITH {TOT}

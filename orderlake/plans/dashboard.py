@@ -1,12 +1,10 @@
-"""SQL-dashboard result sets K1-K8 as DataFrame functions.
+"""SQL-dashboard result sets K1-K8 as DataFrame functions over the gold views.
 
-Plan shape shared by all of them: the line table is either pre-aggregated per
-order key (partial aggregation, then the aggregate is already hash-partitioned
-by order key for the join with orders) or shuffled once by order key.
-Geography is attached to *orders* (the smaller table) before any line join,
-so the largest table never takes a second shuffle for a dimension.  Nation and
-region are broadcast (25 / 5 rows by definition); customer and part joins are
-left to the planner's size checks.
+Each function takes the loaded :class:`~orderlake.sources.zones.Lake` and reads
+gold alone (:mod:`orderlake.plans.gold`): time and geography come from the
+month summary, order measures from the order summary, product measures from the
+star's fact, which is reduced to (part, ...) sums before it meets the products.
+No dashboard joins lines with orders.
 
 Money stays decimal until the last projection (see functions.money).
 """
@@ -16,48 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import TOTAL, net_amount
-from orderlake.plans.star import UNKNOWN_LABEL, geography
-from orderlake.tables import Tables
-
-
-def month_start(c) -> F.Column:
-    return F.trunc(F.col(c) if isinstance(c, str) else c, "month").cast("timestamp_ntz")
-
-
-def order_totals(t: Tables) -> DataFrame:
-    """Per order key: lines, units, gross and net revenue, returned lines."""
-    return t.lineitem.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("units"),
-        F.sum(net_amount()).alias("net"),
-        F.count_if(F.col("l_returnflag") == "R").alias("returned"))
-
-
-def orders_geo(t: Tables) -> DataFrame:
-    """Orders with the region and nation of their customer (unknown if missing)."""
-    geo = geography(t)
-    cust = t.customer.select("c_custkey", "c_nationkey")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    j = (o.join(cust, o["o_custkey"] == cust["c_custkey"], "left")
-          .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
-    return j.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
-                    F.coalesce("region", F.lit(UNKNOWN_LABEL)).alias("region"),
-                    F.coalesce("nation", F.lit(UNKNOWN_LABEL)).alias("nation"))
-
-
-def _with_totals(orders: DataFrame, t: Tables) -> DataFrame:
-    tot = order_totals(t)
-    return orders.join(tot, orders["o_orderkey"] == tot["l_orderkey"], "left")
+from orderlake.functions.money import TOTAL
+from orderlake.plans.star import UNKNOWN_LABEL
+from orderlake.sources.zones import Lake
 
 
 # -- K1 -------------------------------------------------------------------------
-def kpi_headline(t: Tables) -> DataFrame:
-    j = _with_totals(t.orders.select("o_orderkey", "o_custkey"), t)
-    agg = j.agg(
+def kpi_headline(lake: Lake) -> DataFrame:
+    agg = lake.read("gold", "v_orders").agg(
         F.count(F.lit(1)).alias("orders"),
         F.countDistinct("o_custkey").alias("customers"),
-        F.count("l_orderkey").alias("orders_with_lines"),
+        F.count("lines").alias("orders_with_lines"),
         F.sum("lines").cast("bigint").alias("lines"),
         F.sum("units").cast("decimal(38,2)").alias("units"),
         F.sum("net").cast(TOTAL).alias("net_revenue"))
@@ -66,46 +33,41 @@ def kpi_headline(t: Tables) -> DataFrame:
 
 
 # -- K2 -------------------------------------------------------------------------
-def kpi_monthly_region(t: Tables) -> DataFrame:
-    j = _with_totals(orders_geo(t), t)
-    return (j.groupBy("region", month_start("o_orderdate").alias("month"))
-             .agg(F.count(F.lit(1)).alias("orders"), F.sum("net").cast(TOTAL).alias("net_revenue")))
+def kpi_monthly_region(lake: Lake) -> DataFrame:
+    return (lake.read("gold", "v_months").groupBy("region", "month")
+            .agg(F.sum("orders").alias("orders"), F.sum("net").cast(TOTAL).alias("net_revenue")))
 
 
 # -- K3 -------------------------------------------------------------------------
-def kpi_geo_rollup(t: Tables) -> DataFrame:
-    j = _with_totals(orders_geo(t), t)
-    return (j.rollup("region", "nation")
-             .agg(F.grouping_id().cast("int").alias("level"),
-                  F.count(F.lit(1)).alias("orders"),
-                  F.sum("net").cast(TOTAL).alias("net_revenue")))
+def kpi_geo_rollup(lake: Lake) -> DataFrame:
+    return (lake.read("gold", "v_months").rollup("region", "nation")
+            .agg(F.grouping_id().cast("int").alias("level"),
+                 F.sum("orders").alias("orders"),
+                 F.sum("net").cast(TOTAL).alias("net_revenue")))
 
 
 # -- K4 -------------------------------------------------------------------------
-def kpi_top_products(t: Tables, n: int = 5) -> DataFrame:
-    """Best ``n`` parts by net revenue within each region.
+def kpi_top_products(lake: Lake, n: int = 5) -> DataFrame:
+    """Best ``n`` parts by net revenue within each region (lines of unknown parts count as part -1).
 
     ``row_number() <= n`` is planned with a map-side WindowGroupLimit: each
-    input partition forwards at most ``n`` rows per region, so the five region
+    input partition forwards at most ``n`` rows per region, so the region
     groups never hold more than ``n x partitions`` rows each.
     """
-    og = orders_geo(t).select("o_orderkey", "region")
-    lines = t.lineitem.select("l_orderkey", "l_partkey", net_amount().alias("net"))
-    per_part = (lines.join(og, lines["l_orderkey"] == og["o_orderkey"])
-                     .groupBy("region", "l_partkey").agg(F.sum("net").cast(TOTAL).alias("net_revenue")))
-    w = Window.partitionBy("region").orderBy(F.col("net_revenue").desc(), F.col("l_partkey").asc())
+    per_part = (lake.read("gold", "v_lines").where("region IS NOT NULL").groupBy("region", "part_key")
+                .agg(F.sum("net").cast(TOTAL).alias("net_revenue")))
+    w = Window.partitionBy("region").orderBy(F.col("net_revenue").desc(), F.col("part_key").asc())
     top = per_part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    part = t.part.select("p_partkey", "p_name", "p_brand")
-    return (top.join(part, top["l_partkey"] == part["p_partkey"], "left")
+    part = lake.read("gold", "v_products").select("p_partkey", "p_name", "p_brand")
+    return (top.join(part, top["part_key"] == part["p_partkey"], "left")
                .select("region", F.col("rank").cast("int").alias("rank"),
-                       F.col("l_partkey").alias("p_partkey"), "p_name", "p_brand", "net_revenue"))
+                       F.col("part_key").alias("p_partkey"), "p_name", "p_brand", "net_revenue"))
 
 
 # -- K5 -------------------------------------------------------------------------
-def kpi_period_change(t: Tables) -> DataFrame:
-    j = _with_totals(orders_geo(t), t)
-    yearly = (j.groupBy("region", F.year("o_orderdate").cast("int").alias("year"))
-               .agg(F.sum("net").cast(TOTAL).alias("net_revenue")))
+def kpi_period_change(lake: Lake) -> DataFrame:
+    yearly = (lake.read("gold", "v_months").groupBy("region", F.year("month").cast("int").alias("year"))
+              .agg(F.sum("net").cast(TOTAL).alias("net_revenue")))
     w = Window.partitionBy("region").orderBy("year")
     cur = F.round("net_revenue", 2)
     prev = F.lag(cur).over(w)
@@ -118,24 +80,22 @@ def kpi_period_change(t: Tables) -> DataFrame:
 
 
 # -- K6 -------------------------------------------------------------------------
-def kpi_running_total(t: Tables) -> DataFrame:
-    j = _with_totals(t.orders.select("o_orderkey", "o_orderdate"), t)
-    monthly = (j.groupBy(F.year("o_orderdate").cast("int").alias("year"), month_start("o_orderdate").alias("month"))
-                .agg(F.sum("net").cast(TOTAL).alias("net_revenue")))
+def kpi_running_total(lake: Lake) -> DataFrame:
+    monthly = (lake.read("gold", "v_months").groupBy(F.year("month").cast("int").alias("year"), "month")
+               .agg(F.sum("net").cast(TOTAL).alias("net_revenue")))
     w = Window.partitionBy("year").orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return monthly.withColumn("ytd_revenue", F.sum("net_revenue").over(w).cast(TOTAL))
 
 
 # -- K7 -------------------------------------------------------------------------
-def kpi_new_returning(t: Tables) -> DataFrame:
+def kpi_new_returning(lake: Lake) -> DataFrame:
     """Customers active per month, split by whether the month is their first.
 
     Orders are first reduced to (customer, month) counts, so the window that
     finds each customer's first month sees at most one row per active month
     even for a customer that places a large share of all orders.
     """
-    cm = (t.orders.groupBy("o_custkey", month_start("o_orderdate").alias("month"))
-                  .agg(F.count(F.lit(1)).alias("n")))
+    cm = lake.read("gold", "v_orders").groupBy("o_custkey", "month").agg(F.count(F.lit(1)).alias("n"))
     first = F.min("month").over(Window.partitionBy("o_custkey"))
     flagged = cm.withColumn("is_new", F.col("month") == first)
     return flagged.groupBy("month").agg(
@@ -147,23 +107,16 @@ def kpi_new_returning(t: Tables) -> DataFrame:
 
 
 # -- K8 -------------------------------------------------------------------------
-def kpi_returns_status(t: Tables) -> DataFrame:
-    """Return rate by brand with the status mix of the orders the lines belong to.
-
-    Lines meet orders once (by order key), are reduced to (part, status)
-    counts, and only then meet the part dimension for the brand.
-    """
-    o = t.orders.select("o_orderkey", "o_orderstatus")
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag")
-    per_part = (lines.join(o, lines["l_orderkey"] == o["o_orderkey"], "left")
-                     .groupBy("l_partkey").agg(
-                         F.count(F.lit(1)).alias("lines"),
-                         F.count_if(F.col("l_returnflag") == "R").alias("returned"),
-                         F.count_if(F.col("o_orderstatus") == "F").alias("lines_f"),
-                         F.count_if(F.col("o_orderstatus") == "O").alias("lines_o"),
-                         F.count_if(F.col("o_orderstatus") == "P").alias("lines_p")))
-    part = t.part.select("p_partkey", "p_brand")
-    by_brand = (per_part.join(part, per_part["l_partkey"] == part["p_partkey"], "left")
+def kpi_returns_status(lake: Lake) -> DataFrame:
+    """Return rate by brand with the status mix of the orders the lines belong to."""
+    per_part = lake.read("gold", "v_lines").groupBy("part_key").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if("returned").alias("returned"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("lines_f"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("lines_o"),
+        F.count_if(F.col("o_orderstatus") == "P").alias("lines_p"))
+    part = lake.read("gold", "v_products").select("p_partkey", "p_brand")
+    by_brand = (per_part.join(part, per_part["part_key"] == part["p_partkey"], "left")
                         .groupBy(F.coalesce("p_brand", F.lit(UNKNOWN_LABEL)).alias("p_brand"))
                         .agg(*[F.sum(c).cast("bigint").alias(c)
                                for c in ("lines", "returned", "lines_f", "lines_o", "lines_p")]))

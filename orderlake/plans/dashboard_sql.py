@@ -1,76 +1,50 @@
-"""The dashboards K1-K8 as SQL text, for a SQL dashboard tool.
-
-Each text runs with ``spark.sql`` over temp views named like the source tables
-(``Tables.register_views``) and returns the same rows as the DataFrame function
-of the same name in :mod:`orderlake.plans.dashboard` (a test checks this).  The
-plan shapes are the same: lines pre-aggregated per order, geography attached to
-orders, nation and region broadcast by hint (25 and 5 rows by definition).
+"""The dashboards as SQL text, for a SQL dashboard tool.
+
+K1-K8 run with ``spark.sql`` over the persistent gold views of
+:mod:`orderlake.plans.gold` (``{v_orders}`` and so on stand for their names) and
+return the same rows as the DataFrame functions of the same name in
+:mod:`orderlake.plans.dashboard`.  K9 and K10 read the gold tables that
+:mod:`orderlake.registry_io` writes for them.  A test compares every text with
+its DataFrame form.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-from orderlake.tables import Tables
-
-NET = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
-
-_TOT = f"""tot AS (
-  SELECT l_orderkey, count(*) AS lines, sum(CAST(l_quantity AS DECIMAL(12,2))) AS units,
-         sum({NET}) AS net, count_if(l_returnflag = 'R') AS returned
-  FROM lineitem GROUP BY l_orderkey)"""
-
-_GEO = """geo AS (
-  SELECT /*+ BROADCAST(region) */ n_nationkey, n_name AS nation, r_name AS region
-  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+from pyspark.sql import DataFrame
 
-_OG = """og AS (
-  SELECT /*+ BROADCAST(g) */ o_orderkey, o_custkey, o_orderdate, o_orderstatus,
-         coalesce(g.region, 'UNKNOWN') AS region, coalesce(g.nation, 'UNKNOWN') AS nation
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-  LEFT JOIN geo g ON c_nationkey = g.n_nationkey)"""
-
-_MONTH = "CAST(trunc(o_orderdate, 'MM') AS TIMESTAMP_NTZ)"
+from orderlake.plans.gold import VIEWS
+from orderlake.sources.zones import Lake
 
 DASHBOARD_SQL: dict[str, str] = {
-    "kpi_headline": f"""
-WITH {_TOT}
-SELECT count(*) AS orders, count(DISTINCT o_custkey) AS customers, count(t.l_orderkey) AS orders_with_lines,
-       CAST(sum(t.lines) AS BIGINT) AS lines, CAST(sum(t.units) AS DECIMAL(38,2)) AS units,
-       CAST(sum(t.net) AS DECIMAL(38,4)) AS net_revenue,
-       CAST(CAST(sum(t.net) AS DECIMAL(38,4)) AS DOUBLE) / count(t.l_orderkey) AS avg_order_value
-FROM orders LEFT JOIN tot t ON o_orderkey = t.l_orderkey""",
-
-    "kpi_monthly_region": f"""
-WITH {_GEO}, {_TOT}, {_OG}
-SELECT region, {_MONTH} AS month, count(*) AS orders, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
-FROM og LEFT JOIN tot ON o_orderkey = l_orderkey
-GROUP BY region, {_MONTH}""",
-
-    "kpi_geo_rollup": f"""
-WITH {_GEO}, {_TOT}, {_OG}
-SELECT region, nation, CAST(grouping_id() AS INT) AS level, count(*) AS orders,
+    "kpi_headline": """
+SELECT count(*) AS orders, count(DISTINCT o_custkey) AS customers, count(lines) AS orders_with_lines,
+       CAST(sum(lines) AS BIGINT) AS lines, CAST(sum(units) AS DECIMAL(38,2)) AS units,
+       CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue,
+       CAST(CAST(sum(net) AS DECIMAL(38,4)) AS DOUBLE) / count(lines) AS avg_order_value
+FROM {v_orders}""",
+
+    "kpi_monthly_region": """
+SELECT region, month, sum(orders) AS orders, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
+FROM {v_months} GROUP BY region, month""",
+
+    "kpi_geo_rollup": """
+SELECT region, nation, CAST(grouping_id() AS INT) AS level, sum(orders) AS orders,
        CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
-FROM og LEFT JOIN tot ON o_orderkey = l_orderkey
-GROUP BY ROLLUP (region, nation)""",
-
-    "kpi_top_products": f"""
-WITH {_GEO}, {_OG},
-per_part AS (
-  SELECT region, l_partkey, CAST(sum({NET}) AS DECIMAL(38,4)) AS net_revenue
-  FROM lineitem JOIN og ON l_orderkey = o_orderkey GROUP BY region, l_partkey),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY region ORDER BY net_revenue DESC, l_partkey ASC) AS rank
-  FROM per_part)
-SELECT region, CAST(rank AS INT) AS rank, l_partkey AS p_partkey, p_name, p_brand, net_revenue
-FROM ranked LEFT JOIN part ON l_partkey = p_partkey
+FROM {v_months} GROUP BY ROLLUP (region, nation)""",
+
+    "kpi_top_products": """
+WITH ranked AS (
+  SELECT region, part_key, net_revenue, row_number() OVER (PARTITION BY region ORDER BY net_revenue DESC, part_key ASC) AS rank
+  FROM (SELECT region, part_key, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
+        FROM {v_lines} WHERE region IS NOT NULL GROUP BY region, part_key))
+SELECT region, CAST(rank AS INT) AS rank, part_key AS p_partkey, p_name, p_brand, net_revenue
+FROM ranked LEFT JOIN {v_products} ON part_key = p_partkey
 WHERE rank <= 5""",
 
-    "kpi_period_change": f"""
-WITH {_GEO}, {_TOT}, {_OG},
-yearly AS (
-  SELECT region, CAST(year(o_orderdate) AS INT) AS year, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
-  FROM og LEFT JOIN tot ON o_orderkey = l_orderkey GROUP BY region, year(o_orderdate)),
+    "kpi_period_change": """
+WITH yearly AS (
+  SELECT region, CAST(year(month) AS INT) AS year, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
+  FROM {v_months} GROUP BY region, year(month)),
 c AS (
   SELECT region, year, net_revenue,
          lag(round(net_revenue, 2)) OVER (PARTITION BY region ORDER BY year) AS prev_revenue
@@ -80,18 +54,17 @@ SELECT region, year, net_revenue, prev_revenue, round(net_revenue, 2) - prev_rev
                                         / CAST(prev_revenue AS DOUBLE) * 100.0 END AS change_pct
 FROM c""",
 
-    "kpi_running_total": f"""
-WITH {_TOT},
-monthly AS (
-  SELECT CAST(year(o_orderdate) AS INT) AS year, {_MONTH} AS month, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
-  FROM orders LEFT JOIN tot ON o_orderkey = l_orderkey GROUP BY year(o_orderdate), {_MONTH})
+    "kpi_running_total": """
+WITH monthly AS (
+  SELECT CAST(year(month) AS INT) AS year, month, CAST(sum(net) AS DECIMAL(38,4)) AS net_revenue
+  FROM {v_months} GROUP BY month)
 SELECT year, month, net_revenue,
        CAST(sum(net_revenue) OVER (PARTITION BY year ORDER BY month
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,4)) AS ytd_revenue
 FROM monthly""",
 
-    "kpi_new_returning": f"""
-WITH cm AS (SELECT o_custkey, {_MONTH} AS month, count(*) AS n FROM orders GROUP BY o_custkey, {_MONTH}),
+    "kpi_new_returning": """
+WITH cm AS (SELECT o_custkey, month, count(*) AS n FROM {v_orders} GROUP BY o_custkey, month),
 f AS (SELECT *, month = min(month) OVER (PARTITION BY o_custkey) AS is_new FROM cm)
 SELECT month, count(*) AS active_customers, count_if(is_new) AS new_customers,
        count_if(NOT is_new) AS returning_customers,
@@ -101,20 +74,18 @@ FROM f GROUP BY month""",
 
     "kpi_returns_status": """
 WITH per_part AS (
-  SELECT l_partkey, count(*) AS lines, count_if(l_returnflag = 'R') AS returned,
-         count_if(o_orderstatus = 'F') AS lines_f, count_if(o_orderstatus = 'O') AS lines_o,
-         count_if(o_orderstatus = 'P') AS lines_p
-  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey),
+  SELECT part_key, count(*) AS lines, count_if(returned) AS returned, count_if(o_orderstatus = 'F') AS lines_f,
+         count_if(o_orderstatus = 'O') AS lines_o, count_if(o_orderstatus = 'P') AS lines_p
+  FROM {v_lines} GROUP BY part_key),
 by_brand AS (
   SELECT coalesce(p_brand, 'UNKNOWN') AS p_brand, CAST(sum(lines) AS BIGINT) AS lines,
          CAST(sum(returned) AS BIGINT) AS returned, CAST(sum(lines_f) AS BIGINT) AS lines_f,
          CAST(sum(lines_o) AS BIGINT) AS lines_o, CAST(sum(lines_p) AS BIGINT) AS lines_p
-  FROM per_part LEFT JOIN part ON l_partkey = p_partkey GROUP BY coalesce(p_brand, 'UNKNOWN'))
+  FROM per_part LEFT JOIN {v_products} ON part_key = p_partkey GROUP BY coalesce(p_brand, 'UNKNOWN'))
 SELECT *, returned / lines AS return_rate FROM by_brand""",
 }
 
 
-def run_dashboard(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Register the source views of ``sf_dir`` and run one dashboard text."""
-    Tables(spark, sf_dir).register_views()
-    return spark.sql(DASHBOARD_SQL[name])
+def run_dashboard(lake: Lake, name: str) -> DataFrame:
+    """Run one dashboard text over the lake's gold views."""
+    return lake.spark.sql(DASHBOARD_SQL[name].format(**{v: lake.name("gold", v) for v in VIEWS}))

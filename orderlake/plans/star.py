@@ -151,21 +151,39 @@ def fact_sales(t: Tables) -> DataFrame:
     """One row per order line with dimension keys and exact money measures.
 
     The customer check runs at order grain, before the line join.  The part
-    and supplier checks are joins with the dimensions' keys: where these fit the
-    run-time broadcast limit, the line table is shuffled once, by order key.
+    and supplier checks come after the lines' one shuffle, by order key: by then
+    adaptive execution has measured the dimensions' keys and broadcasts those
+    under its limit, so the joined lines are not shuffled again.
     """
-    return _fact(t).drop("cust_key", "part_key", "supp_key")
+    return _fact(t, orders_of(t)).drop("cust_key", "part_key", "supp_key")
 
 
-def _fact(t: Tables) -> DataFrame:
-    """The fact with its natural keys beside the surrogates."""
-    orders = _known(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
-                    t.customer, "c_custkey", "cust_key")
+def orders_of(t: Tables) -> DataFrame:
+    """Orders with the customer key that the dimension knows (-1 otherwise)."""
+    return _known(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey", t.customer, "c_custkey", "cust_key")
+
+
+def orders_geo(t: Tables) -> DataFrame:
+    """Orders with the region and nation of their customer (unknown if missing)."""
+    geo = geography(t)
+    cust = t.customer.select("c_custkey", "c_nationkey")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    j = (o.join(cust, o["o_custkey"] == cust["c_custkey"], "left")
+          .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    return j.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+                    F.coalesce("region", F.lit(UNKNOWN_LABEL)).alias("region"),
+                    F.coalesce("nation", F.lit(UNKNOWN_LABEL)).alias("nation"),
+                    F.coalesce("c_custkey", F.lit(UNKNOWN).cast("bigint")).alias("cust_key"))
+
+
+def _fact(t: Tables, orders: DataFrame) -> DataFrame:
+    """The fact with its natural keys beside the surrogates, and the other columns of ``orders`` (NULL without an order)."""
+    extra = [c for c in orders.columns if c not in ("o_orderkey", "o_custkey", "o_orderdate", "cust_key")]
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                               "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
-    lines = _known(lines, "l_partkey", t.part, "p_partkey", "part_key")
-    lines = _known(lines, "l_suppkey", t.supplier, "s_suppkey", "supp_key")
     j = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left")
+    j = _known(j, "l_partkey", t.part, "p_partkey", "part_key")
+    j = _known(j, "l_suppkey", t.supplier, "s_suppkey", "supp_key")
     return j.select(
         "l_orderkey", "l_linenumber",
         F.coalesce(date_key("o_orderdate"), F.lit(UNKNOWN)).alias("order_date_key"),
@@ -179,7 +197,7 @@ def _fact(t: Tables) -> DataFrame:
         discount_amount().alias("discount"),
         net_amount().alias("net"),
         tax_amount().alias("tax"),
-        (F.col("l_returnflag") == "R").alias("returned"))
+        (F.col("l_returnflag") == "R").alias("returned"), *extra)
 
 
 # -- M8 -------------------------------------------------------------------------
@@ -208,33 +226,47 @@ def load_star(t: Tables, lake) -> None:
     """Write the dimensions and the fact to gold; the fact by order year (NULL: unknown order date).
 
     The fact keeps the natural keys next to the surrogates: joins on 8-byte
-    integers move a quarter of the bytes of joins on hashes.
+    integers move a quarter of the bytes of joins on hashes.  It also carries
+    the order's status and its customer's geography, which join at order grain
+    here and would have to meet every line later (NULL for a line without order).
     """
     lake.write(dim_date(t), "gold", "dim_date")
     lake.write(dim_customer(t), "gold", "dim_customer")
     lake.write(dim_product(t), "gold", "dim_product")
     year = F.when(F.col("order_date_key") != UNKNOWN, F.floor(F.col("order_date_key") / 10000)).cast("int")
-    lake.write(_fact(t).withColumn("order_year", year), "gold", "fact_sales", ["order_year"])
+    lake.write(_fact(t, orders_geo(t)).withColumn("order_year", year), "gold", "fact_sales", ["order_year"])
 
 
-def revenue_by_brand_year(lake, region: str) -> DataFrame:
+def revenue_by_brand_year(lake, region: str, days: DataFrame | None = None) -> DataFrame:
     """Revenue of a region's customers by brand and order year, from the loaded star.
 
     Lines meet the region's customers, are reduced to (part, year), and only
-    these sums meet the product dimension: one shuffle of lines at most.
+    these sums meet the product dimension: one shuffle of lines at most.  The
+    filter on the customer dimension reaches the fact scan as a Bloom filter on
+    the customer key, where the tables are large enough for Spark to build one.
+    ``days`` (rows of the calendar) limits the order years; its years are known
+    only at run time and prune the fact's year folders then.
     """
-    cust = lake.read("gold", "dim_customer").where(F.col("region") == region).select("c_custkey", "region")
+    cust = lake.read("gold", "dim_customer").where(F.col("region") == region).select("c_custkey", F.col("region").alias("cust_region"))
     prod = lake.read("gold", "dim_product").select("p_partkey", "p_brand")
+    dims = [(cust, "cust_key", "c_custkey")]
+    if days is not None:
+        dims.insert(0, (days.select(F.col("year").alias("day_year")).where("day_year IS NOT NULL").distinct(), "order_year", "day_year", True))
     per_part = star_query(
-        lake.read("gold", "fact_sales"), [(cust, "cust_key", "c_custkey")], [], ["region", "part_key", "order_year"],
+        lake.read("gold", "fact_sales"), dims, [], ["cust_region", "part_key", "order_year"],
         [F.sum("net").cast("decimal(38,4)").alias("net"), F.sum("quantity").cast("decimal(38,2)").alias("quantity"),
          F.count(F.lit(1)).alias("n")])
     return star_query(
-        per_part, [(prod, "part_key", "p_partkey")], [], ["region", "p_brand", F.col("order_year").alias("year")],
+        per_part, [(prod, "part_key", "p_partkey")], [], [F.col("cust_region").alias("region"), "p_brand", F.col("order_year").alias("year")],
         [F.sum("net").cast("decimal(38,4)").alias("net_revenue"), F.sum("quantity").cast("decimal(38,2)").alias("units"),
          F.sum("n").cast("bigint").alias("lines")])
 
 
+def leap_days(lake) -> DataFrame:
+    """The calendar's 29ths of February: an attribute of the days, not of the fact's partitions."""
+    return lake.read("gold", "dim_date").where("month = 2 AND day = 29")
+
+
 # -- X1, X2 ---------------------------------------------------------------------
 def external(spark, path: str, fmt: str = "parquet", name: str | None = None) -> DataFrame:
     """A relation over lake files, queried in place (no load step).

@@ -21,6 +21,7 @@ from orderlake.operators import clean as C
 from orderlake.operators import quality as Q
 from orderlake.plans import dashboard as K
 from orderlake.plans import star as M
+from orderlake.plans.gold import gold_of
 from orderlake.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -246,10 +247,14 @@ def _m6(t):
 
 @query("star_revenue_by_brand_year")
 def _m8(t):
-    from orderlake.sources.zones import Lake
-    lake = Lake(t.spark)
-    M.load_star(t, lake)
-    return M.revenue_by_brand_year(lake, "EUROPE")
+    return M.revenue_by_brand_year(gold_of(t), "EUROPE")
+
+
+@query("star_leap_year_revenue")
+def _m8_pruned(t):
+    """M8 with a filter on the calendar: the fact's other year folders are not read."""
+    lake = gold_of(t)
+    return M.revenue_by_brand_year(lake, "EUROPE", M.leap_days(lake))
 
 
 # -- K ------------------------------------------------------------------------
@@ -257,7 +262,7 @@ for _name, _fn in [("kpi_headline", K.kpi_headline), ("kpi_monthly_region", K.kp
                    ("kpi_geo_rollup", K.kpi_geo_rollup), ("kpi_top_products", K.kpi_top_products),
                    ("kpi_period_change", K.kpi_period_change), ("kpi_running_total", K.kpi_running_total),
                    ("kpi_new_returning", K.kpi_new_returning), ("kpi_returns_status", K.kpi_returns_status)]:
-    query(_name)(_fn)
+    query(_name)(lambda t, fn=_fn: fn(gold_of(t)))
 
 
 def quality_panel(t: Tables) -> DataFrame:

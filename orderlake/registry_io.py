@@ -350,8 +350,7 @@ def _g2(t):
 
 @query("gov_row_filter")
 def _g3(t):
-    from orderlake.plans.dashboard import orders_geo
-    og = orders_geo(t).select("o_orderkey", "o_custkey", "o_orderstatus", "region")
+    og = M.orders_geo(t).select("o_orderkey", "o_custkey", "o_orderstatus", "region")
     return G.row_policy(og, "region", region_grants(t.spark), "emea_analyst")
 
 

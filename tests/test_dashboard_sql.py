@@ -1,17 +1,38 @@
-"""The SQL dashboard texts return the same rows as the DataFrame functions."""
+"""The SQL dashboard texts return the same rows as the DataFrame functions, and both read gold alone."""
 
 import pytest
 
 from orderlake.plans import dashboard as K
 from orderlake.plans.dashboard_sql import DASHBOARD_SQL, run_dashboard
+from orderlake.plans.gold import SOURCES, gold_of
 from orderlake.registry import present
-from tests.conftest import SF_TINY
 
 
 @pytest.mark.parametrize("name", sorted(DASHBOARD_SQL))
 def test_sql_text_equals_dataframe_function(tiny, name):
-    sql = present(run_dashboard(tiny.spark, SF_TINY, name))
-    df = present(getattr(K, name)(tiny))
+    lake = gold_of(tiny)
+    sql, df = present(run_dashboard(lake, name)), present(getattr(K, name)(lake))
     assert sql.columns == df.columns
     assert [f.dataType for f in sql.schema.fields] == [f.dataType for f in df.schema.fields]
     assert sorted(map(tuple, sql.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    for form in (sql, df):
+        files = form.inputFiles()
+        assert files and all("/gold/" in f and tiny.sf_dir not in f for f in files)
+
+
+def test_gold_is_loaded_once_and_again_when_a_source_changes(spark, tiny, tmp_path):
+    import shutil
+
+    from orderlake.tables import Tables
+    for name in SOURCES:
+        shutil.copy(f"{tiny.sf_dir}/{name}.parquet", tmp_path / f"{name}.parquet")
+    t = Tables(spark, str(tmp_path))
+    first = gold_of(t)
+    assert gold_of(t) is first and gold_of(tiny) is not first
+    fewer = t.orders.where("o_orderkey <> 5").toPandas()
+    fewer.to_parquet(tmp_path / "orders.parquet", coerce_timestamps="us")
+    spark.catalog.refreshByPath(str(tmp_path))
+    second = gold_of(t)
+    assert second is not first
+    got = K.kpi_headline(second).first()
+    assert got["orders"] == len(fewer) and got["lines"] == t.lineitem.where("l_orderkey <> 5").count()

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from orderlake.plans import star as M
+from orderlake.plans.gold import gold_of
 from orderlake.registry_io import lineitem_lake_files, pruned_scan
 from orderlake.sources.zones import Lake
 from orderlake.tables import Tables
@@ -55,8 +56,7 @@ def test_lines_without_an_order_stay_in_the_star(tiny):
 
 
 def test_loaded_star_shuffles_lines_at_most_once_and_prunes_years(tiny):
-    lake = Lake(tiny.spark)
-    M.load_star(tiny, lake)
+    lake = gold_of(tiny)
     plan = plan_text(M.revenue_by_brand_year(lake, "EUROPE")).split("\n\n")[0]
     assert plan.count("Exchange") <= 6 and "md5" not in plan
     years = (lake.read("gold", "dim_date").groupBy("year").agg(F.count(F.lit(1)).alias("days")).where(F.col("days") == 366).select("year"))
@@ -90,3 +90,50 @@ def test_star_query_prunes_fact_partitions_dynamically(tiny):
     want = {r.order_year: r.n for r in fact.where(F.col("order_year").isin(1996, 2000))
             .groupBy("order_year").agg(F.sum("net").alias("n")).collect()}
     assert got == want and set(got) == {1996, 2000}
+
+
+def test_lines_are_shuffled_once_for_the_fact(tiny):
+    fact = M.fact_sales(tiny)
+    fact.collect()                                   # the plan as adaptive execution left it
+    final = plan_text(fact).split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") >= 2, final
+
+
+def test_the_registered_star_query_prunes_years_and_filters_customers_at_run_time(tiny):
+    """The calendar's filter prunes the fact's year folders, the customers' one reaches its scan as a Bloom filter."""
+    from orderlake.registry import queries
+    spark = tiny.spark
+    small = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}       # the tables here are small
+    old = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        q = queries()["star_leap_year_revenue"](spark, tiny.sf_dir)
+        plan = plan_text(q)
+        assert "dynamicpruning" in plan.lower() and "might_contain" in plan and "bloom_filter_agg" in plan
+        got = {(r["year"], r["p_brand"]): r["lines"] for r in q.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {y for y, _ in got} == {1996, 2000}
+    fact = gold_of(tiny).read("gold", "fact_sales")
+    assert sum(got.values()) == fact.where("order_year IN (1996, 2000) AND region = 'EUROPE'").count()
+    assert queries()["star_leap_year_revenue"](spark, tiny.sf_dir).count() == len(got)
+
+
+def test_only_the_asked_years_lines_are_read(tiny):
+    lake = gold_of(tiny)
+    q = M.revenue_by_brand_year(lake, "EUROPE", M.leap_days(lake))
+    q.collect()
+    def scans(node):
+        found = [node] if "FileSourceScanExec" in node.getClass().getSimpleName() else []
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return scans(node.executedPlan())
+        if hasattr(node, "plan") and "QueryStageExec" in node.getClass().getSimpleName():
+            return scans(node.plan())
+        kids = node.children()
+        return found + [x for i in range(kids.size()) for x in scans(kids.apply(i))]
+    read = [(s.metrics().apply("numOutputRows").value(), s.metrics().apply("numFiles").value()) for s in scans(q._jdf.queryExecution().executedPlan())
+            if s.metrics().contains("numPartitions") and "order_year" in s.toString()]
+    lines = lake.read("gold", "fact_sales")
+    assert read and read[0][0] == lines.where("order_year IN (1996, 2000)").count() < lines.count()
