@@ -177,6 +177,26 @@ def enforce(df: DataFrame, rules: Sequence[Rule], name: str = "dq") -> tuple[Dat
     return observed.drop(*helper_columns(prepared)), obs
 
 
+def enforce_to(lake, df: DataFrame, rules: Sequence[Rule], zone: str, table: str) -> dict:
+    """Write the rows that pass to ``<zone>.<table>`` and those that fail, with the rules they broke, to
+    ``<zone>.<table>_quarantine``; returns the counts observed by the write.
+
+    One pass and one write: ``<table>_checked`` is partitioned by the verdict, and the two names are views
+    that read one side's folder each.  Together they are the input.
+    """
+    from orderlake.operators.clean import flag_failures
+    seen = Observation()
+    flagged = flag_failures(df, rules)
+    observed = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_failed") > 0).alias("rejected"),
+                               *[F.count_if(F.array_contains("_failed", r.name)).alias(r.name) for r in rules])
+    checked = lake.write(observed.withColumns({"failed_rules": F.concat_ws(",", "_failed"), "is_valid": F.size("_failed") == 0}).drop("_failed"),
+                         zone, f"{table}_checked", ["is_valid"])
+    cols = ", ".join(f"`{c}`" for c in df.columns)
+    for name, what, side in ((table, cols, "is_valid"), (f"{table}_quarantine", f"{cols}, failed_rules", "NOT is_valid")):
+        lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.name(zone, name)} AS SELECT {what} FROM {checked} WHERE {side}")
+    return seen.get
+
+
 def gate(report: DataFrame) -> None:
     """Raise if any rule of a Q9 report missed its threshold (one-row check)."""
     bad = report.where(~F.col("passed")).agg(F.count(F.lit(1)).alias("n")).first()["n"]

@@ -102,13 +102,15 @@ SELECT o_orderkey, o_custkey, o_orderstatus, region FROM og
 WHERE region IN ('EUROPE', 'MIDDLE EAST', 'AFRICA')"""
 
 # -- K10 ----------------------------------------------------------------------
-SQL["parity_two_paths"] = """
-SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS "month", o_orderstatus,
-       count(*) AS wh_orders, count(*) AS lake_orders,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS wh_total,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS lake_total,
-       'match' AS status
-FROM orders GROUP BY ALL"""
+SQL["parity_two_paths"] = WITH_SILVER + f""",
+good AS (
+  SELECT s.* FROM silver s ANTI JOIN (SELECT order_id FROM silver
+    WHERE order_date IS NULL OR amount IS NULL OR amount < 0 OR status NOT IN ('O', 'F', 'P') OR customer_id IS NULL
+       OR customer_id NOT IN (SELECT c_custkey FROM customer)) b USING (order_id))
+SELECT CAST(date_trunc('month', order_date) AS TIMESTAMP) AS "month", status AS o_orderstatus,
+       count(*) AS wh_orders, count(*) AS lake_orders, CAST(sum(amount) AS DOUBLE) AS wh_total, CAST(sum(amount) AS DOUBLE) AS lake_total,
+       'match' AS status, CAST(0 AS BIGINT) AS only_wh_rows, CAST(0 AS BIGINT) AS only_lake_rows
+FROM good GROUP BY ALL"""
 
 # G4: the zone catalog.  silver.customer carries the source table's own columns
 # (read from DuckDB's information_schema); the gold dimension and the bronze
@@ -135,3 +137,54 @@ bronze_cols AS (
                ('seq', 'string', false), ('_batch_id', 'int', true), ('_source_file', 'string', false),
                ('_ingested_at', 'timestamp', false)) v(c, t, p))
 SELECT * FROM silver_cols UNION ALL SELECT * FROM gold_cols UNION ALL SELECT * FROM bronze_cols"""
+
+
+# -- B4, B6 -------------------------------------------------------------------
+SQL["bronze_continuous"] = "SELECT * FROM events"
+
+SQL["lifecycle_apply"] = """
+SELECT strftime(o_orderdate, '%Y-%m') AS order_month,
+       CASE WHEN date_diff('day', CAST(date_trunc('month', o_orderdate) AS DATE), DATE '2001-12-31') < 365 THEN 'lake' ELSE 'archive' END AS location,
+       count(*) AS row_count
+FROM orders WHERE date_diff('day', CAST(date_trunc('month', o_orderdate) AS DATE), DATE '2001-12-31') < 1095
+GROUP BY ALL"""
+
+# -- L1, L3, L6, Q10: what streams and rules set aside --------------------------
+_SPLIT = f"""
+checked AS (
+  SELECT CASE WHEN seq <= 1 THEN 0 ELSE 1 END AS batch_id,
+         list_filter([{', '.join(f"CASE WHEN {fail} THEN '{name}' END" for name, _f, fail, _m in ORDER_RULES)}], lambda x: x IS NOT NULL) AS failed
+  FROM (SELECT c.*, k.c_custkey IS NOT NULL AS _known FROM cleaned c
+        LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) k ON c.customer_id = k.c_custkey))"""
+
+SQL["stream_quarantine"] = WITH_SILVER + "," + _SPLIT + f"""
+SELECT batch_id, CASE WHEN len(failed) = 0 THEN 'valid' ELSE 'quarantine' END AS side, array_to_string(failed, ',') AS rules, count(*) AS row_count
+FROM checked GROUP BY ALL
+UNION ALL SELECT batch_id, 'landed', '', count(*) FROM checked GROUP BY batch_id
+UNION ALL SELECT batch_id, 'failed', rule, count_if(list_contains(failed, rule))
+  FROM checked, (SELECT unnest([{', '.join(f"'{name}'" for name, *_ in ORDER_RULES)}]) AS rule) GROUP BY batch_id, rule"""
+
+SQL["dq_quarantine_table"] = WITH_SILVER + f"""
+SELECT * FROM (
+  SELECT {_SILVER_OUT.replace("order_id", "s.order_id", 1)},
+         concat_ws(',', {', '.join(f"CASE WHEN {fail} THEN '{name}' END" for name, _f, fail, _m in ORDER_RULES)}) AS failed_rules
+  FROM (SELECT s.*, k.c_custkey IS NOT NULL AS _known FROM silver s
+        LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) k ON s.customer_id = k.c_custkey) s)
+WHERE failed_rules <> ''"""
+
+# weeks 1, 3, 2, 4: by the time week 2 comes, week 3 has closed every day but those of its last hour
+SQL["stream_gold_late"] = """
+WITH closed AS (SELECT max(ts) - INTERVAL 1 HOUR AS w FROM events WHERE ts < TIMESTAMP '2024-01-22')
+SELECT CASE WHEN ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' AND date_trunc('day', ts) + INTERVAL 1 DAY <= w
+            THEN 'late' ELSE 'gold' END AS side,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, count(*) AS events
+FROM events, closed GROUP BY ALL"""
+
+SQL["stream_late_events"] = """
+WITH landed AS (
+  SELECT event_id, ts, ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-22' AS week3,
+         CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 2 ELSE 1 END AS copies FROM events),
+closed AS (SELECT max(ts) - INTERVAL 2 DAY AS w FROM events),
+judged AS (SELECT *, week3 AND ts <= w AS late FROM landed, closed)
+SELECT event_id, CASE WHEN late THEN 'late' ELSE 'kept' END AS outcome, CAST(1 AS BIGINT) AS row_count FROM judged
+UNION ALL SELECT event_id, 'resent', CAST(copies - 1 AS BIGINT) FROM judged WHERE copies > 1"""

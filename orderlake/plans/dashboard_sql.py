@@ -86,6 +86,52 @@ SELECT *, returned / lines AS return_rate FROM by_brand""",
 }
 
 
+def _panel(source: str, view: str, checks: list[tuple[str, str, str, float]]) -> str:
+    """One table's part of the quality panel: (rule, family, failing rows, threshold) from one scan of ``view``."""
+    counts = ", ".join(f"count_if(coalesce({fails}, false)) AS f{i}" for i, (_, _, fails, _) in enumerate(checks))
+    rows = ", ".join(f"'{rule}', '{family}', f{i}, CAST({least} AS DOUBLE)" for i, (rule, family, _, least) in enumerate(checks))
+    return f"""
+SELECT '{source}' AS source_table, rule, family, n AS checked, failed,
+       CASE WHEN n = 0 THEN 1.0D ELSE (n - failed) / n END AS pass_rate, CASE WHEN n = 0 THEN 1.0D ELSE (n - failed) / n END >= least AS passed
+FROM (SELECT n, stack({len(checks)}, {rows}) AS (rule, family, failed, least) FROM (SELECT count(*) AS n, {counts} FROM {view}))"""
+
+
+def _refers(view: str, column: str, other: str, key: str) -> str:
+    return f"(SELECT a.*, a.{column} IS NOT NULL AND b._known IS NULL AS _orphan FROM {view} a LEFT JOIN (SELECT DISTINCT {key}, true AS _known FROM {other}) b ON a.{column} = b.{key})"
+
+
+#: K9 over views named ``silver_orders``, ``customer``, ``orders``, ``lineitem`` and ``events``.
+QUALITY_PANEL_SQL = "\nUNION ALL".join([
+    _panel("silver_orders", _refers("silver_orders", "customer_id", "customer", "c_custkey"), [
+        ("order_date_complete", "completeness", "order_date IS NULL", 1.0), ("amount_complete", "completeness", "amount IS NULL", 1.0),
+        ("amount_non_negative", "range", "amount < 0", 1.0), ("status_in_set", "domain", "status NOT IN ('O', 'F', 'P')", 1.0),
+        ("customer_id_complete", "completeness", "customer_id IS NULL", 1.0), ("customer_id_known", "referential", "_orphan", 1.0),
+        ("priority_complete", "completeness", "priority IS NULL", 0.5)]),
+    _panel("lineitem", _refers("lineitem", "l_orderkey", "orders", "o_orderkey"), [
+        ("l_returnflag_in_set", "domain", "l_returnflag NOT IN ('R', 'A', 'N')", 1.0),
+        ("l_discount_in_range", "range", "l_discount < 0 OR l_discount > 0.1D", 1.0),
+        ("l_orderkey_refers_to_o_orderkey", "referential", "_orphan", 1.0)]),
+    _panel("customer", "customer", [("c_name_complete", "completeness", "c_name IS NULL", 1.0), ("c_acctbal_in_range", "range", "c_acctbal < 0", 0.9)]),
+    _panel("events", "events", [("user_id_complete", "completeness", "user_id IS NULL", 1.0), ("value_in_range", "range", "value < 0", 1.0),
+                                ("props_matches", "pattern", "NOT rlike(props, '^[{{]\"k\": [0-9]+[}}]$')", 1.0)])]).replace("{{", "{").replace("}}", "}")
+
+#: K10 over the two gold tables ``{wh}`` and ``{lake}``, month by month and status by status.
+PARITY_SQL = """
+WITH only_wh AS (SELECT month, o_orderstatus, count(*) AS n FROM (SELECT * FROM {wh} EXCEPT ALL SELECT * FROM {lake}) GROUP BY ALL),
+only_lake AS (SELECT month, o_orderstatus, count(*) AS n FROM (SELECT * FROM {lake} EXCEPT ALL SELECT * FROM {wh}) GROUP BY ALL),
+pairs AS (
+  SELECT coalesce(w.month, l.month) AS month, coalesce(w.o_orderstatus, l.o_orderstatus) AS o_orderstatus, w.orders AS wh_orders,
+         l.orders AS lake_orders, w.total AS wh_total, l.total AS lake_total, w.in_wh, l.in_lake
+  FROM (SELECT DISTINCT *, true AS in_wh FROM {wh}) w FULL OUTER JOIN (SELECT DISTINCT *, true AS in_lake FROM {lake}) l
+    ON w.month <=> l.month AND w.o_orderstatus <=> l.o_orderstatus)
+SELECT p.month, p.o_orderstatus, wh_orders, lake_orders, wh_total, lake_total,
+       CASE WHEN in_lake IS NULL THEN 'only_wh' WHEN in_wh IS NULL THEN 'only_lake'
+            WHEN wh_orders <=> lake_orders AND wh_total <=> lake_total AND a.n IS NULL AND b.n IS NULL THEN 'match' ELSE 'differ' END AS status,
+       coalesce(a.n, 0) AS only_wh_rows, coalesce(b.n, 0) AS only_lake_rows
+FROM pairs p LEFT JOIN only_wh a ON p.month <=> a.month AND p.o_orderstatus <=> a.o_orderstatus
+LEFT JOIN only_lake b ON p.month <=> b.month AND p.o_orderstatus <=> b.o_orderstatus"""
+
+
 def run_dashboard(lake: Lake, name: str) -> DataFrame:
     """Run one dashboard text over the lake's gold views."""
     return lake.spark.sql(DASHBOARD_SQL[name].format(**{v: lake.name("gold", v) for v in VIEWS}))

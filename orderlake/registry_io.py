@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.fixtures import RAW_COLUMNS, raw_orders
+from orderlake.functions.dates import date_key
 from orderlake.functions.money import money, net_amount
 from orderlake.operators import clean as C
 from orderlake.operators import governance as G
-from orderlake.operators.reconcile import reconcile
+from orderlake.operators import quality as Q
+from orderlake.operators.reconcile import two_way
 from orderlake.operators.upsert import bucket_count, create_keyed, read_keyed, upsert
 from orderlake.plans import star as M
-from orderlake.registry import query
+from orderlake.registry import query, silver_orders
 from orderlake.session import scratch_dir, session_tz
-from orderlake.sources.incremental import ingest_new, run_available, stream_files
+from orderlake.sources.incremental import ingest_new, run_available, run_continuous, stream_files
 from orderlake.sources.messy import read_messy
 from orderlake.sources.zones import Lake, land_raw, read_landed, retention_plan
 from orderlake.streaming import medallion as L
@@ -32,6 +34,7 @@ def latest_first():
 
 # Delivery boundaries used to split source tables into landed files.
 ORDER_DELIVERY_SPLIT = "1998-01-01"
+IDLE_SECONDS = 3.0            # a continuous run stops after so long without a new batch
 EVENT_WEEKS = ("2024-01-08", "2024-01-15", "2024-01-22")
 
 
@@ -122,6 +125,23 @@ def _b4(t):
     return spark.read.parquet(f"{root}/bronze/events")
 
 
+@query("bronze_continuous")
+def _b4_continuous(t):
+    """A stream that runs until told to stop, is stopped in the middle and started again."""
+    spark = t.spark
+    root = scratch_dir(spark, "continuous")
+    landing, out, ckpt = f"{root}/landing", f"{root}/bronze/events", f"{root}/_checkpoints/events"
+    weeks = _event_weeks(t)
+    for week in weeks[:3]:
+        L.land(week, landing, order_by="ts")
+    s = stream_files(spark, landing, t.events.schema, "parquet", max_files_per_trigger=2)
+    run_continuous(s, out, ckpt, "100 milliseconds", lambda seen: seen["batches"] >= 1)
+    L.land(weeks[3], landing, order_by="ts")
+    run_continuous(s, out, ckpt, "100 milliseconds", lambda seen: seen["idle_seconds"] > IDLE_SECONDS)
+    run_available(s, out, ckpt)             # what a slow start may have left
+    return spark.read.parquet(out)
+
+
 @query("zone_partition_layout")
 def _b5(t):
     lake = Lake(t.spark)
@@ -152,6 +172,16 @@ def _b6(t):
     return orders_retention_plan(lake)
 
 
+@query("lifecycle_apply")
+def _b6_apply(t):
+    """The plan carried out: where each partition's rows are afterwards."""
+    lake = Lake(t.spark)
+    order_month_table(t, lake)
+    lake.apply_retention("bronze", "orders", orders_retention_plan(lake), "order_month", f"{lake.root}/archive")
+    place = F.when(F.contains(F.col("_metadata.file_path"), F.lit("/archive/")), "archive").otherwise("lake")
+    return lake.read("bronze", "orders").groupBy("order_month", place.alias("location")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 # -- C8, M7 -------------------------------------------------------------------
 @query("silver_upsert_idempotent")
 def _c8(t):
@@ -234,6 +264,27 @@ def _l1(t):
     return spark.read.parquet(f"{root}/silver/orders")
 
 
+@query("stream_quarantine")
+def _l1_split(t):
+    """Every landed row on one side, valid or rejected with its rules, and the counts of each batch."""
+    spark = t.spark
+    root = scratch_dir(spark, "stream-quarantine")
+    landing, silver, quarantine, counts = (f"{root}/{x}" for x in ("landing", "silver", "quarantine", "counts"))
+    sink = L.split_sink(silver, quarantine, C.order_rules(t.customer), counts)
+    for delivery in _versions(raw_orders(t.orders)):
+        L.land(delivery, landing, "json")
+        run_available(_raw_stream(spark, landing), None, f"{root}/_checkpoints/split", foreach_batch=sink)
+    batch = F.col(L.BATCH).cast("int").alias("batch_id")
+    n = F.count(F.lit(1)).alias("row_count")
+    valid = spark.read.parquet(silver).groupBy(batch).agg(n).select("batch_id", F.lit("valid").alias("side"), F.lit("").alias("rules"), "row_count")
+    bad = (spark.read.parquet(quarantine).groupBy(batch, F.col("failed_rules").alias("rules")).agg(n)
+           .select("batch_id", F.lit("quarantine").alias("side"), "rules", "row_count"))
+    seen = spark.read.parquet(counts)
+    told = seen.select(batch, F.when(F.col("rule").isNull(), "landed").otherwise("failed").alias("side"), F.coalesce("rule", F.lit("")).alias("rules"),
+                       F.when(F.col("rule").isNull(), F.col("checked")).otherwise(F.col("failed")).alias("row_count"))
+    return valid.unionByName(bad).unionByName(told)
+
+
 @query("stream_enrich")
 def _l2(t):
     spark = t.spark
@@ -267,7 +318,24 @@ def _l3(t):
         L.land(week, landing, order_by="ts")
         L.run_gold_windows(spark, landing, t.events.schema, gold, f"{root}/_checkpoints/gold", "ts",
                            "1 day", "1 hour", ["event_type"], EVENT_MEASURES())
-    return L.read_partial_log(spark, gold, ["window_start", "window_end", "event_type"])
+    return read_keyed(spark, gold)
+
+
+@query("stream_gold_late")
+def _l3_late(t):
+    """Deliveries out of order: what gold counts and what came too late for it, by day."""
+    spark = t.spark
+    root = scratch_dir(spark, "stream-gold-late")
+    landing, gold = f"{root}/landing", f"{root}/gold/events_daily"
+    w1, w2, w3, w4 = _event_weeks(t)
+    for week in (w1, w3, w2, w4):
+        L.land(week, landing, order_by="ts")
+        L.run_gold_windows(spark, landing, t.events.schema, gold, f"{root}/_checkpoints/gold", "ts",
+                           "1 day", "1 hour", [], [F.count(F.lit(1)).alias("events")])
+    late = (spark.read.parquet(f"{gold}-late").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("events")))
+    return (read_keyed(spark, gold).select(F.lit("gold").alias("side"), "window_start", "events")
+            .unionByName(late.select(F.lit("late").alias("side"), "window_start", "events")))
 
 
 @query("stream_upsert_latest")
@@ -321,6 +389,30 @@ def _l6(t):
     return spark.read.parquet(out)
 
 
+@query("stream_late_events")
+def _l6_late(t):
+    """De-duplication with a week that comes after its time: every landed row is kept, resent or late."""
+    spark = t.spark
+    root = scratch_dir(spark, "stream-late")
+    landing, out, ckpt = f"{root}/landing", f"{root}/silver/events", f"{root}/_checkpoints/dedup"
+    w1, w2, w3, w4 = _event_weeks(t)
+    for deliveries in ((w1, w2, w2), (w4,), (w3, w1)):
+        for d in deliveries:
+            L.land(d, landing, order_by="ts")
+        s = stream_files(spark, landing, t.events.schema)
+        run_available(L.dedup_stream(s, ["event_id"], "ts", "2 days", session_tz(spark)), out, ckpt)
+    landed = spark.read.schema(t.events.schema).option("recursiveFileLookup", "true").parquet(landing)
+    return L.dedup_outcomes(landed, spark.read.parquet(out), ["event_id"]).withColumnRenamed("rows", "row_count")
+
+
+@query("dq_quarantine_table")
+def _q10_table(t):
+    """Rejected orders with the rules they broke, as the lake keeps them."""
+    lake = Lake(t.spark)
+    Q.enforce_to(lake, silver_orders(t), C.order_rules(t.customer), "silver", "orders")
+    return lake.read("silver", "orders_quarantine")
+
+
 # -- G ------------------------------------------------------------------------
 def customer_tags(spark):
     return G.tag_table(spark, [("customer", "c_name", "pii"), ("customer", "c_acctbal", "financial")])
@@ -367,20 +459,35 @@ def _g4(t):
 
 
 # -- K10 ----------------------------------------------------------------------
-def _order_month_kpi(df: DataFrame) -> DataFrame:
-    return (df.groupBy(F.trunc("o_orderdate", "month").alias("month"), "o_orderstatus")
-              .agg(F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("total")))
+def warehouse_months(t: Tables, lake: Lake) -> str:
+    """The warehouse path: the cleaned orders are loaded as a fact with keys into the calendar, and
+    the month and status figures come from the loaded star.  Nothing of it runs on a stream."""
+    Q.enforce_to(lake, silver_orders(t), C.order_rules(t.customer), "silver", "orders")
+    orders = lake.read("silver", "orders")
+    fact = orders.select("order_id", "status", "amount", date_key("order_date").alias("order_date_key"))
+    lake.write(fact, "gold", "fact_orders")
+    bounds = orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
+    lake.write(M.dim_date_between(bounds), "gold", "dim_order_date")
+    loaded, days = lake.read("gold", "fact_orders"), lake.read("gold", "dim_order_date")
+    months = (M.star_query(loaded, [(days, "order_date_key", "date_key", True)], [], ["year", "month", "status"],
+                           [F.count(F.lit(1)).alias("orders"), F.sum("amount").cast("decimal(38,2)").alias("total")])
+              .select(F.make_date("year", "month", F.lit(1)).alias("month"), F.col("status").alias("o_orderstatus"), "orders", "total"))
+    return lake.write(months, "gold", "warehouse_months")
+
+
+def lake_months(t: Tables, lake: Lake) -> str:
+    """The streaming path: deliveries through bronze, upserted silver and incremental gold (L5)."""
+    root = scratch_dir(t.spark, "parity")
+    m = L.Medallion(t.spark, f"{root}/landing", bucket_count(t.orders), f"{root}/lake")
+    for delivery in _versions(raw_orders(t.orders)):
+        L.land(delivery, f"{root}/landing", "json")
+        gold = m.run(t.customer)
+    return lake.write(gold.select("month", F.col("status").alias("o_orderstatus"), "orders", F.col("amount").alias("total")), "gold", "lake_months")
 
 
 @query("parity_two_paths")
 def _k10(t):
-    spark = t.spark
-    root = scratch_dir(spark, "parity")
-    landing, gold = f"{root}/landing", f"{root}/gold/orders_month"
-    warehouse = _order_month_kpi(t.orders)
-    for d in _order_deliveries(t):
-        L.land(d, landing)
-    s = _order_month_kpi(stream_files(spark, landing, t.orders.schema))
-    run_available(s, None, f"{root}/_checkpoints/gold", output_mode="update", foreach_batch=L.batch_log_sink(gold))
-    lake = L.read_batch_log(spark, gold, ["month", "o_orderstatus"])
-    return reconcile(warehouse, lake, ["month", "o_orderstatus"], ["orders", "total"])
+    lake = Lake(t.spark)
+    warehouse_months(t, lake)
+    lake_months(t, lake)
+    return two_way(lake.read("gold", "warehouse_months"), lake.read("gold", "lake_months"), ["month", "o_orderstatus"], ["orders", "total"])

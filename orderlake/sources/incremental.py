@@ -10,6 +10,7 @@ stream running with ``processingTime`` until a condition holds.
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,17 +53,25 @@ def _watch(query, stop_when: Callable[[dict], bool] | None = None) -> dict:
     """Totals of a running query until it ends or ``stop_when(totals)`` holds.
 
     Progress is gathered by batch id while the query runs, as Spark keeps only
-    the last entries.  ``per_batch`` has the rows and observed metrics of each.
+    the last entries.  ``per_batch`` has each batch's rows, observed metrics,
+    the watermark it ran under and the rows its stateful operators dropped as
+    later than that; ``idle_seconds`` is the time since the last new batch.
     """
     seen: dict[int, dict] = {}
-    ended = False
+    ended, changed = False, time.monotonic()
     while not ended:
         ended = query.awaitTermination(POLL_SECONDS)
+        before = len(seen)
         for p in query.recentProgress:
             if p.get("numInputRows", 0) > 0:
                 seen[p["batchId"]] = {"rows": p["numInputRows"],
-                                      "observed": {k: v.asDict() for k, v in (p.get("observedMetrics") or {}).items()}}
-        totals = {"batches": len(seen), "rows": sum(b["rows"] for b in seen.values()), "per_batch": seen}
+                                      "observed": {k: v.asDict() for k, v in (p.get("observedMetrics") or {}).items()},
+                                      "watermark": (p.get("eventTime") or {}).get("watermark"),
+                                      "dropped": sum(o.get("numRowsDroppedByWatermark", 0) for o in p.get("stateOperators") or ())}
+        if len(seen) > before:
+            changed = time.monotonic()
+        totals = {"batches": len(seen), "rows": sum(b["rows"] for b in seen.values()),
+                  "dropped": sum(b["dropped"] for b in seen.values()), "idle_seconds": time.monotonic() - changed, "per_batch": seen}
         if not ended and stop_when is not None and stop_when(totals):
             query.stop()
             ended = True

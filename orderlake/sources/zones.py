@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.session import scratch_dir
+from orderlake.session import delete_path, scratch_dir
 
 ZONES = ("bronze", "silver", "gold")
 
@@ -105,6 +105,33 @@ class Lake:
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = {sql_string(v)})")
         return len(expired)
 
+    def archive_partitions(self, zone: str, table: str, plan: DataFrame, column: str, archive: str) -> int:
+        """Move the partitions the plan marks ``archive`` to a folder below ``archive``; the table keeps their rows.
+
+        Per partition: its files are copied by Spark, then ``SET LOCATION`` points the catalog at the copy,
+        then the old folder is deleted.  A reader sees one whole copy at any time, a crash leaves at worst a
+        copy that the next call overwrites, and a partition that is there already is left alone.  The list
+        of values is bounded by the number of partitions.
+        """
+        marked = [r[0] for r in plan.where(F.col("action") == "archive").select(column).collect()]
+        name, moved = self.name(zone, table), 0
+        for v in marked:
+            spec = f"PARTITION (`{column}` = {sql_string(v)})"
+            rows = self.spark.sql(f"DESCRIBE FORMATTED {name} {spec}").where("col_name = 'Location'").collect()
+            old, new = rows[0]["data_type"], f"{archive.rstrip('/')}/{zone}/{table}/{column}={v}"
+            if old.rstrip("/").endswith(new.split(":", 1)[-1]):
+                continue
+            self.spark.read.parquet(old).write.mode("overwrite").parquet(new)
+            self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {sql_string(new)}")
+            delete_path(self.spark, old)
+            moved += 1
+        self.spark.catalog.refreshTable(f"{self.schema(zone)}.{table}")
+        return moved
+
+    def apply_retention(self, zone: str, table: str, plan: DataFrame, column: str, archive: str) -> tuple[int, int]:
+        """Carry out a retention plan: (partitions archived, partitions dropped)."""
+        return (self.archive_partitions(zone, table, plan, column, archive), self.drop_partitions(zone, table, plan, column))
+
 
 # -- B1 -------------------------------------------------------------------------
 def land_raw(df: DataFrame, batch_id: int, business_cols: Sequence[str] | None = None,

@@ -14,17 +14,20 @@ from __future__ import annotations
 import uuid
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.dates import from_event_time, to_event_time
 from orderlake.operators import clean as C
 from orderlake.operators import quality as Q
 from orderlake.operators.upsert import BUCKET, create_keyed, has_null_key, layout_of, read_buckets, table_exists, upsert
-from orderlake.session import child_names, delete_path, move_path, path_exists, scratch_dir, session_tz
+from orderlake.session import child_names, delete_path, path_exists, scratch_dir, session_tz
 from orderlake.sources.incremental import ingest_new, run_available, stream_files
 
 
+BATCH = "batch_id"
+
+
 def land(df: DataFrame, landing: str, fmt: str = "parquet", n_files: int | None = None,
          order_by: str | None = None) -> str:
     """Write one delivery as new files in its own folder under ``landing``.
@@ -56,16 +59,31 @@ def silver_stream(stream: DataFrame, rules: Sequence = (), name: str = "silver_d
     return kept
 
 
-def split_sink(silver: str, quarantine: str, rules: Sequence):
+def split_sink(silver: str, quarantine: str, rules: Sequence, counts: str | None = None):
     """``foreachBatch`` function: valid rows to ``silver``, rejected ones with their failed rules to
-    ``quarantine``, each in a folder per batch that a replay overwrites; together they are the batch."""
+    ``quarantine``, each in a folder per batch that a replay overwrites; together they are the batch.
+
+    ``counts`` gets one row per batch and rule with the rows checked and failed (rule NULL: the batch
+    itself, failed meaning rejected).  They are observed by the writes, not by a pass of their own.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         flagged = C.flag_failures(C.clean_orders(batch), rules).persist()
         try:
             ok = F.size("_failed") == 0
-            flagged.where(ok).drop("_failed").write.mode("overwrite").parquet(f"{silver}/{BATCH}={batch_id}")
-            (flagged.where(~ok).withColumn("failed_rules", F.concat_ws(",", "_failed")).drop("_failed")
-             .write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={batch_id}"))
+            sides = []
+            for side, path in ((flagged.where(ok).drop("_failed"), silver),
+                               (flagged.where(~ok).withColumn("failed_rules", F.concat_ws(",", "_failed")), quarantine)):
+                broken = [F.count_if(F.array_contains("_failed", r.name)).alias(r.name) for r in rules] if path == quarantine else []
+                seen = Observation()
+                side.observe(seen, F.count(F.lit(1)).alias("rows"), *broken).drop("_failed").write.mode("overwrite").parquet(
+                    f"{path}/{BATCH}={batch_id}")
+                sides.append(seen.get)
+            if counts:
+                checked = sides[0]["rows"] + sides[1]["rows"]
+                rows = [(None, checked, sides[1]["rows"])] + [(r.name, checked, sides[1][r.name]) for r in rules]
+                (spark.createDataFrame(rows, "rule string, checked long, failed long").coalesce(1)
+                 .write.mode("overwrite").parquet(f"{counts}/{BATCH}={batch_id}"))
         finally:
             flagged.unpersist()
     return sink
@@ -91,7 +109,7 @@ def gold_windows(stream: DataFrame, ts_col: str, width: str, lateness: str, by:
 
     The watermark bounds the state: a window's state is dropped once the
     watermark passes its end, and rows older than the watermark are dropped
-    as late.  Run in ``update`` mode with :func:`batch_log_sink` so every
+    as late.  Run in ``update`` mode with :func:`upsert_sink` so every
     changed window is written as it changes and the gold table is complete
     at any time (append mode would hold back still-open windows).
     """
@@ -140,124 +158,47 @@ def upsert_sink(path: str, keys: Sequence[str], n_buckets: int, order: Sequence[
     return sink
 
 
-BATCH = "batch_id"
-FOLDING = "_folding-"
-NEWEST = "_newest"
-
-
-def batch_log_sink(path: str):
-    """``foreachBatch`` function for ``update``-mode aggregates: each micro-batch
-    writes the rows it changed to its own folder ``batch_id=<n>``.
-
-    A replayed batch has the same id and overwrites the same folder, so the sink
-    is idempotent with a single write per batch.  :func:`read_batch_log` gives
-    the current value of every key (the row from the newest batch).  The log
-    grows by the number of *changed* keys per batch, which the watermark bounds;
-    :func:`fold_log` keeps it short.
-    """
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
-    return sink
-
-
-def _log_folders(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
-    """Numbers of the log's batch folders, and of complete foldings that are not in place yet."""
-    names = child_names(spark, path)
-    return (sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=")),
-            sorted(int(n[len(FOLDING):]) for n in names if n.startswith(FOLDING) and path_exists(spark, f"{path}/{n}/_SUCCESS")))
-
-
-def read_log(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
-    """All rows of a batch log (up to a batch); folded rows have batch id -1."""
-    batches, folding = _log_folders(spark, path)
-    live = [b for b in batches if (not folding or b > folding[-1]) and (upto is None or b <= upto)]
-    parts = [spark.read.option("basePath", path).parquet(*[f"{path}/{BATCH}={b}" for b in live])] if live else []
-    parts += [spark.read.parquet(f"{path}/{FOLDING}{n}").withColumn(BATCH, F.lit(-1)) for n in folding[-1:]]
-    if not parts:
-        raise FileNotFoundError(f"no batch in {path}")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+def late_sink(late: str, ts_col: str, width: str, watermarks: Sequence[str], tz: str):
+    """``foreachBatch`` function: the rows of batch n of this run whose window had closed under the n-th
+    watermark, and those without a time, each batch in a folder that a replay overwrites."""
+    turn = iter([*watermarks, *watermarks[-1:] * 1_000_000])
 
-
-def read_batch_log(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
-    """The current row of every key: the one of the newest batch that has it."""
-    return C.latest_per_key(read_log(spark, path, upto), keys, [F.col(BATCH).desc()]).drop(BATCH)
-
-
-def read_partial_log(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
-    """The sum of every key's partial rows (all other columns are counts or sums)."""
-    log = read_log(spark, path, upto)
-    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in log.schema.fields if f.name not in (*keys, BATCH)]
-    return log.groupBy(*keys).agg(*sums)
-
-
-def fold_log(spark: SparkSession, path: str, keys: Sequence[str], read=read_batch_log) -> None:
-    """Replace all folders but the newest by one; ``read`` is the function the log is read with.
-
-    The newest batch stays, as a failed stream may replay it.  Folded rows are
-    written beside the log, the folders they stand for are deleted, and the new
-    one is renamed into place: after a crash at any point readers see the same
-    rows, and the next call finishes the work.
-    """
-    batches, folding = _log_folders(spark, path)
-    if not folding:
-        if len(batches) < 3:
-            return
-        older = read(spark, path, keys, upto=batches[-2])
-        older.write.mode("overwrite").parquet(f"{path}/{FOLDING}{batches[-2]}")
-        folding = [batches[-2]]
-    for b in batches:
-        if b <= folding[-1]:
-            delete_path(spark, f"{path}/{BATCH}={b}")
-    move_path(spark, f"{path}/{FOLDING}{folding[-1]}", f"{path}/{BATCH}=-1")
-
-
-def windows_sink(gold: str, late: str, ts_col: str, width: str, lateness: str, by: Sequence[str],
-                 measures: Sequence[Column], tz: str):
-    """``foreachBatch`` function: every event ends up in one of two logs.
-
-    An event whose window ended ``lateness`` or more before the newest event
-    time of earlier batches is late, as with a watermark; it is kept in ``late``
-    instead of being dropped, and so is an event without a time.  All others are
-    reduced to partial counts and sums per window in ``gold``.  Each batch writes
-    folders of its own, which a replay overwrites; the newest event time is kept
-    per batch beside gold.  So deliveries may come in any order, and events in
-    gold plus late events are the events landed.
-    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = None
-        if path_exists(spark, f"{gold}/{NEWEST}"):
-            newest = (spark.read.parquet(f"{gold}/{NEWEST}").where(F.col(BATCH) < batch_id)
-                      .agg(F.max("newest").alias("newest")).first()["newest"])
-        ev = batch.withColumn("_event_time", to_event_time(ts_col, tz)).persist()
-        try:
-            bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
-            window = F.window("_event_time", width)
-            timed = ev.where(F.col("_event_time").isNotNull()).withColumn("_w", window)
-            is_late = F.coalesce(F.col("_w.end") <= bound, F.lit(False))
-            kept = (timed.where(~is_late).groupBy("_w", *by).agg(*measures))
-            kept = kept.select(from_event_time("_w.start", tz).alias("window_start"), from_event_time("_w.end", tz).alias("window_end"),
-                               *by, *[m for m in kept.columns if m not in ("_w", *by)])
-            kept.write.mode("overwrite").parquet(f"{gold}/{BATCH}={batch_id}")
-            (timed.where(is_late).drop("_w").unionByName(ev.where(F.col("_event_time").isNull())).drop("_event_time")
-             .write.mode("overwrite").parquet(f"{late}/{BATCH}={batch_id}"))
-            (ev.agg(F.max("_event_time").alias("newest")).write.mode("overwrite")
-             .parquet(f"{gold}/{NEWEST}/{BATCH}={batch_id}"))
-        finally:
-            ev.unpersist()
+        closed = F.lit(next(turn)).cast("timestamp")
+        ev = batch.withColumn("_event_time", to_event_time(ts_col, tz))
+        # the guard keeps rows without a time, which have no window
+        end = F.expr(f"window(coalesce(_event_time, TIMESTAMP_SECONDS(0)), '{width}').end")
+        ev = ev.withColumn("_end", end)
+        (ev.where(F.col("_event_time").isNull() | (F.col("_end") <= closed)).drop("_event_time", "_end")
+         .write.mode("overwrite").parquet(f"{late}/{BATCH}={batch_id}"))
     return sink
 
 
 def run_gold_windows(spark: SparkSession, src: str, schema, gold_path: str, checkpoint: str, ts_col: str,
-                     width: str, lateness: str, by: Sequence[str], measures: Sequence[Column],
+                     width: str, lateness: str, by: Sequence[str], measures: Sequence[Column], n_buckets: int = 8,
                      max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None,
                      late_path: str | None = None) -> dict:
-    """Run the windowed aggregate over newly landed files; read gold with
-    ``read_partial_log(spark, gold_path, ["window_start", "window_end", *by])``
-    and late events with ``read_log(spark, late_path)`` (default: ``<gold_path>-late``)."""
-    s = stream_files(spark, src, schema, "parquet", max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
-    sink = windows_sink(gold_path, late_path or f"{gold_path}-late", ts_col, width, lateness, by, measures, session_tz(spark))
-    return run_available(s, None, checkpoint, foreach_batch=sink)
+    """Run the windowed aggregate over newly landed files; read gold with :func:`read_keyed`.
+
+    Spark holds the windows in its state store until the watermark closes them, and every batch upserts
+    the windows it changed by their key (C8), so a replay changes nothing and gold is complete at any time.
+    The rows that Spark drops as late are kept: a second, stateless query over the same files writes them
+    to ``late_path`` (default ``<gold_path>-late``), under the watermarks that the first one's batches
+    reported.  Gold plus late rows are then the rows landed, for runs of one batch and for bounded
+    batches alike while no file lands between the two queries.
+    """
+    bounds = {"max_files_per_trigger": max_files_per_trigger, "max_bytes_per_trigger": max_bytes_per_trigger}
+    tz = session_tz(spark)
+    s = stream_files(spark, src, schema, "parquet", **bounds)
+    windows = gold_windows(s, ts_col, width, lateness, by, measures, tz)
+    sink = upsert_sink(gold_path, ["window_start", "window_end", *by], n_buckets)
+    totals = run_available(windows, None, checkpoint, foreach_batch=sink, output_mode="update")
+    marks = [totals["per_batch"][b]["watermark"] for b in sorted(totals["per_batch"])]
+    marks = marks[:1] + marks[:-1]              # Spark drops rows by the watermark of the batch before
+    late = late_path or f"{gold_path}-late"
+    run_available(stream_files(spark, src, schema, "parquet", **bounds), None, f"{checkpoint}-late",
+                  foreach_batch=late_sink(late, ts_col, width, marks or ["1970-01-01T00:00:00.000Z"], tz))
+    return totals
 
 
 # -- L4 -------------------------------------------------------------------------
@@ -292,6 +233,31 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, lateness:
     return ev.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
+def dedup_outcomes(landed: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key of ``landed`` with its rows by outcome: ``kept``, ``resent`` or ``late``.
+
+    ``kept`` is the sink of :func:`dedup_stream` over ``landed``.  A key that never reached it came later
+    than the watermark: all its rows are late (:func:`late_rows` gives them).  Of the other keys one row
+    is kept and the rest were resent.  So the three add up to the rows landed.  Rows are counted by key
+    on both sides before they meet.
+    """
+    seen = landed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    stayed = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("stayed"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & seen[k].eqNullSafe(stayed[k])
+    both = seen.join(stayed, same, "left").select(*[seen[k] for k in keys], "rows", F.coalesce("stayed", F.lit(0)).alias("stayed"))
+    outcomes = F.array(F.struct(F.lit("kept").alias("outcome"), F.col("stayed").alias("rows")),
+                       F.struct(F.when(F.col("stayed") > 0, "resent").otherwise("late").alias("outcome"),
+                                (F.col("rows") - F.col("stayed")).alias("rows")))
+    return both.select(*keys, F.explode(outcomes).alias("o")).select(*keys, "o.*").where("rows <> 0")
+
+
+def late_rows(landed: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``landed`` that :func:`dedup_stream` dropped as late: no row of their key was kept."""
+    return landed.join(kept.select(*keys).distinct(), list(keys), "left_anti")
+
+
 # -- L5 -------------------------------------------------------------------------
 RAW_SCHEMA = ("order_id string, customer_id string, order_date string, amount string, status string, "
               "priority string, seq int")

@@ -89,3 +89,17 @@ def test_a_hot_foreign_key_is_one_row_per_partition(spark):
     dim = spark.range(50_000).selectExpr("id AS k")
     r = Q.run_checks(fact, [R.refers_to("fk", dim, "k")]).first()
     assert (r.checked, r.failed) == (100_000, sum(1 for i in range(50_000, 100_000) if i % 3))
+
+
+def test_enforced_rows_and_quarantine_are_two_sides_of_one_write(spark):
+    from orderlake.sources.zones import Lake
+    df = spark.createDataFrame([(1, 5, "O"), (2, -1, "O"), (3, None, "?"), (4, 7, "F")], "id int, amount int, status string")
+    rules = [R.is_complete("amount"), R.in_range("amount", lo=0), R.in_set("status", ["O", "F"])]
+    lake = Lake(spark)
+    for _ in range(2):                               # a rerun replaces both sides
+        seen = Q.enforce_to(lake, df, rules, "silver", "t")
+    assert seen == {"rows": 4, "rejected": 2, "amount_complete": 1, "amount_in_range": 1, "status_in_set": 1}
+    assert sorted(r.id for r in lake.read("silver", "t").collect()) == [1, 4] and lake.read("silver", "t").columns == df.columns
+    assert {r.id: r.failed_rules for r in lake.read("silver", "t_quarantine").collect()} == {
+        2: "amount_in_range", 3: "amount_complete,status_in_set"}
+    assert "PartitionFilters: [isnotnull(is_valid" in plan_text(lake.read("silver", "t"))

@@ -21,7 +21,7 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(E.queries())
-    assert len(QUERIES) == 55
+    assert len(QUERIES) == 61
 
 
 @pytest.fixture(scope="module")

@@ -45,9 +45,8 @@ def test_gold_windows_stream_equals_batch_across_deliveries(tiny):
         L.land(e.where((F.col("ts") >= lo) & (F.col("ts") < hi)), f"{root}/landing", order_by="ts")
         L.run_gold_windows(spark, f"{root}/landing", e.schema, f"{root}/gold", f"{root}/ckpt", "ts", "1 day",
                            "1 hour", ["event_type"], measures())
-    got = L.read_partial_log(spark, f"{root}/gold", ["window_start", "window_end", "event_type"]).select(
-        "window_start", "event_type", "events")
-    assert L.read_log(spark, f"{root}/gold-late").count() == 0
+    got = read_keyed(spark, f"{root}/gold").select("window_start", "event_type", "events")
+    assert spark.read.parquet(f"{root}/gold-late").count() == 0
     batch = (e.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type")
               .agg(F.count(F.lit(1)).alias("events")))
     assert _same(got, batch)
@@ -197,50 +196,71 @@ def test_continuous_run_stops_on_its_condition_and_hands_over(tiny):
     assert _same(spark.read.parquet(f"{root}/out"), tiny.orders)
 
 
-def test_late_events_are_kept_whatever_the_order_of_deliveries(tiny):
+@pytest.mark.parametrize("bounded", [None, 1])
+def test_late_events_are_kept_whatever_the_order_of_deliveries(tiny, bounded):
+    """Gold and the late rows together are the rows landed, and only rows whose window had closed are late."""
     spark = tiny.spark
     e = tiny.events
     second = F.col("ts") >= "2024-01-15"
     untimed = e.limit(3).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
     for order in ((second, ~second), (~second, second)):
         root = scratch_dir(spark, "test-late")
-        run = lambda: L.run_gold_windows(spark, f"{root}/landing", e.schema, f"{root}/gold", f"{root}/ckpt", "ts", "1 day", "1 hour",
-                                         ["event_type"], [F.count(F.lit(1)).alias("events")])
         for part in order:
-            L.land(e.where(part).unionByName(untimed), f"{root}/landing")
-            run()
-        gold = L.read_partial_log(spark, f"{root}/gold", ["window_start", "window_end", "event_type"])
-        late = L.read_log(spark, f"{root}/gold-late")
+            L.land(e.where(part).unionByName(untimed), f"{root}/landing", n_files=2)
+            L.run_gold_windows(spark, f"{root}/landing", e.schema, f"{root}/gold", f"{root}/ckpt", "ts", "1 day", "1 hour",
+                               ["event_type"], [F.count(F.lit(1)).alias("events")], max_files_per_trigger=bounded)
+        gold, late = read_keyed(spark, f"{root}/gold"), spark.read.parquet(f"{root}/gold-late")
         assert gold.agg(F.sum("events")).first()[0] + late.count() == e.count() + 6
         assert late.where("ts IS NULL").count() == 6
         want = e.where(~second & (F.col("ts") < "2024-01-14")).count() if order[0] is second else 0
-        assert late.where("ts IS NOT NULL AND ts < '2024-01-14'").count() == want
-
-
-@pytest.mark.parametrize("read", [L.read_batch_log, L.read_partial_log])
-@pytest.mark.parametrize("crash", [False, True])
-def test_folding_a_log_keeps_what_readers_see(tiny, monkeypatch, read, crash):
-    spark = tiny.spark
-    path = f"{scratch_dir(spark, 'test-fold')}/log"
-    sink = L.batch_log_sink(path)
-    rows = lambda: sorted(map(tuple, read(spark, path, ["k"]).collect()))
-    for b in range(4):
-        sink(spark.createDataFrame([(k, b) for k in range(b, 10)], "k int, v int"), b)
-    want = rows()
-    if crash:
-        real = L.move_path
-        monkeypatch.setattr(L, "move_path", lambda *a: (_ for _ in ()).throw(OSError("planted")))
-        with pytest.raises(OSError, match="planted"):
-            L.fold_log(spark, path, ["k"], read)
-        assert rows() == want
-        monkeypatch.setattr(L, "move_path", real)
-    L.fold_log(spark, path, ["k"], read)
-    assert rows() == want
-    assert sorted(r[0] for r in L.read_log(spark, path).select("batch_id").distinct().collect()) == [-1, 3]
-    sink(spark.createDataFrame([(k, 3) for k in range(3, 10)], "k int, v int"), 3)        # the newest batch replayed
-    assert rows() == want
-    for b in (4, 5):
-        sink(spark.createDataFrame([(0, b)], "k int, v int"), b)
-    want = rows()
-    L.fold_log(spark, path, ["k"], read)
-    assert rows() == want and dict(rows())[0] == (5 if read is L.read_batch_log else 9)
+        if bounded is None:
+            assert late.where("ts IS NOT NULL AND ts < '2024-01-14'").count() == want
+
+
+def test_a_replayed_batch_changes_neither_gold_nor_the_late_rows(tiny):
+    spark = tiny.spark
+    root = scratch_dir(spark, "test-l3-replay")
+    batch = spark.createDataFrame([("2024-01-01 10:00:00", 1), ("2024-01-05 10:00:00", 2), (None, 3)], "ts string, v int").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    for _ in range(2):
+        L.late_sink(f"{root}/late", "ts", "1 day", ["2024-01-03T00:00:00.000Z"], "UTC")(batch, 5)
+    assert sorted(r.v for r in spark.read.parquet(f"{root}/late").collect()) == [1, 3]
+
+
+def test_dedup_outcomes_add_up_and_late_rows_are_named(tiny):
+    spark = tiny.spark
+    landed = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (3, "c"), (None, "d"), (None, "d")], "k int, v string")
+    kept = spark.createDataFrame([(1, "a"), (2, "b"), (None, "d")], "k int, v string")
+    got = sorted(map(str, L.dedup_outcomes(landed, kept, ["k"]).collect()))
+    assert got == sorted(map(str, spark.createDataFrame([(1, "kept", 1), (1, "resent", 1), (2, "kept", 1), (3, "late", 2), (None, "kept", 1),
+                                                         (None, "resent", 1)], "k int, outcome string, rows long").collect()))
+    assert sorted(r.k for r in L.late_rows(landed.where("k IS NOT NULL"), kept, ["k"]).collect()) == [3, 3]
+
+
+def test_rows_dropped_by_the_watermark_are_counted(tiny):
+    spark = tiny.spark
+    root = scratch_dir(spark, "test-dropped")
+    e = tiny.events
+    late = e.where("ts < '2024-01-03'")
+    dropped = []
+    for part in (e.where("ts >= '2024-01-20'"), late):
+        L.land(part, f"{root}/landing")
+        s = stream_files(spark, f"{root}/landing", e.schema)
+        totals = run_available(L.dedup_stream(s, ["event_id"], "ts", "1 day", session_tz(spark)), f"{root}/out", f"{root}/ckpt")
+        dropped.append(totals["dropped"])
+    assert dropped == [0, late.count()]
+    landed = spark.read.schema(e.schema).option("recursiveFileLookup", "true").parquet(f"{root}/landing")
+    assert _same(L.late_rows(landed, spark.read.parquet(f"{root}/out"), ["event_id"]), late)
+
+
+def test_split_counts_are_replaced_by_a_replay(tiny):
+    spark = tiny.spark
+    root = scratch_dir(spark, "test-split-replay")
+    rules = C.order_rules(tiny.customer)
+    sink = L.split_sink(f"{root}/ok", f"{root}/bad", rules, f"{root}/counts")
+    raw = raw_orders(tiny.orders)
+    for _ in range(2):
+        sink(raw, 0)
+    whole = spark.read.parquet(f"{root}/counts").where("rule IS NULL").collect()
+    assert [(r.checked, r.failed) for r in whole] == [(raw.count(), spark.read.parquet(f"{root}/bad").count())]
+    assert spark.read.parquet(f"{root}/ok").count() + whole[0].failed == whole[0].checked

@@ -140,3 +140,32 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
         conf = Conf()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         S.checkpoint_root(Fake())
+
+
+def test_archived_partitions_keep_their_rows_and_a_second_run_moves_nothing(tiny, monkeypatch):
+    import pytest
+
+    from orderlake.sources import zones as Z
+    lake = Lake(tiny.spark)
+    order_month_table(tiny, lake)
+    rows = lake.read("bronze", "orders")
+    before = {r.order_month: r["count"] for r in rows.groupBy("order_month").count().collect()}
+    plan = orders_retention_plan(lake)
+    actions = {r.order_month: r.action for r in plan.collect()}
+    archive = f"{lake.root}/archive"
+    real = Z.delete_path
+    monkeypatch.setattr(Z, "delete_path", lambda *a: (_ for _ in ()).throw(OSError("planted")))
+    with pytest.raises(OSError):
+        lake.archive_partitions("bronze", "orders", plan, "order_month", archive)      # cut off after the first copy
+    monkeypatch.setattr(Z, "delete_path", real)
+    count = lambda: {r.order_month: r["count"] for r in lake.read("bronze", "orders").groupBy("order_month").count().collect()}
+    assert count() == before
+    n_archived = sum(a == "archive" for a in actions.values())
+    assert lake.apply_retention("bronze", "orders", plan, "order_month", archive) == (n_archived - 1, sum(a == "expire" for a in actions.values()))
+    assert count() == {m: n for m, n in before.items() if actions[m] != "expire"}
+    files = lake.read("bronze", "orders").select("order_month", F.col("_metadata.file_path").alias("f")).distinct().collect()
+    assert all(("/archive/" in r.f) == (actions[r.order_month] == "archive") for r in files)
+    again = orders_retention_plan(lake)
+    assert lake.archive_partitions("bronze", "orders", again, "order_month", archive) == 0
+    one = next(m for m, a in actions.items() if a == "archive")
+    assert lake.read("bronze", "orders").where(F.col("order_month") == one).count() == before[one]
