@@ -25,7 +25,9 @@ import json
 import os
 import re
 import struct
+import sys
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -42,7 +44,7 @@ from orderlake.session import scratch_dir
 MASK_DELTA = 0xA282EAD8
 HEAD, CHECK, INDEX = "<QI", "<I", "<QQq"
 NULL_ID = -(1 << 63)
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 CACHE_BYTES = 64
 READ_BATCH = 2_000
 
@@ -97,7 +99,9 @@ def load_tokenizer(path: str):
 
 
 def id_format(vocabulary: int) -> str:
-    """struct code of one id."""
+    """struct and array code of one id."""
+    if sys.byteorder != "little":
+        raise ValueError("the ids are written as this machine holds them: little-endian")
     return "H" if vocabulary <= 1 << 16 else "I"
 
 
@@ -127,13 +131,12 @@ class WordIds(dict):
     The tokenizer drops white space and splits before it merges, so a text's ids are those of its
     words one after another.  Plain words are lower-cased and split here and their pieces merged by the
     library's model; any other word, and one that holds an added token, goes through the whole library,
-    which cuts it at the token.  Bounded: words in two
-    generations, pieces in one; long words are not kept.
+    which cuts it at the token.  Bounded: words and pieces in two generations each; long ones are not kept.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.old, self.pieces = tokenizer, {}, {}
+        self.tokenizer, self.old, self.pieces, self.old_pieces = tokenizer, {}, {}, {}
         self.code = id_format(tokenizer.get_vocab_size())
         config = json.loads(tokenizer.to_str())
         steps = [n["type"] for n in (config["normalizer"] or {}).get("normalizers", [])]
@@ -149,11 +152,14 @@ class WordIds(dict):
     def piece(self, text: str) -> bytes:
         value = self.pieces.get(text)
         if value is None:
-            spelled = "".join([self.letters[b] for b in text.encode()])
-            ids = [t.id for t in self.model.tokenize(spelled)]
-            value = struct.pack(f"<{len(ids)}{self.code}", *ids)
+            value = self.old_pieces.get(text)
+            if value is None:
+                # visible ASCII letters stand for themselves
+                spelled = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+                value = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
             if len(text) <= CACHE_BYTES:
                 if len(self.pieces) >= CACHE_WORDS:
+                    self.old_pieces = dict(self.pieces)
                     self.pieces.clear()
                 self.pieces[text] = value
         return value
@@ -162,8 +168,7 @@ class WordIds(dict):
         text = word.decode("utf-8", "replace")
         if self.plain and _PLAIN.fullmatch(text) and not self.added.search(text):
             return b"".join([self.piece(p) for p in _PLAIN_PIECES.findall(text.lower())])
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         value = self.old.get(word)
