@@ -7,7 +7,8 @@ is cleared in a bitfield, the last piece is taken back and a shorter one tried.
 
 Text is cut before each run of the space mark and at newlines that no piece holds.  No piece holds the mark after another character
 (checked on loading), so no merge crosses such a cut and each part is encoded on its own; parts
-repeat, so a bounded cache keeps their ids.  Only the vocabulary is read from the model file;
+repeat, so a bounded cache keeps their ids; one met for the first time is cut again between
+neighbouring characters that no piece holds.  Only the vocabulary is read from the model file;
 encoding and decoding are done here.
 """
 
@@ -129,6 +130,11 @@ class MergeModel:
             self.length[i] = len(p)
             self.shorter[i] = next((known[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in known), None)
         self._fits: dict[tuple[int, int], bool] = {}
+        #: Neighbouring characters that some piece holds: no merge ever crosses any other pair.
+        self.inside = {p[k:k + 2] for p in known for k in range(len(p) - 1)} | {MARK * 2}
+        self.decimal = [str(i) for i in range(len(pieces))]
+        self.raw = [b"" if i in self.control else bytes([self.byte_of[i]]) if i in self.byte_of else p.replace(MARK, " ").encode()
+                    for i, p in enumerate(self.text)]
         # A character that no piece holds takes part in no merge, so text may be cut at newlines as well.
         self.part = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if "\n" in known else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
         self.automaton = ahocorasick.Automaton()
@@ -252,6 +258,16 @@ class MergeModel:
             head += 1
         return self._spaces(head) + out[head:] if head > 1 else out
 
+    def stretches(self, part: str) -> list[str]:
+        """``part`` cut between neighbours that no piece holds; each stretch is encoded on its own."""
+        inside, out, start = self.inside, [], 0
+        for k in range(1, len(part)):
+            if part[k - 1:k + 1] not in inside:
+                out.append(part[start:k])
+                start = k
+        out.append(part[start:])
+        return out
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without begin or end ids; empty for the empty text."""
         if not text:
@@ -261,8 +277,7 @@ class MergeModel:
 
     def piece_bytes(self, ids: list[int]) -> bytes:
         """UTF-8 of the pieces, space marks as spaces."""
-        return b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].replace(MARK, " ").encode()
-                        for i in ids if i not in self.control)
+        return b"".join([self.raw[i] for i in ids])
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: joins pieces, drops the leading mark; bytes that are no UTF-8 become U+FFFD."""
@@ -289,8 +304,15 @@ class _PartCache(dict):
     def __missing__(self, part: str) -> tuple[int, str, bytes]:
         value = self.old.get(part)
         if value is None:
-            ids = self.model.encode_part(part)
-            value = (len(ids), ",".join(map(str, ids)), self.model.piece_bytes(ids))
+            model = self.model
+            stretches = model.stretches(part)
+            if len(stretches) > 1:                    # a word and its punctuation, mostly: the word may be known
+                found = [self[s] for s in stretches]
+                value = (sum([n for n, _, _ in found]), ",".join([s for _, s, _ in found]), b"".join([d for _, _, d in found]))
+            else:
+                ids = model.encode_part(part)
+                decimal = model.decimal
+                value = (len(ids), ",".join([decimal[i] for i in ids]), model.piece_bytes(ids))
         if len(part) <= CACHE_CHARS:
             if len(self) >= CACHE_PARTS:
                 self.old = dict(self)
@@ -327,9 +349,10 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
             for raw in texts_of(batch):
                 text = raw.decode("utf-8", "replace")
                 parts = [cache[p] for p in model.part.findall(MARK + text.replace(" ", MARK))] if text else []
-                counts.append(sum(n for n, _, _ in parts))
-                sums.append(hashlib.sha256(",".join([s for _, s, _ in parts]).encode()).hexdigest())
-                back = b"".join([d for _, _, d in parts])
+                sizes, ids, pieces = zip(*parts) if parts else ((), (), ())
+                counts.append(sum(sizes))
+                sums.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
+                back = b"".join(pieces)
                 texts.append(hashlib.sha256(back[1:] if back.startswith(b" ") else back).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums), pa.array(texts)],
