@@ -340,14 +340,17 @@ def models(pages: DataFrame, found: DataFrame) -> DataFrame:
     k, n, z2 = F.col("witnesses"), F.col("n"), CONFIDENCE ** 2
     share = k / n
     bound = (share + z2 / (2 * n) - CONFIDENCE * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    told = per_text.where("slot >= 0").join(total, "site").withColumn("constant", (bound > CONSTANT) & (F.col("n") > 1))
-    varying = [F.sum(F.when(~F.col("constant"), F.col(c)).otherwise(0)).alias(c) for c in ("runs", "chars", "linked")]
+    # the bound needs this many witnesses on any host, so the texts of single pages never meet their host's total
+    least = z2 * CONSTANT / (1 - CONSTANT)
+    constant = (per_text.where((F.col("slot") >= 0) & (k > least)).join(total, "site").where(bound > CONSTANT)
+                .select("site", "slot", "text", *[F.col(c).alias(f"same_{c}") for c in ("runs", "chars", "linked")]))
+    fixed = [F.sum(f"same_{c}").alias(f"same_{c}") for c in ("runs", "chars", "linked")]
     # both lists are as long as the wrapper: a host's constant texts are each on most of its pages
-    per_slot = told.groupBy("site", "slot").agg(*varying, F.sum("pages").alias("seen"), F.collect_set(
-        F.when(F.col("constant"), F.struct("slot", "text"))).alias("constants"))
-    per_site = per_slot.groupBy("site").agg(
-        F.flatten(F.collect_list("constants")).alias("constants"),
-        F.collect_list(F.struct("slot", "runs", "chars", "linked")).alias("weights"))
+    per_constant = constant.groupBy("site", "slot").agg(*fixed, F.collect_set(F.struct("slot", "text")).alias("constants"))
+    per_slot = per_text.where("slot >= 0").groupBy("site", "slot").agg(*[F.sum(c).alias(c) for c in ("runs", "chars", "linked")])
+    varying = [(F.col(c) - F.coalesce(F.col(f"same_{c}"), F.lit(0))).alias(c) for c in ("runs", "chars", "linked")]
+    per_site = (per_slot.join(per_constant, ["site", "slot"], "left").groupBy("site").agg(
+        F.flatten(F.collect_list("constants")).alias("constants"), F.collect_list(F.struct("slot", *varying)).alias("weights")))
     return found.join(per_site, "site", "left")
 
 
