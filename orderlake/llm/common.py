@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 import orderlake
 from orderlake.session import scratch_dir
 
+#: Bytes of one Arrow batch handed to a task: what a task holds of a batch (its texts as bytes, lists and
+#: results) is a small multiple of this, however long the texts are.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Word separators: space and the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,9 +54,21 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def _bytes(setting: str) -> int:
+    """Bytes of a Spark size setting such as ``67108864b`` or ``8m``; none set is no bound."""
+    number = setting.lower().rstrip("kmgtb")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(setting.lower()[len(number):][:1], 0)
+    return int(number) << unit if int(number) > 0 else 1 << 62
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Spark serve this package's modules to the Python workers (once per application)."""
+    """Let Spark serve this package's modules to the Python workers (once per application), in batches bounded by bytes.
+
+    The bound is a setting of the session, which plans read when they run; a smaller one stays.
+    """
     sc = spark.sparkContext
+    if _bytes(spark.conf.get(_BATCH_CONF)) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     if getattr(sc, "_orderlake_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(orderlake.__file__))
@@ -95,6 +111,7 @@ def keep_rows(df: DataFrame, decide: Callable[[list[bytes]], list[bool]], text:
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(decide(texts_of(batch, text)), pa.bool_()))
+                pa.default_memory_pool().release_unused()
     return map_arrow(df, run, df.schema)
 
 
