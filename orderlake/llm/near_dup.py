@@ -46,7 +46,8 @@ BITMAP = 1 << 24          # bits of the filter of wanted nodes
 HEAVY_SHARE = 0.1
 HEAVY_LEAST = 1000
 NAME_SHARE = 0.05         # of a chunk's documents: a shingle found in so many is named
-CHUNK_DOCS = 2000
+CHUNK_DOCS = 2000         # a chunk ends at so many documents
+CHUNK_BYTES = 32 << 20    # or so many bytes of their shingles, whichever comes first
 LEAST_WEIGHT = 0.01
 _U = np.uint64
 
@@ -124,12 +125,19 @@ class Sampler:
         rows = np.arange(size)
         for at in range(0, len(items), 1024):
             part = items[at:at + 1024].astype(_U)
-            code = _mix((part * _U(0xD6E8FEB86659FD93))[None, :] ^ self.seeds[:, None])
-            r = self.gamma[(code & _U(0xFFFF)).astype(np.uint16)]
-            value = self.log_gamma[((code >> _U(16)) & _U(0xFFFF)).astype(np.uint16)]
-            beta = (code >> _U(32)).astype(np.float32) * np.float32(2.0 ** -32)
+            # items are hashes already, so one multiplication by seed spreads them; its high half is folded down
+            code = _mix(part * _U(0xD6E8FEB86659FD93))[None, :] ^ self.seeds[:, None]
+            code *= _U(0xFF51AFD7ED558CCD)
+            code ^= code >> _U(32)
+            quarters = code.view("<u2").reshape(size, len(part), 4)
+            r = np.take(self.gamma, quarters[:, :, 0])
+            value = np.take(self.log_gamma, quarters[:, :, 1])
+            beta = code.view("<u4").reshape(size, len(part), 2)[:, :, 1].astype(np.float32)
+            beta *= np.float32(2.0 ** -32)
             if weights is None:
-                value += r * (beta - np.float32(1))
+                beta -= np.float32(1)
+                beta *= r
+                value += beta
                 where = value.argmin(1)
                 step = np.zeros(size, np.float32)
             else:
@@ -171,7 +179,7 @@ def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
             held.clear()
             return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), pa.nulls(len(values), pa.binary()), pa.array(values),
                                                pa.array(excess, pa.float64())], names)
-        id_type = None
+        id_type, size = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -181,10 +189,12 @@ def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
                 words = split_words(text.lower())
                 nodes.append(node_of(words))
                 held.append(np.unique(shingles_of(words)))
+                size += held[-1].nbytes
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.nulls(len(nodes), pa.int64()),
                                               pa.nulls(len(nodes), pa.float64())], names)
-            if len(held) >= CHUNK_DOCS:
+            if len(held) >= CHUNK_DOCS or size >= CHUNK_BYTES:
                 yield frequent_of_chunk()
+                size = 0
         if held:
             yield frequent_of_chunk()
     schema = docs.select("doc_id").schema.add("node", "binary").add("shingle", "long").add("excess", "double")
