@@ -22,7 +22,7 @@ def rows_of(df):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     assert set(queries.ORACLE) <= set(E.oracle_sql())
     assert len(P.STAGES) == 5
 
