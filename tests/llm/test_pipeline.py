@@ -9,7 +9,7 @@ import sentencepiece
 import __spark_entry__ as E
 import corpus_pipeline as P
 from orderlake.llm import quality_classifier, queries
-from orderlake.llm.common import table
+from orderlake.llm.common import materialise, table
 from tests.conftest import SF_SMALL
 from tests.llm.test_gbt_rules import brute as base_counts
 from tests.llm.test_mixing import brute_targets
@@ -76,3 +76,18 @@ def test_stages(spark, tmp_path):
 def test_run_is_the_stages_one_after_another(spark):
     got = P.run(spark, SF_SMALL)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 500
+
+
+def test_stages_on_edge_rows_and_empty_tables(spark, tmp_path, edge_docs, no_docs, edge_labels):
+    """Every stage takes NULLs, empty and long texts, repeated rows and clashing columns, and an empty table."""
+    edge_labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for docs, empty in ((edge_docs, False), (no_docs, True)):
+        for name, stage in P.STAGES:
+            out = materialise(stage(spark, docs, str(tmp_path)), f"edges-{name}")
+            assert name == P.STAGES[-1][0] or out.columns == docs.columns, name
+            n = out.count()
+            assert n == 0 if empty else n <= 3 * docs.count(), name
+            if name in ("quality_classifier", "quality_rules", "near_duplicates"):
+                assert out.exceptAll(docs).count() == 0, name
+            if name == "near_duplicates":
+                assert empty or n == out.select("text").distinct().count()
