@@ -1,4 +1,8 @@
+import time
+
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from orderlake.llm import url_filter as U
 from tests.conftest import SF_SMALL
@@ -14,6 +18,14 @@ CASES = [
     ("a://b://c.net/", "b:", "//c.net/", None, "allow"), ("http://www.casino-win.org/x", "www.casino-win.org", "/x", None, "block"),
     ("http://casinowin.org/x", "casinowin.org", "/x", None, "allow"), ("http://x.org/casino", "x.org", "/casino", None, "allow"),
     ("http://a\nb.net/\nc", "a\nb.net", "/\nc", "net/", "block"), ("http://ÄÉ.net/é?", "ÄÉ.net", "/é", "net/", "block"),
+    ("http://ads-track.example.com/en/9", "ads-track.example.com", "/en/9", None, "block"),
+    ("http://my.ads-track-7.example.com", "my.ads-track-7.example.com", "", None, "block"),
+    ("http://loads-track.example.com/", "loads-track.example.com", "/", None, "allow"),
+    ("http://adult-x.example.org/en/1", "adult-x.example.org", "/en/1", None, "block"),
+    ("http://adult.education.org/", "adult.education.org", "/", None, "allow"), ("http://x.org/Cheap_Pills", "x.org", "/Cheap_Pills", None, "block"),
+    ("http://x.org/a/free-bets.html", "x.org", "/a/free-bets.html", None, "block"), ("http://x.org/free-bets-banned", "x.org", "/free-bets-banned", None, "allow"),
+    ("http://x.org/casino-casino", "x.org", "/casino-casino", None, "allow"), ("http://casino\n/", "casino\n", "/", None, "allow"),
+    ("http://x.org/free-bets\n", "x.org", "/free-bets\n", None, "allow"), ("http://écasino.org", "écasino.org", "", None, "allow"),
     ("http://x.org/" + "y" * 50_000, "x.org", "/" + "y" * 50_000, None, "allow"),
 ]
 
@@ -22,6 +34,9 @@ def test_cases(spark):
     pages = spark.createDataFrame([(i, c[0], "h", "r") for i, c in enumerate(CASES)], "page_id long, url string, html string, rule string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in U.judge(pages).collect()}
     assert got == {i: c[1:] for i, c in enumerate(CASES)}
+    con = duckdb.connect()
+    con.register("pages", pages.select("page_id", "url").toArrow())
+    assert {r[0]: r[1:] for r in con.sql(U.JUDGE_SQL).fetchall()} == got
     assert U.judge(pages.union(pages)).count() == 2 * len(CASES)
     assert U.judge(pages.limit(0)).count() == 0
 
@@ -39,3 +54,26 @@ def test_only_sql_expressions(spark):
     text = plan_text(QUERIES["op4_url_filter"](spark, SF_SMALL))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
     assert "html" not in text
+
+
+def test_each_url_runs_few_of_thousands_of_rules(spark):
+    from orderlake.llm.common import table
+    pages, rules = table(spark, SF_SMALL, "pages"), [*U.BASE_RULES, *U.SPAM_RULES]
+    assert 2_000 < len(rules) <= U.MAX_RULES and len({r.name for r in rules}) == len(rules)
+    target = F.concat(U.host_of(F.col("url")), U.path_of(F.col("url")))
+    n = pages.select(F.size(U.candidates(target, rules, U.token_counts(pages, rules))).alias("n")).agg(F.avg("n"), F.max("n")).first()
+    assert 0 < n[0] < 4 and n[1] < 40
+
+
+def test_five_thousand_rules_are_planned_in_seconds(spark):
+    own = [U.host_word_rule("block", f"word{i}", "shop") for i in range(5_000)]
+    urls = [(i, f"http://a.word{i * 100}-shop.org/x") for i in range(51)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    pages.count()
+    start = time.perf_counter()
+    judged = U.judge(pages, own=own)
+    judged._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 5
+    assert {r["page_id"]: r["verdict"] for r in judged.collect()} == {i: "block" if i < 50 else "allow" for i in range(51)}
+    with pytest.raises(ValueError, match="at most"):
+        U.rule_index(own * 5, {})
