@@ -2,6 +2,8 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+
 from orderlake.llm import sharding as S
 from orderlake.llm.queries import QUERIES, SHARDS
 from tests.conftest import SF_SMALL
@@ -58,3 +60,48 @@ def test_new_shard_takes_rows_only_into_itself_and_versions_stay(spark, tmp_path
         S.save_map(spark, str(tmp_path), version, slots)
     got = sorted(map(tuple, S.load_map(spark, str(tmp_path), 1).collect()))
     assert got == list(enumerate(now))
+
+
+def test_the_stored_map_is_edited_and_old_versions_stay(spark, tmp_path):
+    folder = str(tmp_path / "map")
+    docs = spark.range(4_000).selectExpr("id AS doc_id", "repeat('x', int(id % 50) * 20) AS text")
+    before = {r["doc_id"]: r["shard"] for r in S.assign(spark, docs, 4, folder).collect()}
+    versions = S.map_versions(spark, folder)
+    assert {r["doc_id"]: r["shard"] for r in S.assign(spark, docs, 4, folder).collect()} == before
+    assert S.map_versions(spark, folder) == versions           # nothing drifted: no edit, no version
+
+    grown = {r["doc_id"]: r["shard"] for r in S.assign(spark, docs, 5, folder).collect()}
+    assert S.map_versions(spark, folder) == [*versions, versions[-1] + 1]
+    assert all(grown[i] in (s, 4) for i, s in before.items())
+    size = {i: i % 50 * 20 + 16 for i in grown}
+    taken = sum(size[i] for i, s in grown.items() if s == 4)
+    assert 0.95 < 5 * taken / sum(size.values()) < 1.05        # the law is by bytes: heavy slots, so fewer rows
+    assert {r["doc_id"]: r["shard"] for r in S.place(spark, docs, folder, versions[-1]).collect()} == before
+
+    heavy = docs.union(spark.range(300).selectExpr("id + 10000", "repeat('y', 20000)"))
+    load = defaultdict(int)
+    moved = 0
+    for r in S.assign(spark, heavy, 5, folder).collect():
+        load[r["shard"]] += r["size"]
+        moved += r["doc_id"] < 4_000 and grown[r["doc_id"]] != r["shard"]
+    assert max(load.values()) < 1.03 * min(load.values()) and moved < 1_500
+    assert len(S.map_versions(spark, folder)) == len(versions) + 2
+    with pytest.raises(ValueError, match="cannot shrink"):
+        S.assign(spark, docs, 3, folder)
+    with pytest.raises(ValueError, match="already there"):
+        S.save_map(spark, folder, 0, S.even_map(4))
+
+
+def test_a_write_cut_short_is_no_version(spark, tmp_path):
+    S.save_map(spark, str(tmp_path), 0, S.even_map(3))
+    (tmp_path / "version=1" / "_temporary").mkdir(parents=True)
+    assert S.map_versions(spark, str(tmp_path)) == [0] and S.map_versions(spark, str(tmp_path / "none")) == []
+    S.save_map(spark, str(tmp_path), 1, S.even_map(3))
+    assert S.map_versions(spark, str(tmp_path)) == [0, 1] and S.map_slots(spark, str(tmp_path), 1) == S.even_map(3)
+
+
+def test_stretches_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(S, "COPIES", 100)
+    ids = [(None, 250), ("a", 100), ("b", 101), ("c", 1)]
+    docs = spark.createDataFrame([(i, "t") for i, n in ids for _ in range(n)], "doc_id string, text string")
+    check(S.assign(spark, docs, 2).collect(), [(i, b"t") for i, n in ids for _ in range(n)], 2)
