@@ -159,7 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold=None, label: str = "quality", p
              pa.array([c.tobytes() for _, c in pairs], pa.binary()), batch.column("label")],
             ["doc_id", "ids", "counts", "label"])
     sample = labelled_sample(docs, labels, label, per_class, fold).select("doc_id", "text", F.col("label").cast("int"))
-    rows = map_batches(sample, featurise, "doc_id long, ids binary, counts binary, label int").collect()
+    schema = sample.select("doc_id").schema.add("ids", "binary").add("counts", "binary").add("label", "integer")   # ids of any type
+    rows = map_batches(sample, featurise, schema).collect()
     rows.sort(key=lambda r: r["doc_id"])
     samples = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32), r["label"]) for r in rows]
     return train(samples, *class_totals(labels, label, fold))

@@ -54,3 +54,10 @@ def test_edge_rows_and_reruns(edge_docs, no_docs, edge_labels):
     assert Q.score(no_docs, model).count() == 0
     flat = Q.fit(no_docs, edge_labels.limit(0))
     assert {r["score"] for r in Q.score(edge_docs, flat).collect()} == {0.5}
+
+
+def test_ids_of_any_type(edge_docs, edge_labels):
+    name = "lpad(cast(doc_id AS string), 6, '0') AS doc_id"       # padded: the same order as the numbers
+    named = Q.fit(edge_docs.selectExpr(name, "text"), edge_labels.selectExpr(name, "quality"))
+    plain = Q.fit(edge_docs, edge_labels)
+    assert named.bias == plain.bias and np.array_equal(named.table, plain.table)
