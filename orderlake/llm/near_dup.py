@@ -2,18 +2,21 @@
 
 1. Texts with equal words (A-Z lower-cased) are one node: a 128-bit hash of the words.
 2. A node's items are its 5-word shingles; the k-th occurrence of a shingle is an item of its own, so
-   that shared and united weights add up term frequencies exactly.  An item weighs its shingle's
-   inverse document frequency, which is 1 up to a tenth of all documents (``HEAVY_SHARE``; at least
-   ``HEAVY_LEAST``) and falls with the logarithm beyond: boilerplate counts little, while a group of
-   copies does not talk down the passages it shares.  Such heavy shingles are found exactly: chunks of
+   that shared and united weights add up term frequencies exactly.  An item weighs its shingle's inverse
+   document frequency, ``ln(documents / documents with it)`` over the same of one document: 1 for a
+   shingle that one document has, whatever the size of the table, and less the more documents have it.
+   Frequencies are exact.  Shingles of more than a tenth of all documents (``HEAVY_SHARE``; at least
+   ``HEAVY_LEAST``), which would crowd a group, are counted first and travel to the tasks: chunks of
    documents name their frequent shingles, the cluster drops those that cannot be heavy even if every
    other chunk has as many as it may without naming them, and a second pass counts the rest.  Those
-   are at most ``1 / (HEAVY_SHARE - NAME_SHARE)`` documents' worth, however the input is cut.
-3. Consistent weighted sampling gives ``BANDS * ROWS`` samples per node, equal for two nodes with
-   probability their weighted Jaccard similarity.  A band's samples are a bucket key.  A node with
-   heavy shingles also gives samples and buckets with all weights 1, so that near copies meet however
-   large their group is.  (Of two nodes of which one has no heavy shingle the weighted similarity is
-   never below the plain one, so those need no second meeting.)
+   are at most ``1 / (HEAVY_SHARE - NAME_SHARE)`` documents' worth, however the input is cut.  All others
+   cross one shuffle, packed by ranges of their hash, and the shared ones return to their documents.
+3. A node of which less than ``SIMILARITY`` is shared with other documents has no link.  Consistent
+   weighted sampling gives ``BANDS * ROWS`` samples per other node, equal for two nodes with probability
+   their weighted Jaccard similarity.  A band's samples are a bucket key.  A node whose weights are not
+   all 1 also gives samples and buckets with all weights 1, so that near copies meet however large
+   their group is.  (Of two nodes of which one has no lighter shingle the weighted similarity is never
+   below the plain one, so those need no second meeting.)
 4. In each bucket every node is held against the smallest one; the pairs whose samples agree often
    enough are verified by their exact Jaccard similarity, the larger of the weighted and the plain
    one, and verified links give components.
@@ -30,6 +33,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +53,7 @@ NAME_SHARE = 0.05         # of a chunk's documents: a shingle found in so many i
 CHUNK_DOCS = 2000         # a chunk ends at so many documents
 CHUNK_BYTES = 32 << 20    # or so many bytes of their shingles, whichever comes first
 LEAST_WEIGHT = 0.01
+RANGE_SHINGLES = 1 << 21  # shingles whose documents are counted in one group, about
 _U = np.uint64
 
 
@@ -161,12 +166,13 @@ class Sampler:
 
 
 def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
-    """One pass: (doc_id, node) rows of all documents, and (shingle, excess) rows of each chunk's frequent shingles.
+    """One pass: (doc_id, node, size) rows of all documents, and (shingle, excess) rows of each chunk's frequent shingles.
 
+    ``size`` is the number of the document's shingles, repeated ones included.
     ``excess`` is the number of the chunk's documents with the shingle beyond ``NAME_SHARE`` of them; a
     shingle that a chunk does not name has none.
     """
-    names = ["doc_id", "node", "shingle", "excess"]
+    names = ["doc_id", "node", "size", "shingle", "excess"]
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -177,27 +183,29 @@ def _nodes_and_candidates(docs: DataFrame) -> DataFrame:
             found = counts > spare
             values, excess = values[found].view(np.int64), counts[found] - spare
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), pa.nulls(len(values), pa.binary()), pa.array(values),
-                                               pa.array(excess, pa.float64())], names)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), pa.nulls(len(values), pa.binary()), pa.nulls(len(values), pa.int64()),
+                                               pa.array(values), pa.array(excess, pa.float64())], names)
         id_type, size = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             id_type = batch.column("doc_id").type
-            nodes = []
+            nodes, sizes = [], []
             for text in texts_of(batch):
                 words = split_words(text.lower())
                 nodes.append(node_of(words))
-                held.append(np.unique(shingles_of(words)))
+                own = shingles_of(words)
+                sizes.append(len(own))
+                held.append(np.unique(own))
                 size += held[-1].nbytes
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.nulls(len(nodes), pa.int64()),
-                                              pa.nulls(len(nodes), pa.float64())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
+                                              pa.nulls(len(nodes), pa.int64()), pa.nulls(len(nodes), pa.float64())], names)
             if len(held) >= CHUNK_DOCS or size >= CHUNK_BYTES:
                 yield frequent_of_chunk()
                 size = 0
         if held:
             yield frequent_of_chunk()
-    schema = docs.select("doc_id").schema.add("node", "binary").add("shingle", "long").add("excess", "double")
+    schema = docs.select("doc_id").schema.add("node", "binary").add("size", "long").add("shingle", "long").add("excess", "double")
     return materialise(map_arrow(docs.select("doc_id", "text"), run, schema), "dup-nodes")
 
 
@@ -213,7 +221,10 @@ def heavy_candidates(rows: DataFrame, n_docs: int) -> DataFrame:
 
 
 def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted heavy shingles and their weights; candidates (:func:`heavy_candidates`) are counted exactly over all documents."""
+    """Sorted heavy shingles and their weights; candidates (:func:`heavy_candidates`) are counted exactly over all documents.
+
+    Weights are in units of a shingle at the limit; :func:`sampler_of` brings them to those of all others.
+    """
     limit = max(HEAVY_SHARE * n_docs, HEAVY_LEAST)
     none = np.empty(0, _U), np.empty(0, np.float32)
     if n_docs <= limit:
@@ -238,28 +249,131 @@ def heavy_shingles(docs: DataFrame, candidates: DataFrame, n_docs: int) -> tuple
     return heavy, weight
 
 
-def signatures(docs: DataFrame, sampler: Sampler) -> DataFrame:
-    """(node, kind, print, keys) of every node that has a shingle; print holds a byte of each sample.
+def inverse_frequency(n: np.ndarray, n_docs: int) -> np.ndarray:
+    """Weight of shingles that ``n`` of the documents have: 1 for those of one document."""
+    if n_docs < 2:
+        return np.ones(len(n), np.float32)
+    return np.maximum(LEAST_WEIGHT, np.log(n_docs / n) / math.log(n_docs)).astype(np.float32)
+
+
+def sampler_of(heavy: np.ndarray, weight: np.ndarray, n_docs: int) -> Sampler:
+    """The sampler of the heavy shingles, in the units of :func:`inverse_frequency`."""
+    if len(heavy):
+        limit = max(HEAVY_SHARE * n_docs, HEAVY_LEAST)
+        weight = np.maximum(LEAST_WEIGHT, weight * (math.log(n_docs / limit) / math.log(n_docs))).astype(np.float32)
+    return Sampler(heavy, weight)
+
+
+def shared_shingles(docs: DataFrame, sampler: Sampler, n_shingles: int) -> DataFrame:
+    """(node, shared, n): each document that may have a link, its shingles of two or more documents, and of how many.
 
-    Kind 0 is by the items' weights; nodes with heavy shingles have a second row, kind 1, with all weights 1.
+    Shared shingles are sorted; heavy ones, which the sampler knows, are left out.  Left out are also documents
+    of which less than ``SIMILARITY`` is shared.  A chunk of documents gives one row of packed shingles for
+    each range of hash values; a range counts its shingles' documents and returns the shared ones to
+    their chunk, which adds up what is shared of each document.  The number of ranges follows the shingles.
+    """
+    bits = max(0, math.ceil(math.log2(max(1, n_shingles) / RANGE_SHINGLES)))
+    most_docs, most_bytes, heavy = min(CHUNK_DOCS, 1 << 16), CHUNK_BYTES, sampler.heavy
+    names = ["range", "chunk", "at", "value", "n"]
+
+    def packed(values: np.ndarray, edges: np.ndarray) -> list[bytes]:
+        return [values[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
+
+    def cut(batches):
+        nodes: list[bytes] = []
+        held: list[np.ndarray] = []
+        chunk = TaskContext.get().partitionId() << 32
+
+        def rows_of_chunk():
+            sizes = np.array([len(x) for x in held], np.uint32)
+            values, at = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
+            light = np.ones(len(values), bool)
+            if len(heavy):
+                where = np.minimum(np.searchsorted(heavy, values), len(heavy) - 1)
+                light = heavy[where] != values
+            crowd = sizes - np.bincount(at[light], minlength=len(held)).astype(np.uint32)     # heavy ones of each document
+            values, at = values[light], at[light]
+            own = (values >> _U(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64) if bits else np.zeros(len(values), np.uint16)
+            order = np.argsort(own, kind="stable")
+            own, values, at = own[order], values[order], at[order]
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.empty(0, np.int64)
+            edges = np.append(first, len(own))
+            # the chunk's nodes pass the count in a group of their own
+            return pa.RecordBatch.from_arrays([
+                pa.array([*own[first].tolist(), -1 - chunk], pa.int64()), pa.array([chunk] * (len(first) + 1), pa.int64()),
+                pa.array([*packed(at, edges), None], pa.binary()), pa.array([*packed(values, edges), b"".join(nodes)], pa.binary()),
+                pa.array([*[None] * len(first), np.stack((sizes, crowd)).tobytes()], pa.binary())], names)
+        size = 0
+        for batch in batches:
+            for text in texts_of(batch):
+                words = split_words(text.lower())
+                if not words:
+                    continue
+                nodes.append(node_of(words))
+                held.append(shingles_of(words))
+                size += held[-1].nbytes
+                if len(held) >= most_docs or size >= most_bytes:
+                    yield rows_of_chunk()
+                    nodes.clear()
+                    held.clear()
+                    chunk, size = chunk + 1, 0
+        if held:
+            yield rows_of_chunk()
+
+    def count(group: pa.Table) -> pa.Table:
+        if group.column("range")[0].as_py() < 0:
+            return group.select(["chunk", "at", "value", "n"]).append_column("tf", pa.nulls(group.num_rows, pa.binary()))
+        values, at = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("value", _U), ("at", np.uint16)))
+        ends = np.cumsum([len(x) for x in values])
+        values, at = np.concatenate(values), np.concatenate(at)
+        new = np.concatenate(([True], (values[1:] != values[:-1]) | (at[1:] != at[:-1])))      # a document's first of equal ones
+        new[ends[:-1]] = True
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(values))).astype(np.uint32)
+        _, which, n = np.unique(values[first], return_inverse=True, return_counts=True)
+        n = n[which].astype(np.uint32)
+        hit = n > 1
+        edges = np.concatenate(([0], np.searchsorted(first[hit], ends)))
+        out = [pa.array(packed(x[hit], edges), pa.binary()) for x in (at[first], values[first], n, times)]
+        return pa.table([group.column("chunk"), *out], names=["chunk", "at", "value", "n", "tf"])
+
+    def gather(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        (own,) = (r for r in rows if r["at"] is None)
+        rows = [r for r in rows if r["at"] is not None]
+        sizes, shared = np.frombuffer(own["n"], np.uint32).reshape(2, -1).astype(np.int64)
+        at, values, n, times = (np.concatenate([np.empty(0, t), *[np.frombuffer(r[c], t) for r in rows]])
+                                for c, t in (("at", np.uint16), ("value", _U), ("n", np.uint32), ("tf", np.uint32)))
+        shared = shared + np.bincount(at, times, len(sizes))
+        wanted = np.flatnonzero(shared >= (SIMILARITY - 1e-6) * sizes)
+        order = np.lexsort((values, at))
+        at, values, n = at[order], values[order], n[order]
+        spans = [(k, *np.searchsorted(at, [k, k + 1])) for k in wanted.tolist()]
+        return pa.table([pa.array([own["value"][16 * k:16 * k + 16] for k, _, _ in spans], pa.binary()),
+                         pa.array([values[i:j].tobytes() for _, i, j in spans], pa.binary()),
+                         pa.array([n[i:j].tobytes() for _, i, j in spans], pa.binary())], names=["node", "shared", "n"])
+    rows = map_arrow(docs.select("text"), cut, "range long, chunk long, at binary, value binary, n binary")
+    counted = rows.groupBy("range").applyInArrow(count, "chunk long, at binary, value binary, n binary, tf binary")
+    gathered = counted.where("length(value) > 0").groupBy("chunk").applyInArrow(gather, "node binary, shared binary, n binary")
+    return materialise(gathered, "dup-shared")
+
+
+def signatures(sets: DataFrame, sampler: Sampler) -> DataFrame:
+    """(node, kind, print, keys) of every node of ``sets``; print holds a byte of each sample.
+
+    Kind 0 is by the items' weights; nodes whose weights are not all 1 have a second row, kind 1, with all weights 1.
     """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        seen, out = set(), []
-        for text in texts_of(batch):
-            words = split_words(text.lower())
-            node = node_of(words)
-            if words and node not in seen:
-                seen.add(node)
-                items, shingles = items_of(shingles_of(words))
-                weights = sampler.weights(shingles)
-                for kind, w in enumerate([None] if weights is None else [weights, None]):
-                    got = sampler.samples(items, w)
-                    out.append((node, kind, (got & _U(0xFF)).astype(np.uint8).tobytes(), sampler.bands(got, kind).tolist()))
+        out = []
+        for node, items, weights in zip(*(batch.column(c).to_pylist() for c in ("node", "items", "weights"))):
+            items, weights = np.frombuffer(items, _U), np.frombuffer(weights, np.float32)
+            for kind, w in enumerate([weights, None] if len(weights) else [None]):
+                got = sampler.samples(items, w)
+                out.append((node, kind, (got & _U(0xFF)).astype(np.uint8).tobytes(), sampler.bands(got, kind).tolist()))
         nodes, kinds, prints, keys = zip(*out) if out else ((), (), (), ())
         return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(kinds, pa.int32()), pa.array(prints, pa.binary()),
                                            pa.array(keys, pa.list_(pa.int64()))], ["node", "kind", "print", "keys"])
-    rows = map_batches(docs.select("text"), run, "node binary, kind int, print binary, keys array<long>")
-    return materialise(rows.dropDuplicates(["node", "kind"]), "dup-signatures")
+    return materialise(map_batches(sets, run, "node binary, kind int, print binary, keys array<long>"), "dup-signatures")
 
 
 def _equal(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -361,31 +475,60 @@ def bitmap_of(nodes: DataFrame) -> np.ndarray:
     return out
 
 
-def item_sets(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
-    """(node, items, weights) of the nodes of ``wanted``; empty weights mean all 1.
+def item_sets(docs: DataFrame, shared: DataFrame, reps: DataFrame, sampler: Sampler, n_docs: int) -> DataFrame:
+    """(node, items, weights) of the nodes of ``shared`` that may have a link; empty weights mean all 1.
 
     Texts are read in place: a bitmap of the wanted nodes lets nearly only their texts give a row, and
-    the join by node drops the rest.
+    the join by node drops the rest.  A node's own copies share its shingles, too: what no other text
+    has is not shared, and a node of which less than ``SIMILARITY`` is left has no row.
     """
-    nodes = wanted.select("node").distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(nodes))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(shared))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bitmap = bits.value
-        nodes, items, weights = [], [], []
+        bitmap, seen = bits.value, set()
+        nodes, shingles = [], []
         for text in texts_of(batch):
             words = split_words(text.lower())
             node = node_of(words)
             at = int.from_bytes(node[:3], "big")
-            if int(bitmap[at >> 6]) >> (at & 63) & 1:
-                own, shingles = items_of(shingles_of(words))
-                weight = sampler.weights(shingles)
+            if int(bitmap[at >> 6]) >> (at & 63) & 1 and node not in seen:
+                seen.add(node)
                 nodes.append(node)
-                items.append(own.tobytes())
-                weights.append(b"" if weight is None else weight.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (nodes, items, weights)], ["node", "items", "weights"])
-    sets = map_batches(docs.select("text"), run, "node binary, items binary, weights binary").dropDuplicates(["node"])
-    return sets.join(nodes.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left_semi")
+                shingles.append(shingles_of(words).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (nodes, shingles)], ["node", "shingles"])
+
+    def weigh(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for node, shingles, common, n, copies in zip(*(batch.column(c).to_pylist() for c in ("node", "shingles", "shared", "n", "copies"))):
+            items, own = items_of(np.frombuffer(shingles, _U))
+            common, n = np.frombuffer(common, _U), np.frombuffer(n, np.uint32)
+            docs_with, heavy = np.ones(len(own), np.int64), sampler.weights(own)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                docs_with = np.where(common[at] == own, n[at], docs_with)
+            weights = inverse_frequency(docs_with, n_docs)
+            met = docs_with > copies
+            if heavy is not None:
+                light = heavy == 1
+                weights, met = np.where(light, weights, heavy), met | ~light
+            if met.sum() >= (SIMILARITY - 1e-6) * len(own):
+                out.append((node, items.tobytes(), weights.astype(np.float32).tobytes() if (weights != 1).any() else b""))
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (zip(*out) if out else ((), (), ()))], ["node", "items", "weights"])
+    found = map_batches(docs.select("text"), run, "node binary, shingles binary").dropDuplicates(["node"])
+    known = (shared.dropDuplicates(["node"]).join(reps.select(F.col("node").alias("node_"), F.col("n").alias("copies")), F.col("node") == F.col("node_"))
+             .select("node_", "shared", "n", "copies"))
+    joined = found.join(known, F.col("node") == F.col("node_")).drop("node_")      # each side crosses one shuffle, by node
+    return materialise(map_batches(joined, weigh, "node binary, items binary, weights binary"), "dup-items")
+
+
+def sets_of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose nodes are in ``wanted``, and a few others: those that its bitmap lets through."""
+    bits = sets.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select("node").distinct()))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = np.array([int.from_bytes(x[:3], "big") for x in batch.column("node").to_pylist()], np.int64)
+        return batch.filter(pa.array(bits.value[at >> 6] >> (at & 63) & 1 == 1))
+    return map_batches(sets, run, sets.schema)
 
 
 def similarities(left: list[tuple], right: list[tuple]) -> np.ndarray:
@@ -499,14 +642,17 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = docs.select("doc_id", "text")
     rows = _nodes_and_candidates(docs)
     members = rows.where("node IS NOT NULL").select("doc_id", "node")
-    reps = materialise(members.groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("n")), "dup-reps")
-    n_docs = reps.agg(F.sum("n")).first()[0] or 0
-    sampler = Sampler(*heavy_shingles(docs, heavy_candidates(rows, n_docs), n_docs))
-    buckets = shared_buckets(signatures(docs, sampler))
+    reps = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("n"),
+                                                              F.sum("size").alias("size"))
+    reps = materialise(reps, "dup-reps")
+    n_docs, n_shingles = (x or 0 for x in reps.agg(F.sum("n"), F.sum("size")).first())
+    sampler = sampler_of(*heavy_shingles(docs, heavy_candidates(rows, n_docs), n_docs), n_docs)
+    sets = item_sets(docs, shared_shingles(docs, sampler, n_shingles), reps, sampler, n_docs)
+    buckets = shared_buckets(signatures(sets, sampler))
     star = materialise(star_pairs(buckets), "dup-star")
-    links = materialise(star_links(star, materialise(item_sets(docs, star, sampler), "dup-items")), "dup-links")
+    links = materialise(star_links(star, sets_of(sets, star)), "dup-links")
     mixed = materialise(mixed_nodes(buckets, components(links)), "dup-mixed")
-    more = materialise(block_links(mixed, materialise(item_sets(docs, mixed, sampler), "dup-items")), "dup-links")
+    more = materialise(block_links(mixed, sets_of(sets, mixed)), "dup-links")
     labels = materialise(components(links.union(more)), "dup-labels").withColumnRenamed("node", "node_")
     owned = reps.join(labels, F.col("node") == F.col("node_"), "left").select("node", "rep_id", F.coalesce("label", "node").alias("label"))
     owned = materialise(owned, "dup-owned")
@@ -534,7 +680,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         nodes = [node_of(split_words(t.lower())) for t in texts_of(batch, text)]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, "node_"])
     named = map_batches(clear, run, clear.select("*").schema.add("node_", "binary"))
-    hit = named.join(kept, (F.col("node_") == F.col("kept_node_")) & F.col(key).eqNullSafe(F.col("kept_id_")), "left_semi")
+    # by node alone, so that texts cross one shuffle for the join and the choice among repeated rows
+    same_id = F.when(F.col("kept_id_").isNull(), F.col(key).isNull()).otherwise(F.col(key) == F.col("kept_id_"))
+    hit = named.join(kept, (F.col("node_") == F.col("kept_node_")) & same_id, "left_semi")
     return hit.dropDuplicates(["node_"]).select(*clear.columns).toDF(*wanted)
 
 

@@ -188,3 +188,45 @@ def test_short_texts_of_equal_32_bit_checksum_are_apart():
     assert ids.dtype == np.uint64 and len(np.unique(ids)) == len(ids)
     items, own = N.items_of(np.sort(np.concatenate((ids[:5], ids[:2]))))
     assert items.dtype == np.uint64 and len(items) == 7 and set(own.tolist()) == set(ids[:5].tolist())
+
+
+def test_every_shingle_weighs_by_its_document_frequency(spark):
+    """In 60 documents, far from a crowd: unlike boilerplate must not part two texts whose own words are the same."""
+    plates = [" ".join(f"p{k}x{i}" for i in range(30)) for k in range(2)]
+    own = lambda i: " ".join(f"u{i}x{k}" for k in range(100))
+    docs = [(i, f"{plates[i % 2]} {own(i // 2 if i < 2 else i)}") for i in range(60)]
+    bags = [Counter(zip(*[t.split()[k:] for k in range(5)])) for _, t in docs[:2]]
+    assert sum((bags[0] & bags[1]).values()) / sum((bags[0] | bags[1]).values()) < 0.8
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert dict(map(tuple, N.classify(frame).collect())) == {i: max(0, i - 1) if i < 2 else i for i in range(60)}
+
+
+@pytest.mark.parametrize("heavy", [[], ["a b c d e"]])
+def test_document_frequencies_are_exact(spark, monkeypatch, heavy):
+    """Over many ranges and chunks; copies, repeated shingles and heavy ones included."""
+    monkeypatch.setattr(N, "RANGE_SHINGLES", 16)
+    monkeypatch.setattr(N, "CHUNK_DOCS", 3)
+    rng = random.Random(6)
+    texts = ["a b c d e " + " ".join(rng.choice("fg") for _ in range(rng.randint(6, 12))) for _ in range(40)]
+    texts += texts[:5] + ["", None, "a b c d e a b c d e", "one", "alone among them all"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    known = np.sort(np.concatenate([np.empty(0, np.uint64), *[N.shingles_of(h.encode().split()) for h in heavy]]))
+    sampler = N.Sampler(known, np.full(len(known), 0.3, np.float32))
+    want, found = {}, Counter()
+    bags = {t: N.shingles_of(t.encode().split()) for t in texts if t}
+    for t in filter(None, texts):
+        found.update(set(bags[t].tolist()))
+    for t, bag in bags.items():
+        if np.mean([found[s] > 1 for s in bag.tolist()]) >= 0.8:
+            want[N.node_of(t.encode().split())] = [(s, found[s]) for s in sorted(set(bag.tolist())) if found[s] > 1 and s not in known]
+    got = {bytes(r["node"]): list(zip(np.frombuffer(r["shared"], np.uint64).tolist(), np.frombuffer(r["n"], np.uint32).tolist()))
+           for r in N.shared_shingles(frame, sampler, sum(map(len, bags.values()))).collect()}
+    assert got == want and len(want) > 10
+
+
+def test_texts_cross_one_shuffle_when_one_of_each_class_is_kept(spark):
+    frame = spark.createDataFrame([(1, "a b c", "x"), (1, "a b c", "x"), (None, "a b c", "y"), (2, "d", "z")], "doc_id long, text string, lang string")
+    kept = N.deduplicate(frame)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, kept.collect())) == [(1, "a b c", "x"), (2, "d", "z")]
+    assert sum("Exchange" in line and "hashpartitioning(node_" in line for line in plan.splitlines()) == 1
