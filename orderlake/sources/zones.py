@@ -9,6 +9,7 @@ be dropped with ``ALTER TABLE .. DROP PARTITION``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,7 +48,8 @@ class Lake:
     # -- B5 ---------------------------------------------------------------------
     def write(self, df: DataFrame, zone: str, table: str, partition_by: Sequence[str] = (),
               mode: str = "overwrite", comment: str | None = None,
-              bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
+              bucket_by: tuple[int, Sequence[str]] | None = None,
+              derive: Callable[[DataFrame], DataFrame] | None = None, compression: str | None = None) -> str:
         """Write ``df`` as ``<zone>.<table>``, partitioned by ``partition_by``.
 
         Rows are rebalanced by the partition columns: adaptive execution gives a
@@ -59,29 +61,38 @@ class Lake:
         ``bucket_by=(n, keys)`` stores the table in ``n`` hash buckets of
         ``keys``: joins on ``keys`` then read it without a shuffle.  Such a
         table is always rewritten whole.
+
+        ``derive`` makes the stored columns from those of ``df``, row by row and with the partition
+        columns kept: rows of a partitioned table cross the shuffle and the writers' sort before it.
+        ``compression`` is the codec of the files, by default the session's.
         """
         name, full = self.name(zone, table), f"{self.schema(zone)}.{table}"
         if mode not in ("overwrite", "append"):
             raise ValueError(mode)
         out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+        if derive:
+            if bucket_by:
+                raise ValueError("derive does not go with buckets")
+            out = derive(out.sortWithinPartitions(*partition_by) if partition_by else out)
+        codec = {"compression": compression} if compression else {}
         exists = self.spark.catalog.tableExists(full)
         if bucket_by:
             if mode != "overwrite":
                 raise ValueError("a bucketed table is rewritten whole")
             n, keys = bucket_by
-            w = df.repartition(n, *[F.col(k) for k in keys]).write.format("parquet").mode("overwrite")
+            w = df.repartition(n, *[F.col(k) for k in keys]).write.format("parquet").options(**codec).mode("overwrite")
             w = w.bucketBy(n, *keys).sortBy(*keys)
             (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
         elif exists and mode == "overwrite" and partition_by:
             # into the table's own folder: the dynamic mode is then an option of this write alone
-            (out.select(*self.spark.table(name).columns).write.mode("overwrite")
+            (out.select(*self.spark.table(name).columns).write.mode("overwrite").options(**codec)
              .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(zone, table)))
             self.spark.catalog.recoverPartitions(full)
             self.spark.catalog.refreshTable(full)
         elif exists and mode == "append":
             out.select(*self.spark.table(name).columns).write.insertInto(name)
         else:
-            w = out.write.format("parquet").mode("overwrite")
+            w = out.write.format("parquet").options(**codec).mode("overwrite")
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.saveAsTable(name)

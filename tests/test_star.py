@@ -137,3 +137,25 @@ def test_only_the_asked_years_lines_are_read(tiny):
             if s.metrics().contains("numPartitions") and "order_year" in s.toString()]
     lines = lake.read("gold", "fact_sales")
     assert read and read[0][0] == lines.where("order_year IN (1996, 2000)").count() < lines.count()
+
+
+def test_surrogates_are_made_after_the_lines_are_dealt_out(tiny, spark, monkeypatch):
+    """The fact crosses the writers' shuffle and sort without surrogates and measures; its rows are those of M6."""
+    seen, write = {}, Lake.write
+    monkeypatch.setattr(Lake, "write", lambda self, df, zone, table, *a, **k: (seen.update({table: df}), write(self, df, zone, table, *a, **k))[1])
+    lake = Lake(spark)
+    M.load_star(tiny, lake)
+    assert not {"customer_sk", "product_sk", "supplier_sk", "gross", "net"} & set(seen["fact_sales"].columns)
+    want = M.fact_sales(tiny)
+    got = lake.read("gold", "fact_sales").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_shuffles_follow_the_bytes_of_the_sources(spark):
+    from orderlake.plans import gold
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with gold.shuffles_for(spark, 1000 * gold.PART_BYTES + 1):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1001"
+    with gold.shuffles_for(spark, 0):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
