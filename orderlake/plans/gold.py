@@ -15,7 +15,9 @@ only when the source files have changed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.money import TOTAL
@@ -24,6 +26,8 @@ from orderlake.session import _fs
 from orderlake.sources.zones import Lake
 from orderlake.tables import Tables
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+PART_BYTES = 4 << 20      # of source files: some 400,000 lines
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -55,10 +59,26 @@ VIEWS = {
 TABLES = ("order_summary", "month_summary", "fact_sales", "dim_product", "dim_customer", "dim_date")
 
 
+@contextmanager
+def shuffles_for(spark: SparkSession, source_bytes: int):
+    """At least one shuffle partition for each ``PART_BYTES`` of the sources while a load runs.
+
+    A join's sort then fits its task whatever the size of the tables; adaptive execution puts small
+    partitions together again.  The session's own number stays if it is larger, and returns afterwards.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(max(int(before), -(-source_bytes // PART_BYTES))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 def load_gold(t: Tables, lake: Lake) -> None:
-    M.load_star(t, lake)
-    lake.write(order_summary(t, lake), "gold", "order_summary", ["order_year"])
-    lake.write(month_summary(lake), "gold", "month_summary")
+    with shuffles_for(t.spark, sum(size for _, size, _ in _files_of(t))):
+        M.load_star(t, lake)
+        lake.write(order_summary(t, lake), "gold", "order_summary", ["order_year"])
+        lake.write(month_summary(lake), "gold", "month_summary")
     names = {n: lake.name("gold", n) for n in TABLES}
     for view, text in VIEWS.items():
         t.spark.sql(f"CREATE OR REPLACE VIEW {lake.name('gold', view)} AS {text.format(**names)}")
