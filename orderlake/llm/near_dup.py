@@ -32,6 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -53,7 +54,8 @@ NAME_SHARE = 0.05         # of a chunk's documents: a shingle found in so many i
 CHUNK_DOCS = 2000         # a chunk ends at so many documents
 CHUNK_BYTES = 32 << 20    # or so many bytes of their shingles, whichever comes first
 LEAST_WEIGHT = 0.01
-RANGE_SHINGLES = 1 << 21  # shingles whose documents are counted in one group, about
+RANGE_SHINGLES = 1 << 20  # shingles whose documents are counted in one group, about
+SENT_BYTES = 4 << 20      # of one batch that a group gives back, about
 _U = np.uint64
 
 
@@ -264,6 +266,35 @@ def sampler_of(heavy: np.ndarray, weight: np.ndarray, n_docs: int) -> Sampler:
     return Sampler(heavy, weight)
 
 
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """All values of a binary column without NULLs, one after another, as one array: read where they lie, copied once."""
+    parts = [np.empty(0, np.uint8)]
+    for chunk in column.chunks:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            begin, end = np.frombuffer(offsets, np.int32)[[chunk.offset, chunk.offset + len(chunk)]]
+            if end > begin:
+                parts.append(np.frombuffer(data, np.uint8)[begin:end])
+    return np.concatenate(parts).view(kind)
+
+
+def _times(values: np.ndarray) -> np.ndarray:
+    """How often each of the values is among them."""
+    order = np.argsort(values)
+    placed = values[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(placed)), bool), placed[1:] != placed[:-1])))
+    n = np.diff(np.append(first, len(placed))).astype(np.uint32)
+    out = np.empty(len(values), np.uint32)
+    out[order] = np.repeat(n, n)
+    return out
+
+
+def _in_small_batches(table: pa.Table) -> pa.Table:
+    """The same rows, cut so that about ``SENT_BYTES`` at a time are handed to Spark, which keeps a batch beside its heap."""
+    rows = max(1, table.num_rows * SENT_BYTES // max(1, table.nbytes))
+    return pa.Table.from_batches(table.to_batches(max_chunksize=rows), table.schema)
+
+
 def shared_shingles(docs: DataFrame, sampler: Sampler, n_shingles: int) -> DataFrame:
     """(node, shared, n): each document that may have a link, its shingles of two or more documents, and of how many.
 
@@ -323,29 +354,31 @@ def shared_shingles(docs: DataFrame, sampler: Sampler, n_shingles: int) -> DataF
     def count(group: pa.Table) -> pa.Table:
         if group.column("range")[0].as_py() < 0:
             return group.select(["chunk", "at", "value", "n"]).append_column("tf", pa.nulls(group.num_rows, pa.binary()))
-        values, at = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("value", _U), ("at", np.uint16)))
-        ends = np.cumsum([len(x) for x in values])
-        values, at = np.concatenate(values), np.concatenate(at)
+        values, at = _joined(group.column("value"), _U), _joined(group.column("at"), np.uint16)
+        ends = np.cumsum(pc.binary_length(group.column("value")).to_numpy()) // 8
         new = np.concatenate(([True], (values[1:] != values[:-1]) | (at[1:] != at[:-1])))      # a document's first of equal ones
         new[ends[:-1]] = True
         first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(values))).astype(np.uint32)
-        _, which, n = np.unique(values[first], return_inverse=True, return_counts=True)
-        n = n[which].astype(np.uint32)
+        n = _times(values[first])
         hit = n > 1
-        edges = np.concatenate(([0], np.searchsorted(first[hit], ends)))
-        out = [pa.array(packed(x[hit], edges), pa.binary()) for x in (at[first], values[first], n, times)]
-        return pa.table([group.column("chunk"), *out], names=["chunk", "at", "value", "n", "tf"])
+        n, times = n[hit], np.diff(np.append(first, len(values))).astype(np.uint32)[hit]
+        first = first[hit]
+        edges = np.concatenate(([0], np.searchsorted(first, ends)))
+        out = [pa.array(packed(x, edges), pa.binary()) for x in (at[first], values[first], n, times)]
+        got = pa.table([group.column("chunk"), *out], names=["chunk", "at", "value", "n", "tf"])
+        return _in_small_batches(got)
 
     def gather(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        (own,) = (r for r in rows if r["at"] is None)
-        rows = [r for r in rows if r["at"] is not None]
+        counts = group.filter(pc.is_valid(group.column("at")))
+        (own,) = group.filter(pc.is_null(group.column("at"))).select(["value", "n"]).to_pylist()
         sizes, shared = np.frombuffer(own["n"], np.uint32).reshape(2, -1).astype(np.int64)
-        at, values, n, times = (np.concatenate([np.empty(0, t), *[np.frombuffer(r[c], t) for r in rows]])
-                                for c, t in (("at", np.uint16), ("value", _U), ("n", np.uint32), ("tf", np.uint32)))
+        at, values, n, times = (_joined(counts.column(c), t) for c, t in (("at", np.uint16), ("value", _U), ("n", np.uint32), ("tf", np.uint32)))
         shared = shared + np.bincount(at, times, len(sizes))
         wanted = np.flatnonzero(shared >= (SIMILARITY - 1e-6) * sizes)
+        use = np.zeros(len(sizes), bool)
+        use[wanted] = True
+        use = use[at]                                          # only what leaves is sorted
+        at, values, n = at[use], values[use], n[use]
         order = np.lexsort((values, at))
         at, values, n = at[order], values[order], n[order]
         spans = [(k, *np.searchsorted(at, [k, k + 1])) for k in wanted.tolist()]

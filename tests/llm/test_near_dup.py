@@ -1,8 +1,10 @@
 import itertools
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderlake.llm import near_dup as N
@@ -230,3 +232,22 @@ def test_texts_cross_one_shuffle_when_one_of_each_class_is_kept(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, kept.collect())) == [(1, "a b c", "x"), (2, "d", "z")]
     assert sum("Exchange" in line and "hashpartitioning(node_" in line for line in plan.splitlines()) == 1
+
+
+def test_counting_a_range_takes_a_small_multiple_of_its_bytes():
+    """Less than by np.unique with inverse numbers; what a group gives back leaves in small batches."""
+    values = np.random.default_rng(3).integers(0, 200_000, 400_000, dtype=np.uint64)
+    tracemalloc.start()
+    got = N._times(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    _, which, n = np.unique(values, return_inverse=True, return_counts=True)
+    before = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == n[which]).all() and peak < 5 * values.nbytes and N.RANGE_SHINGLES * 8 <= N.SENT_BYTES * 2
+    assert N._times(values[:0]).tolist() == [] and before > peak / 2
+    column = pa.chunked_array([pa.array([b"ab" * 4, b"", b"cd" * 8], pa.binary()).slice(1), pa.array([], pa.binary()), pa.array([b"ef" * 4], pa.binary())])
+    assert N._joined(column, np.uint64).tobytes() == b"cd" * 8 + b"ef" * 4 and len(N._joined(column.slice(0, 0), np.uint64)) == 0
+    wide = pa.table({"x": pa.array([bytes(1 << 18)] * 64, pa.binary())})
+    cut = N._in_small_batches(wide)
+    assert cut.equals(wide) and max(b.nbytes for b in cut.to_batches()) <= N.SENT_BYTES
