@@ -28,7 +28,7 @@ start.  Equal rows are scored alike and all given back.  Long texts are worked o
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,6 +52,7 @@ NOISE = 64
 RATE = 0.3
 STEADY = 50.0             # tokens by which the step of a rare row is damped
 UNIT_STEPS = 12
+MEMO = 100_000            # words outside the heavy ones whose unit a task remembers
 FLUSH = 400_000           # distinct words or cells a task counts before it hands them on
 END = b""                 # the end token; no word is empty
 
@@ -118,14 +119,27 @@ class Vocabulary:
 
     def numbers(self) -> Callable[[list[bytes]], np.ndarray]:
         """A function that gives the units of words."""
-        number, heavy, mask = {w: i for i, w in enumerate(self.words)}, len(self.words), self.hashed - 1
-        get, digest = number.get, xxhash.xxh64_intdigest
+        number = _UnitOf(self.words, self.hashed)
 
         def units(words: list[bytes]) -> np.ndarray:
-            return np.array([heavy + (digest(w, HASH_SEED) & mask) if (i := get(w)) is None else i for w in words], np.int32)
+            return np.fromiter(map(number.__getitem__, words), np.int32, len(words))
         return units
 
 
+class _UnitOf(dict):
+    """The unit of any word: known for the heavy ones, of all others by their hash; the first ``MEMO`` of these stay."""
+
+    def __init__(self, words: list[bytes], hashed: int):
+        super().__init__(zip(words, range(len(words))))
+        self.heavy, self.mask = len(words), hashed - 1
+
+    def __missing__(self, word: bytes) -> int:
+        unit = self.heavy + (xxhash.xxh64_intdigest(word, HASH_SEED) & self.mask)
+        if len(self) < self.heavy + MEMO:
+            self[word] = unit
+        return unit
+
+
 def vocabulary(counts: DataFrame, singles: int = SINGLES, heavy: int = HEAVY) -> Vocabulary:
     """Totals of all words, and the heavy ones: all that occur at least so often that no more than ``heavy`` do.
 
@@ -174,7 +188,7 @@ def _sums_by_row(index: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray
     """Rows of ``values`` added up by ``index``."""
     total = np.zeros((rows, values.shape[1]))
     if len(index):
-        order = np.argsort(index, kind="stable")
+        order = np.argsort(index.astype(np.uint16) if rows <= 1 << 16 else index, kind="stable")      # 16 bits: by radix
         placed = index[order]
         first = np.flatnonzero(np.append(True, placed[1:] != placed[:-1]))
         total[placed[first]] = np.add.reduceat(values[order], first, axis=0)
@@ -340,8 +354,9 @@ class UnitTables:
 def train_units(encoded: DataFrame, vocab: Vocabulary, p: Parameters) -> UnitTables:
     """Count (class, unit, c1) over all training tokens and fit each class to its counts.
 
-    Counts are summed per task and again in the shuffle, so no class or word is hot; after that a class has at
-    most ``SPAN`` times (classes + 1) rows.  The driver receives one row per class.
+    Counts are summed per task and cross the shuffle packed, one row per class; a class adds up its rows batch by
+    batch in a table of at most ``SPAN`` times (classes + 1) cells, so no class or word is hot.  The driver receives
+    one row per class.
     """
     spark = encoded.sparkSession
     wide, singles = vocab.classes + 1, vocab.singles
@@ -352,9 +367,11 @@ def train_units(encoded: DataFrame, vocab: Vocabulary, p: Parameters) -> UnitTab
         return keys, np.bincount(n, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
 
     def rows(keys, n):
-        cells = SPAN * wide
-        return pa.RecordBatch.from_arrays([pa.array((keys // cells).astype(np.int32)), pa.array((keys % cells).astype(np.int32)), pa.array(n)],
-                                          ["class", "cell", "n"])
+        own, cells = keys // (SPAN * wide), (keys % (SPAN * wide)).astype(np.int32)
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(own)), bool), own[1:] != own[:-1])))
+        spans = list(zip(first.tolist(), np.append(first[1:], len(own)).tolist()))
+        return pa.RecordBatch.from_arrays([pa.array(own[first].astype(np.int32)), pa.array([cells[i:j].tobytes() for i, j in spans], pa.binary()),
+                                           pa.array([n[i:j].astype(np.uint32).tobytes() for i, j in spans], pa.binary())], ["class", "cells", "n"])
 
     def count(batches):
         class_of, inner = shared.value
@@ -372,7 +389,7 @@ def train_units(encoded: DataFrame, vocab: Vocabulary, p: Parameters) -> UnitTab
                 held, size = [], 0
         if held:
             yield rows(*pack(held))
-    cells = map_arrow(encoded.select("units"), count, "class int, cell int, n long").groupBy("class", "cell").agg(F.sum("n").alias("n"))
+    cells = map_arrow(encoded.select("units"), count, "class int, cells binary, n binary")
     start = [np.flatnonzero(vocab.class_of == c) for c in range(singles, vocab.classes)]
     shares = []
     for members in start:
@@ -382,15 +399,18 @@ def train_units(encoded: DataFrame, vocab: Vocabulary, p: Parameters) -> UnitTab
     hidden = p.ctx1
     own = spark.sparkContext.broadcast(shares)
 
-    def fit(table: pa.Table) -> pa.Table:
-        c = table.column("class")[0].as_py()
-        share = own.value[c - singles]
-        counts = np.zeros((len(share), wide), np.float32)
-        cell = table.column("cell").to_numpy()
-        counts[cell // wide, cell % wide] = table.column("n").to_numpy()
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for c, at, n in zip(*(batch.column(k).to_pylist() for k in ("class", "cells", "n"))):
+                if total is None:
+                    share = own.value[c - singles]
+                    total = np.zeros(len(share) * wide, np.int64)
+                total[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.uint32)      # a row has each cell once
+        counts = total.reshape(-1, wide).astype(np.float32)
         got = fit_units(counts.T, share, hidden)
-        return pa.table({"class": pa.array([c], pa.int32()), **{k: pa.array([a.astype(np.float32).tobytes()], pa.binary())
-                                                               for k, a in zip(("out", "bias", "norm"), got)}})
+        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), *[pa.array([a.astype(np.float32).tobytes()], pa.binary()) for a in got]],
+                                         ["class", "out", "bias", "norm"])
     ship_package(spark)
     fitted = cells.groupBy("class").applyInArrow(fit, "class int, out binary, bias binary, norm binary")
     out = np.zeros((len(vocab.class_of), DIM), np.float32)

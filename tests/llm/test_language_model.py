@@ -174,3 +174,32 @@ def test_units_of_a_class_follow_their_contexts_and_sum_to_one():
     assert (counts * logs).sum() > (counts * np.log(shares)).sum() + 100
     out, bias, norm = L.fit_units(np.zeros((6, 3), np.float32), shares, hidden)
     assert np.exp(bias - norm[:, None]) == pytest.approx(np.tile(shares, (6, 1)), abs=1e-5)
+
+
+def test_counts_of_units_cross_packed(edge_docs, monkeypatch):
+    """One row per task and class, not one per cell."""
+    vocab = L.vocabulary(L.word_counts(edge_docs), singles=4, heavy=150)
+    encoded = L.encode(edge_docs, vocab)
+    frames, whole = [], L.map_arrow
+    monkeypatch.setattr(L, "map_arrow", lambda df, run, schema: frames.append(whole(df, run, schema)) or frames[-1])
+    p = L.Parameters.start(vocab.class_shares())
+    got = L.train_units(encoded, vocab, p)
+    sent = next(f for f in frames if "class" in f.columns)
+    assert sent.count() <= sent.rdd.getNumPartitions() * (vocab.classes - vocab.singles)
+    docs = [np.frombuffer(r["units"], np.int32) for r in encoded.collect()]
+    c1, _, w = L.contexts([vocab.class_of[u] for u in docs], vocab.begin)
+    units = np.concatenate(docs)
+    for c in range(vocab.singles, vocab.classes):
+        members = np.flatnonzero(vocab.class_of == c)
+        counts, share = np.zeros((len(members), vocab.classes + 1), np.float32), np.zeros(len(members))
+        np.add.at(counts, (vocab.inner[units[w == c]], c1[w == c]), 1)
+        share[vocab.inner[members]] = vocab.totals[members] + 1.0
+        out, bias, norm = L.fit_units(counts.T, (share / share.sum()).astype(np.float32), p.ctx1)
+        assert (got.out[members] == out[vocab.inner[members]]).all() and (got.norm[c] == norm).all()
+
+
+def test_units_are_remembered_up_to_a_bound(monkeypatch):
+    monkeypatch.setattr(L, "MEMO", 3)
+    number = L._UnitOf([b"", b"a"], 16)
+    words = [b"a", *(b"%d" % k for k in range(20)), b"a", b"3"]
+    assert [number[w] for w in words] == [1 if w == b"a" else 2 + (xxhash.xxh64_intdigest(w, 42) & 15) for w in words] and len(number) == 5
